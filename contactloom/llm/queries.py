@@ -38,6 +38,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=("text_sha256",))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
        count(*) over (partition by coalesce(text, '')) as group_size,
@@ -52,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_sentencepiece": op2_sentencepiece,
         "op4_exact_dedup": op4_exact_dedup,
+        "op7_minhash_near_dedup": op7_minhash_near_dedup,
     }
 
 
