@@ -44,6 +44,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.repeats import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 OP4_SQL = """
 select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
        count(*) over (partition by coalesce(text, '')) as group_size,
@@ -59,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sentencepiece": op2_sentencepiece,
         "op4_exact_dedup": op4_exact_dedup,
         "op7_minhash_near_dedup": op7_minhash_near_dedup,
+        "op8_suffix_array_dedup": op8_suffix_array_dedup,
     }
 
 
