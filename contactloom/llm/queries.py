@@ -31,6 +31,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contactloom.llm.exact_dedup import exact_dedup
 
@@ -38,6 +44,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=("text_sha256",))
 
 
+def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.chat_windows import chat_windows, read_loss, read_turns
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id bigint, turn bigint, role string, text string")
+    out = chat_windows(turns.unionByName(more))
+    turns = F.slice(read_turns(F.col("formatted")), F.col("n_repeated") + 1, F.size(read_turns(F.col("formatted"))))
+    read = out.select("conv_id", F.struct("window_start", turns.alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).alias("w"), F.length("formatted").cast("bigint").alias("chars"))
+    per = read.groupBy("conv_id").agg(F.sort_array(F.collect_list("w")).alias("w"), F.sum("chars").alias("formatted_chars"))
+    per = per.select("conv_id", F.flatten(F.transform("w", lambda x: x["turns"])).alias("turns"), F.array_join(F.flatten(F.transform("w", lambda x: x["loss"])), "").alias("loss"), "formatted_chars")
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return per.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contactloom.llm.near_dedup import near_duplicates
 
@@ -64,7 +85,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_quality_rules": op3_quality_rules,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_chat_windows": op5_chat_windows,
         "op7_minhash_near_dedup": op7_minhash_near_dedup,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
     }
