@@ -59,6 +59,36 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.licences import licence_lines
+
+    out = licence_lines(table(spark, sf_dir, "documents"))
+    part = lambda f: F.transform("matches", f)
+    return out.select(
+        "doc_id",
+        F.size("matches").cast("bigint").alias("n_licence_lines"),
+        F.array_join(F.array_sort(F.array_distinct(part(lambda m: m["licence"]))), ",").alias("licences"),
+        F.coalesce(F.array_max(part(lambda m: m["permille"])), F.lit(0)).cast("bigint").alias("best_permille"),
+        F.array_join(part(lambda m: m["line"].cast("string")), ",").alias("lines"),
+    )
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.quality_classifier import classify_quality
+
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.pii import personal_data
+
+    out = personal_data(table(spark, sf_dir, "documents"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    number = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    counts = [number(kind) for kind in ("email", "ip", "card", "phone")]
+    return out.select("doc_id", *counts, F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contactloom.llm.near_dedup import near_duplicates
 
@@ -81,6 +111,30 @@ from documents
 """
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def op6_sql() -> str:
+    from contactloom.llm.licences import TEMPLATES, bigrams_of
+
+    rows = ", ".join(f"({_quoted(n)}, [{', '.join(map(_quoted, bigrams_of(t)))}])" for n, ts in TEMPLATES.items() for t in ts)
+    return f"""
+with templates(licence, tb) as (values {rows}),
+texts as (select doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)) as ls from documents),
+lines as (select doc_id, unnest(ls) as l, unnest(range(len(ls))) as line from texts),
+words as (select doc_id, line, list_filter(string_split(l, ' '), lambda x: x <> '') as w from lines),
+grams as (select doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from words where len(w) > 1),
+scored as (select doc_id, line, licence, (2000 * len(list_intersect(b, tb))) // (len(b) + len(tb)) as permille from grams, templates),
+best as (select doc_id, line, licence, permille from scored where permille >= 800
+         qualify row_number() over (partition by doc_id, line order by permille desc, licence) = 1),
+found as (select doc_id, count(*) as n, string_agg(distinct licence, ',' order by licence) as licences, max(permille) as best, string_agg(cast(line as varchar), ',' order by line) as lines
+          from best group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_licence_lines, coalesce(licences, '') as licences, cast(coalesce(best, 0) as bigint) as best_permille, coalesce(lines, '') as lines
+from documents d left join found using (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -88,10 +142,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_chat_windows": op5_chat_windows,
+        "op6_licence_scan": op6_licence_scan,
         "op7_minhash_near_dedup": op7_minhash_near_dedup,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
+        "op9_quality_classifier": op9_quality_classifier,
+        "op10_personal_data": op10_personal_data,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op6_licence_scan": op6_sql()}
