@@ -43,7 +43,7 @@ def write_groups(contents: DataFrame, path: str) -> None:
     """A folder per group, named by the number of groups and the group's from 1."""
     k = contents.select("group_id").distinct().agg(F.count(F.lit(1)).alias("k"))
     rows = contents.join(F.broadcast(k)).select(F.format_string("%dg%d", "k", F.col("group_id") + 1).alias("group_label"), F.col("name").alias("#Contig"), F.col("site_count").alias("RECounts"), F.col("length").alias("Length"))
-    rows.write.partitionBy("group_label").option("header", True).option("sep", "\t").csv(path)
+    rows.write.partitionBy("group_label").option("header", True).option("sep", "\t").option("comment", "\u0001").csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, order_by: list[str] | None = None) -> None:
