@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactloom.session import stage
+
 #: Cells per side of the grid that stands for far nodes.
 CELLS = 24
 
@@ -64,26 +64,14 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
     ``change_per_node`` on average.  Every round is written to the shared
     folder, so its lineage is one file scan.
     """
-    spark = nodes.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-    folder = f"{folder}/layout-{uuid.uuid4().hex}"
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
     links = weighted_edges.where("src <> dst")
     ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "weight"), F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "weight"))).alias("e")).select("e.a", "e.b", "e.weight")
-    ends = keep(ends, "ends")
+    ends = stage(ends, "ends")
     degree = ends.groupBy(F.col("a").alias("node_id")).agg(F.count(F.lit(1)).alias("degree"))
     x, y = _start(F.col("node_id"), seed)
     state = nodes.select("node_id").distinct().join(degree, "node_id", "left")
-    state = keep(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy"), F.lit(0.0).alias("moved")), "0")
-    for step in range(1, max_iter + 1):
+    state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy"), F.lit(0.0).alias("moved")), "layout")
+    for _ in range(max_iter):
         box = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         if box[0] is None:
             break
@@ -109,7 +97,7 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
                 speed = np.minimum(speed, 50.0 / np.maximum(size, 1e-9))
                 yield pd.DataFrame({"node_id": b["node_id"], "mass": mass, "x": x + fx * speed, "y": y + fy * speed, "fx": fx, "fy": fy, "moved": size * speed})
 
-        state = keep(joined.mapInPandas(move, state.schema), str(step))
+        state = stage(joined.mapInPandas(move, state.schema), "layout")
         if state.agg(F.avg("moved")).first()[0] < change_per_node:
             break
     return state.select("node_id", "x", "y")

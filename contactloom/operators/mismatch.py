@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.session import stage
+
 
 def wide_mismatches(track: DataFrame, thresholds: DataFrame, wide: int) -> DataFrame:
     """Runs of grid points below the threshold: ref_id, start, end (after the last bin)."""
@@ -23,6 +25,8 @@ def narrow_mismatches(islands: DataFrame, track: DataFrame, narrow: int) -> Data
     joins are exploded into joins on (ref_id, position) of at most the track's
     size.
     """
+    # small tables that several branches read
+    islands, track = stage(islands, "islands"), stage(track, "track")
     grid = track.groupBy("ref_id").agg(F.min("pos").alias("p0"), F.count(F.lit(1)).alias("g"))
     order = Window.partitionBy("ref_id").orderBy("start")
     k = F.row_number().over(order) - 1
@@ -40,6 +44,7 @@ def narrow_mismatches(islands: DataFrame, track: DataFrame, narrow: int) -> Data
     goal = ranked.join(least, ["ref_id", "k"], "left").withColumn("least", F.coalesce("least", F.lit(0)))
     points = goal.select("ref_id", "least", F.explode(F.sequence(F.col("start"), F.col("end") - 1, F.lit(narrow).cast("bigint"))).alias("pos"))
     picks = points.join(track, ["ref_id", "pos"]).where("score_e5 = least").select("ref_id", "pos")
+    picks = stage(picks, "picks")
     run = F.col("pos") - F.lit(narrow) * F.row_number().over(Window.partitionBy("ref_id").orderBy("pos"))
     fine = picks.withColumn("run", run).groupBy("ref_id", "run").agg(F.min("pos").alias("start"), (F.max("pos") + narrow).alias("end")).select("ref_id", "start", "end")
     return fine.unionByName(islands.select("ref_id", "start", "end").join(fine.select("ref_id").distinct(), "ref_id", "left_anti"))

@@ -1,12 +1,13 @@
-"""Session helpers."""
+"""Session helpers: shipping the package, tables between steps."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -24,3 +25,26 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
     sc._contactloom_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share; a temporary one only where none is set."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    own = getattr(spark.sparkContext, "_own_shared_dir", None)
+    if own is None:
+        own = spark.sparkContext._own_shared_dir = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return own
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared folder and read it again.
+
+    This cuts the lineage: after the loss of an executor only files are read,
+    and every consumer sees the same rows.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
