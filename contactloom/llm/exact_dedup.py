@@ -147,7 +147,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last[c] = ids[r]
         cols = {n: b.column(n) for n in b.schema.names}
         # the text of a class travels on only where salted parts must still be compared
-        cols["t"] = pa.compute.if_else(pa.array(first & b.column("hot").to_numpy(zero_copy_only=False)), b.column("t"), pa.scalar(None, b.column("t").type))
+        send = first & b.column("hot").to_numpy(zero_copy_only=False)
+        cols["t"] = pa.array([b.column("t")[r].as_py() if x else None for r, x in enumerate(send.tolist())], b.column("t").type)
         yield pa.RecordBatch.from_pydict(cols | {"c": pa.array(number), "again": pa.array(again)})
 
 

@@ -91,13 +91,14 @@ def reduce_instance(left: dict[int, int], capacity: int) -> list[tuple[int, tupl
             used = [j, k]
         elif smallest(3) > room:
             # the best pair within the room, by two pointers over the sizes
-            best, lo, hi = 0, 0, bisect.bisect_right(sizes, room) - 1
+            there = [s for s in sizes[: bisect.bisect_right(sizes, room)] if count(s)]
+            best, lo, hi = 0, 0, len(there) - 1
             while lo <= hi:
-                a, b = sizes[lo], sizes[hi]
+                a, b = there[lo], there[hi]
                 if a + b > room:
                     hi -= 1
                     continue
-                if count(a) >= 1 + (a == b) and count(b) >= 1:
+                if a < b or count(a) > 1:
                     best = max(best, a + b)
                 lo += 1
             s = largest(room - k, k)

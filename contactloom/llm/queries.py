@@ -102,39 +102,6 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
-OP4_SQL = """
-select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
-       count(*) over (partition by coalesce(text, '')) as group_size,
-       doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
-       sha256(coalesce(text, '')) as text_sha256
-from documents
-"""
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def op6_sql() -> str:
-    from contactloom.llm.licences import TEMPLATES, bigrams_of
-
-    rows = ", ".join(f"({_quoted(n)}, [{', '.join(map(_quoted, bigrams_of(t)))}])" for n, ts in TEMPLATES.items() for t in ts)
-    return f"""
-with templates(licence, tb) as (values {rows}),
-texts as (select doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)) as ls from documents),
-lines as (select doc_id, unnest(ls) as l, unnest(range(len(ls))) as line from texts),
-words as (select doc_id, line, list_filter(string_split(l, ' '), lambda x: x <> '') as w from lines),
-grams as (select doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from words where len(w) > 1),
-scored as (select doc_id, line, licence, (2000 * len(list_intersect(b, tb))) // (len(b) + len(tb)) as permille from grams, templates),
-best as (select doc_id, line, licence, permille from scored where permille >= 800
-         qualify row_number() over (partition by doc_id, line order by permille desc, licence) = 1),
-found as (select doc_id, count(*) as n, string_agg(distinct licence, ',' order by licence) as licences, max(permille) as best, string_agg(cast(line as varchar), ',' order by line) as lines
-          from best group by doc_id)
-select d.doc_id, coalesce(n, 0) as n_licence_lines, coalesce(licences, '') as licences, cast(coalesce(best, 0) as bigint) as best_permille, coalesce(lines, '') as lines
-from documents d left join found using (doc_id)
-"""
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -151,4 +118,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op6_licence_scan": op6_sql()}
+    from contactloom.llm.sql import oracle_sql
+
+    return oracle_sql()

@@ -1,36 +1,14 @@
-"""Shared helpers: intermediate tables, column selection, fixed-size Bloom filters."""
+"""Shared helpers: column selection and fixed-size Bloom filters."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contactloom.session import stage
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    own = getattr(spark.sparkContext, "_own_shared_dir", None)
-    if own is None:
-        own = spark.sparkContext._own_shared_dir = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return own
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it again.
-
-    This cuts the lineage: after the loss of an executor only files are read,
-    and every consumer sees the same rows.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["Bloom", "col", "field_type", "stage"]
 
 
 def col(name: str) -> Column:
@@ -42,11 +20,6 @@ def field_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
-def words(text: Column) -> Column:
-    """Runs of characters other than ASCII white space, as an array."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-
-
 class Bloom:
     """A Bloom filter of a fixed number of bits over rows of two integers.
 
