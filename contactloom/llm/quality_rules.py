@@ -21,7 +21,7 @@ GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
 #: ratio -> least distance of its limits from the quartiles
-GAPS = {"symbol_ratio": 0.02, "dup_line_ratio": 0.4, "repeat_ratio": 0.25, "word_length": 2.0}
+GAPS = {"symbol_ratio": 0.02, "dup_line_ratio": 0.4, "repeat_ratio": 0.35, "word_length": 2.0}
 #: ratios that are also limited from below
 BOTH_SIDES = ("word_length",)
 #: how many times the distance from median to quartile lies between quartile and limit
