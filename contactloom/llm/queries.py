@@ -49,7 +49,7 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id bigint, turn bigint, role string, text string")
+    more = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(says).alias("text"))
     out = chat_windows(turns.unionByName(more))
     turns = F.slice(read_turns(F.col("formatted")), F.col("n_repeated") + 1, F.size(read_turns(F.col("formatted"))))
     read = out.select("conv_id", F.struct("window_start", turns.alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).alias("w"), F.length("formatted").cast("bigint").alias("chars"))
