@@ -7,9 +7,10 @@
    of the bucket; pairs whose signatures cannot belong to similar sets go, the
    rest is confirmed on the full sets from the texts.  This joins the members
    of large groups without all their pairs.
-4. Buckets that still hold several components are searched exactly: all pairs
-   across components whose signatures agree enough are confirmed as well, in
-   blocks of bounded size.
+4. Buckets that still hold several components are searched exactly, in blocks
+   of bounded size: every pair across components whose signatures agree enough
+   is compared on the full sets unless it has been joined
+   meanwhile.  A block returns a tree of links, never its pairs.
 
 A pair at the threshold misses all bands with probability (1 - 0.75**4)**32,
 about 5e-6, and fails the signature test (55 % of the minima, over five
@@ -34,7 +35,7 @@ from contactloom.llm.tables import Bloom, col, field_type, stage
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
 #: Members of a bucket block; larger buckets are compared block by block.
-BLOCK = 1000
+BLOCK = 500
 #: Words a worker remembers the hash of.
 MOST_WORDS = 500_000
 
@@ -140,37 +141,89 @@ def _promising(percent):
     return run
 
 
-def _across(percent):
-    """Rows sorted by (key, p, q): pairs across components and, for p < q, across blocks."""
+def _groups(batches, columns, binary):
+    """Rows sorted by (key, p, q), a group at a time, as arrays (lists for the ``binary`` columns)."""
+    held = None
+    for b in _then_none(batches):
+        if b is not None:
+            rows = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "p", "q", *columns)}
+            rows |= {"sig": _signatures(b.column("sig"))}
+            rows |= {c: [x.tobytes() for x in binary_views(b.column(c))] for c in binary}
+            held = rows if held is None else {c: held[c] + rows[c] if c in binary else np.concatenate([held[c], rows[c]]) for c in held}
+        if held is None:
+            return
+        change = np.flatnonzero((np.diff(held["key"]) != 0) | (np.diff(held["p"]) != 0) | (np.diff(held["q"]) != 0)) + 1
+        cuts = [0, *change.tolist(), *([len(held["key"])] if b is None else [])]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            yield {c: v[lo:hi] for c, v in held.items()}
+        held = {c: v[cuts[-1] :] for c, v in held.items()}
+
+
+def _open_pairs(rows: dict, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Pairs of a group that may be similar and are in different components: a row and its partners."""
+    n, comp, block, sig = rows["n"], rows["c"], rows["block"], rows["sig"]
+    within = rows["p"][0] == rows["q"][0]
+    for x in range(len(n) - 1):
+        rest = slice(x + 1, None)
+        apart = comp[rest] != comp[x]
+        if not within:
+            apart &= block[rest] != block[x]
+        ys = np.flatnonzero(apart)
+        if len(ys):
+            ys += x + 1
+            ys = ys[agreeing(sig[x], sig[ys], n[x], n[ys], percent)]
+            if len(ys):
+                yield x, ys
+
+
+def _needed(percent):
+    """The rows of every group that have a partner to be compared with."""
 
-    def pairs(rows):
-        n, comp, block, ids = rows["n"], rows["c"], rows["block"], rows["i"]
-        sig = rows["sig"]
-        one = rows["p"][0] == rows["q"][0]
-        for x in range(len(ids) - 1):
-            rest = slice(x + 1, None)
-            hit = agreeing(sig[x], sig[rest], n[x], n[rest], percent) & (comp[rest] != comp[x])
-            if not one:
-                hit &= block[rest] != block[x]
-            for y in np.flatnonzero(hit):
-                other = ids[x + 1 + y]
-                yield (ids[x], other) if ids[x] < other else (other, ids[x])
+    def run(batches):
+        for rows in _groups(batches, ("block", "c", "n", "i"), ()):
+            hit = np.zeros(len(rows["n"]), bool)
+            for x, ys in _open_pairs(rows, percent):
+                hit[x] = True
+                hit[ys] = True
+            if hit.any():
+                cols = {c: pa.array(rows[c][hit]) for c in ("key", "p", "q", "block", "c", "n", "i")}
+                yield pa.RecordBatch.from_pydict(cols | {"sig": pa.array([x.tobytes() for x in rows["sig"][hit]], pa.binary())})
+
+    return run
+
+
+def _resolved(percent):
+    """Links between the components of a group, compared on full sets.
+
+    The shingles of a group are numbered, so that one gather and one sum give a
+    row's intersections with all others.  What is joined already is not
+    compared again: a group of similar texts gives a tree of links.
+    """
 
     def run(batches):
-        held = None
-        for b in _then_none(batches):
-            out = []
-            if b is not None:
-                rows = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "p", "q", "block", "c", "n", "i")} | {"sig": _signatures(b.column("sig"))}
-                held = rows if held is None else {c: np.concatenate([held[c], rows[c]]) for c in rows}
-            if held is None:
+        for rows in _groups(batches, ("block", "c", "n", "i"), ("t",)):
+            # rows of one component begin joined
+            _, root = np.unique(rows["c"], return_inverse=True)
+            if root.max() == 0:
                 continue
-            change = np.flatnonzero((np.diff(held["key"]) != 0) | (np.diff(held["p"]) != 0) | (np.diff(held["q"]) != 0)) + 1
-            cuts = [0, *change.tolist(), *([len(held["key"])] if b is None else [])]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                if len(set(held["c"][lo:hi].tolist())) > 1:
-                    out += pairs({c: v[lo:hi] for c, v in held.items()})
-            held = {c: v[cuts[-1] :] for c, v in held.items()}
+            sets = [shingle_set(t) for t in rows["t"]]
+            sizes = np.array([len(x) for x in sets])
+            names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.r_[0, np.cumsum(sizes)[:-1]]
+            mark = np.zeros(len(names), np.int32)
+            out = []
+            for x, ys in _open_pairs(rows, percent):
+                ys = ys[root[ys] != root[x]]
+                if not len(ys):
+                    continue
+                own = flat[starts[x] : starts[x] + sizes[x]]
+                mark[own] = 1
+                both = np.add.reduceat(mark[flat], starts)[ys]
+                mark[own] = 0
+                for y in ys[100 * both >= percent * (sizes[x] + sizes[ys] - both)].tolist():
+                    if root[x] != root[y]:
+                        out.append(sorted((int(rows["i"][x]), int(rows["i"][y]))))
+                        root[root == root[y]] = root[x]
             yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
@@ -208,13 +261,16 @@ def _listed(bloom):
     return run
 
 
-def _confirm(pairs: DataFrame, src: DataFrame, percent: int) -> DataFrame:
-    """Check pairs of ids on their texts; only texts of such ids are shuffled."""
+def _texts_of(ids: DataFrame, src: DataFrame) -> DataFrame:
+    """(i, t) of the listed ids, without shuffling the texts of most others."""
     halves = [F.pmod(F.xxhash64("i"), F.lit(2147483647)).alias("h1"), F.pmod(F.xxhash64(F.lit(1), "i"), F.lit(2147483647)).alias("h2")]
-    ids = pairs.select(F.col("a").alias("i")).union(pairs.select(F.col("b").alias("i"))).distinct()
-    bloom = src.sparkSession.sparkContext.broadcast(Bloom.build(ids.select(*halves), "h1", "h2"))
-    texts = src.select("i", "t", *halves).mapInArrow(_listed(bloom), "i bigint, t string")
-    one = texts.dropDuplicates(["i"])
+    bloom = src.sparkSession.sparkContext.broadcast(Bloom.build(ids.select("i").distinct().select(*halves), "h1", "h2"))
+    return src.select("i", "t", *halves).mapInArrow(_listed(bloom), "i bigint, t string").dropDuplicates(["i"])
+
+
+def _confirm(pairs: DataFrame, src: DataFrame, percent: int) -> DataFrame:
+    """Check pairs of ids on their texts."""
+    one = _texts_of(pairs.select(F.col("a").alias("i")).union(pairs.select(F.col("b").alias("i"))), src)
     full = pairs.join(one.select(F.col("i").alias("b"), F.col("t").alias("y")), "b").join(one.select(F.col("i").alias("a"), F.col("t").alias("x")), "a")
     return full.select("a", "b", "x", "y").sortWithinPartitions("a").mapInArrow(_confirmed(percent), "a bigint, b bigint")
 
@@ -255,10 +311,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = F.expr(f"cast(m div {BLOCK} + 1 as int)")
     rest = labelled.join(unsettled, "key").join(signed, "i").withColumn("block", F.pmod(F.xxhash64("i"), parts).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("p", F.least("block", "other")).withColumn("q", F.greatest("block", "other"))
-    rest = rest.select("key", "p", "q", "block", "c", "n", "i", "sig").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    more = rest.mapInArrow(_across(percent), "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti")
-    more = stage(more, "more")
-    found = links.unionByName(_confirm(more, texts, percent)) if more.limit(1).count() else links
+    group = ["key", "p", "q"]
+    rest = rest.select(*group, "block", "c", "n", "i", "sig").repartition(*group).sortWithinPartitions(*group)
+    needed = stage(rest.mapInArrow(_needed(percent), "key bigint, p int, q int, block int, c bigint, n bigint, i bigint, sig binary"), "needed")
+    found = links
+    if needed.limit(1).count():
+        with_text = needed.join(_texts_of(needed, texts), "i").select(*group, "block", "c", "n", "i", "sig", "t")
+        found = links.unionByName(with_text.repartition(*group).sortWithinPartitions(*group).mapInArrow(_resolved(percent), "a bigint, b bigint"))
     final = connected_components(found).withColumnRenamed("node", "i")
     by_set = classes.select("s1", "s2", "i").join(final, "i", "left").select("s1", "s2", F.coalesce("component", "i").alias("c"))
     out = rows.select("i", "n", "s1", "s2").join(by_set, ["s1", "s2"], "left")
