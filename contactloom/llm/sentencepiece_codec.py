@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contactloom.llm.tables import col, field_type
-from contactloom.llm.tokens import MOST_WORDS
+from contactloom.llm.tokens import Remembered
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -39,32 +39,26 @@ class ChunkTable:
         if self.model.encode("a a") != self.model.encode("a") * 2 or self.model.encode(" a") == self.model.encode("a"):
             raise ValueError("this model needs a dummy prefix and must keep white space")
         self.mark_id = self.model.piece_to_id(MARK)
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known = Remembered(self.learn)
 
     @classmethod
     @cache
     def of(cls, file: str) -> ChunkTable:
         return cls(file)
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: set[str]) -> dict[str, tuple[bytes, str]]:
         todo = sorted(chunks)
         # the library puts the first mark itself; nothing but that mark would encode as nothing
         ids = self.model.encode([c[1:] for c in todo], num_threads=1)
         ids = [i if c != MARK else [self.mark_id] for i, c in zip(ids, todo, strict=True)]
         texts = self.model.decode(ids, num_threads=1)
-        for c, i, t in zip(todo, ids, texts, strict=True):
-            self.known[c] = (np.array(i, "<i4").tobytes(), " " + t)
+        return {c: (np.array(i, "<i4").tobytes(), " " + t) for c, i, t in zip(todo, ids, texts, strict=True)}
 
     def __call__(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """For each text its ids (little-endian 32-bit) and their decoding."""
         split = [CHUNKS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        fresh = set().union(*split).difference(self.known)
-        if len(self.known) + len(fresh) > MOST_WORDS:
-            self.known = {}
-            fresh = set().union(*split)
-        if fresh:
-            self.learn(fresh)
-        found = [[self.known[c] for c in s] for s in split]
+        known = self.known.covering(set().union(*split))
+        found = [[known[c] for c in s] for s in split]
         # decoding drops the mark that encoding put in front
         return [b"".join([f[0] for f in s]) for s in found], ["".join([f[1] for f in s])[1:] for s in found]
 

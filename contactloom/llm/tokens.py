@@ -13,10 +13,38 @@ from functools import cache
 
 import numpy as np
 
-#: Words a worker remembers; when there are more, it starts afresh.
+#: Words of a generation; a worker remembers two of them.
 MOST_WORDS = 400_000
 
 
+class Remembered:
+    """Values of strings, made in bulk, of which the ones in use stay.
+
+    New entries and those met again live in the young generation.  When it is
+    full it becomes the old one, whose rest is forgotten.
+    """
+
+    def __init__(self, make):
+        self.make, self.young, self.old = make, {}, {}
+
+    def covering(self, wanted: set[str]) -> dict:
+        """A table that holds all of ``wanted``."""
+        missing = wanted.difference(self.young)
+        if len(self.young) + len(missing) > MOST_WORDS:
+            self.old, self.young = self.young, {}
+            missing = wanted
+        fresh = set()
+        for w in missing:
+            v = self.old.get(w)
+            if v is None:
+                fresh.add(w)
+            else:
+                self.young[w] = v
+        if fresh:
+            self.young.update(self.make(fresh))
+        return self.young
+
+
 class WordEncoder:
     """Ids of whole texts by a ``tokenizers`` file whose pre-tokenizer keeps words apart.
 
@@ -35,7 +63,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(file)
-        self.known: dict[str, bytes] = {}
+        self.words, self.strings = Remembered(self.learn), Remembered(self.compose)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
         vocab = self.library.get_vocab()
@@ -48,9 +76,9 @@ class WordEncoder:
     def of(cls, file: str) -> WordEncoder:
         return cls(file)
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[str]) -> dict[str, bytes]:
         """Encode new words, many in one call; a word's last piece carries the end mark."""
-        todo = sorted(words)
+        todo, out = sorted(words), {}
         for at in range(0, len(todo), 2000):
             part = todo[at : at + 2000]
             ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
@@ -58,20 +86,21 @@ class WordEncoder:
             if len(cuts) == len(part):
                 start = 0
                 for w, c in zip(part, cuts.tolist(), strict=True):
-                    self.known[w] = ids[start:c].tobytes()
+                    out[w] = ids[start:c].tobytes()
                     start = c
             else:
                 for w in part:
-                    self.known[w] = np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+                    out[w] = np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+    def compose(self, strings: set[str]) -> dict[str, bytes]:
+        """Ids of strings between white space from those of their words."""
+        split = {s: self.SPLIT.findall(s) for s in strings}
+        get = self.words.covering(set().union(*split.values()))
+        return {s: b"".join([get[w] for w in words]) for s, words in split.items()}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        split = [self.SPLIT.findall(t.lower()) if self.PLAIN.fullmatch(t) and not self.special.search(t) else None for t in texts]
-        fresh = set().union(*(w for w in split if w is not None)).difference(self.known)
-        if len(self.known) + len(fresh) > MOST_WORDS:
-            self.known = {}
-            fresh = set().union(*(w for w in split if w is not None))
-        if fresh:
-            self.learn(fresh)
-        get = self.known.__getitem__
+        split = [t.lower().split() if self.PLAIN.fullmatch(t) and not self.special.search(t) else None for t in texts]
+        get = self.strings.covering(set().union(*(w for w in split if w is not None))).__getitem__
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
