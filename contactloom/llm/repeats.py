@@ -5,12 +5,12 @@ first digit of a window of ``length`` bytes is a 128-byte string chosen by its
 content (winnowing picks at least one in every window, the same in every copy),
 so only about one position in 137 is sorted at all:
 
-1. A scan emits for every such anchor its first digit, the hash of the 128
-   bytes, and a second one, the hash of the whole context its windows can reach.
-   Anchors equal in both digits are equal through every depth: all windows
-   around them are repeated.  Anchors alone in their first digit are unique.
+1. A scan counts the first digits, hashes of the 128 bytes; anchors alone in
+   theirs are unique.  A second scan emits the others with a second digit, the
+   hash of the whole context their windows can reach.  Anchors equal in both
+   are equal through every depth: all windows around them are repeated.
 2. Only anchors that share the first digit but not the second go deeper.  A
-   second scan ships one context for each distinct pair of digits; within a
+   third scan ships one context for each distinct pair of digits; within a
    first digit the windows of all contexts are compared at every offset.
    First digits with very many contexts are counted window by window instead.
 3. All windows of an anchor contain the anchor, so what its repeated windows
@@ -34,9 +34,11 @@ from contactloom.llm.tables import Bloom, col, field_type, stage
 GRAM = 128
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes hashed at a time; longer texts are scanned in overlapping tiles.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Distinct contexts of a first digit beyond which its windows are counted by Spark.
 GROUP = 20_000
+#: Bits of the filters that keep unique positions and texts out of shuffles, 4 MB each.
+BLOOM_BITS = 1 << 25
 
 
 @cache
@@ -139,7 +141,21 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.r_[new[1:] - 1, len(end) - 1]] if len(start) else end
 
 
-def _anchors(length):
+def _first_digits(length):
+    """(h1, c): the first digits of each slice and how often they occur there."""
+
+    def run(batches):
+        for b in batches:
+            for _, texts in _slices(b):
+                h1, c = np.unique(Anchors(texts, length).h1, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"h1": pa.array(h1.view(np.int64)), "c": pa.array(c)})
+
+    return run
+
+
+def _anchors(length, shared):
+    """Anchors whose first digit occurs again, one for each pair of digits of a slice; runs that repeat right here."""
+
     def run(batches):
         for b in batches:
             keys = b.column("k").to_numpy()
@@ -151,6 +167,8 @@ def _anchors(length):
                 start = x.pos - x.left
                 end = x.pos - np.maximum(0, length - x.right) + length
                 again = np.flatnonzero(counts[number] > 1)
+                hit = shared.value.has(*_probe(x.h1[first].view(np.int64)))
+                counts, first = counts[hit], first[hit]
                 out = {"k": [keys[base + x.text[first]]], "a": [start[first]], "z": [end[first]]}
                 # repeated right here: their runs are known, one representative goes on
                 for r in np.unique(x.text[again]):
@@ -160,8 +178,7 @@ def _anchors(length):
                     out["a"].append(a)
                     out["z"].append(z)
                 out = {c: np.concatenate(v) for c, v in out.items()}
-                n = len(out["k"]) - len(first)
-                pad = np.zeros(n, np.int64)
+                pad = np.zeros(len(out["k"]) - len(first), np.int64)
                 out |= {"h1": np.r_[x.h1[first].view(np.int64), pad], "h2": np.r_[x.h2[first].view(np.int64), pad], "c": np.r_[counts, pad]}
                 yield pa.RecordBatch.from_pydict({c: pa.array(out[c]) for c in ("k", "h1", "h2", "c", "a", "z")})
 
@@ -187,7 +204,7 @@ def _probed(*names):
 
 def _bloom(rows: DataFrame, *names: str):
     keys = rows.select(*names).mapInArrow(_probed(*names), "p1 bigint, p2 bigint")
-    return rows.sparkSession.sparkContext.broadcast(Bloom.build(keys, "p1", "p2"))
+    return rows.sparkSession.sparkContext.broadcast(Bloom.build(keys, "p1", "p2", BLOOM_BITS))
 
 
 def _contexts(length, wanted):
@@ -209,30 +226,47 @@ def _contexts(length, wanted):
     return run
 
 
-def window_hashes(left: np.ndarray, contexts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """A row per context, a column per distance d of the anchor from the window's start: hash, possible."""
-    sizes = np.array([len(c) for c in contexts], np.int64)
-    base = np.r_[0, np.cumsum(sizes)[:-1]]
-    h = Hashed(np.concatenate(contexts))
-    d = np.arange(length - GRAM + 1)
-    start = (base + left)[:, None] - d
-    possible = (d <= left[:, None]) & (left[:, None] - d + length <= sizes[:, None])
-    start = np.where(possible, start, 0)
-    hashes = h.of(start.ravel(), np.where(possible, start + length, 0).ravel()).reshape(start.shape)
-    return mix(hashes + d.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), possible
+class Windows:
+    """Hashes of the windows of some contexts, by distance d of the anchor from the window's start."""
+
+    def __init__(self, left: np.ndarray, contexts: list[np.ndarray], length: int):
+        self.left, self.length = left, length
+        self.sizes = np.array([len(c) for c in contexts], np.int64)
+        self.base = np.r_[0, np.cumsum(self.sizes)[:-1]]
+        self.hashed = Hashed(np.concatenate(contexts))
+
+    def at(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A row per context, a column per distance: hash, possible."""
+        start = (self.base + self.left)[:, None] - d
+        possible = (d <= self.left[:, None]) & (self.left[:, None] - d + self.length <= self.sizes[:, None])
+        start = np.where(possible, start, 0)
+        hashes = self.hashed.of(start.ravel(), np.where(possible, start + self.length, 0).ravel()).reshape(start.shape)
+        return mix(hashes + d.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), possible
 
 
 def _compare(rows: dict, length: int) -> pa.RecordBatch:
-    hashes, possible = window_hashes(rows["l"], rows["t"], length)
-    values = hashes[possible]
-    ordered = np.sort(values)
-    twice = ordered[1:][ordered[1:] == ordered[:-1]]
-    repeated = np.zeros(possible.shape, bool)
-    if len(twice):
-        place = np.minimum(np.searchsorted(twice, values), len(twice) - 1)
-        repeated[possible] = twice[place] == values
-    hit = repeated.any(axis=1)
-    nearest, farthest = repeated.argmax(axis=1), possible.shape[1] - 1 - repeated[:, ::-1].argmax(axis=1)
+    n, width = len(rows["k"]), length - GRAM + 1
+    every, there = np.empty((n, width), np.uint64), np.empty((n, width), bool)
+    for at in range(0, n, 1000):
+        part = slice(at, at + 1000)
+        every[part], there[part] = Windows(rows["l"][part], rows["t"][part], length).at(np.arange(width))
+    nearest, farthest = np.full(n, width), np.full(n, -1)
+    # windows are equal at equal distances only, so a few distances at a time are enough
+    step = max(1, 500_000 // n)
+    for lo in range(0, width, step):
+        d = np.arange(lo, min(lo + step, width))
+        hashes, possible = every[:, d], there[:, d]
+        values = hashes[possible]
+        ordered = np.sort(values)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        if not len(twice):
+            continue
+        repeated = np.zeros(possible.shape, bool)
+        repeated[possible] = twice[np.minimum(np.searchsorted(twice, values), len(twice) - 1)] == values
+        hit = repeated.any(axis=1)
+        nearest[hit] = np.minimum(nearest[hit], d[repeated[hit].argmax(axis=1)])
+        farthest[hit] = np.maximum(farthest[hit], d[len(d) - 1 - repeated[hit][:, ::-1].argmax(axis=1)])
+    hit = farthest >= 0
     return pa.RecordBatch.from_pydict({"k": pa.array(rows["k"][hit]), "a": pa.array((rows["p"] - farthest)[hit]), "z": pa.array((rows["p"] - nearest + length)[hit])})
 
 
@@ -249,11 +283,11 @@ def _compared(length):
                 continue
             # whole groups, some thousand rows at a time
             edges = np.r_[0, np.flatnonzero(np.diff(held["h1"])) + 1, [len(held["k"])] if b is None else []].astype(np.int64)
-            lo = 0
-            for e, nxt in zip(edges[1:], np.r_[edges[2:], -1], strict=True):
-                if nxt == -1 or nxt - lo > 2000:
+            lo, ends = 0, edges[1:].tolist()
+            for k, e in enumerate(ends):
+                if k == len(ends) - 1 or ends[k + 1] - lo > 2000:
                     yield _compare({c: v[lo:e] for c, v in held.items()}, length)
-                    lo = int(e)
+                    lo = e
             held = {c: v[lo:] for c, v in held.items()}
 
     return run
@@ -269,7 +303,7 @@ def _windows(length):
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                hashes, possible = window_hashes(part.column("l").to_numpy(), list(binary_views(part.column("t"))), length)
+                hashes, possible = Windows(part.column("l").to_numpy(), list(binary_views(part.column("t"))), length).at(np.arange(length - GRAM + 1))
                 r, d = np.nonzero(possible)
                 yield pa.RecordBatch.from_pydict({c: part.column(c).take(pa.array(r)) for c in ("k", "h1", "p")} | {"d": pa.array(d), "w": pa.array(hashes[possible].view(np.int64))})
 
@@ -277,7 +311,7 @@ def _windows(length):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         size, removed, spans, kept = [], [], [], []
         a, z = b.column("a").to_pylist(), b.column("z").to_pylist()
         for r, t in enumerate(binary_views(b.column("t"))):
@@ -309,7 +343,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     t = F.coalesce(col(text_col).cast("string"), F.lit(""))
     # names a row by its content, so null and repeated ids are no special case
     src = docs.select(col(id_col).alias("i"), F.xxhash64(col(id_col), t).alias("k"), t.alias("t"))
-    anchors = stage(src.select("k", "t").mapInArrow(_anchors(length), "k bigint, h1 bigint, h2 bigint, c bigint, a bigint, z bigint"), "anchors")
+    texts = src.select("k", "t")
+    seen = texts.mapInArrow(_first_digits(length), "h1 bigint, c bigint").groupBy("h1").agg(F.sum("c").alias("c"))
+    shared = _bloom(seen.where("c > 1"), "h1")
+    anchors = stage(texts.mapInArrow(_anchors(length, shared), "k bigint, h1 bigint, h2 bigint, c bigint, a bigint, z bigint"), "anchors")
     digits = anchors.where("c > 0")
     pairs = stage(digits.groupBy("h1", "h2").agg(F.sum("c").alias("c"), F.min("k").alias("k")), "digits")
     known = anchors.where("c = 0").select("k", "a", "z").unionByName(digits.drop("c").join(pairs.where("c > 1").select("h1", "h2"), ["h1", "h2"]).select("k", "a", "z"))
@@ -317,14 +354,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = pairs.groupBy("h1").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1")
     contested = stage(pairs.join(groups.select("h1", "m"), "h1").select("k", "h1", "h2", "m"), "contested")
     wanted = _bloom(contested, "k", "h1", "h2")
-    ctx = stage(src.select("k", "t").mapInArrow(_contexts(length, wanted), "k bigint, h1 bigint, p bigint, l bigint, t binary"), "contexts")
+    ctx = texts.mapInArrow(_contexts(length, wanted), "k bigint, h1 bigint, p bigint, l bigint, t binary")
     large = contested.where(F.col("m") > GROUP).select("h1").distinct()
-    small = ctx.join(large, "h1", "left_anti").repartition("h1").sortWithinPartitions("h1")
-    deeper = small.select("k", "h1", "p", "l", "t").mapInArrow(_compared(length), "k bigint, a bigint, z bigint")
-    windows = ctx.join(large, "h1", "left_semi").select("k", "h1", "p", "l", "t").mapInArrow(_windows(length), "k bigint, h1 bigint, p bigint, d bigint, w bigint")
-    twice = windows.groupBy("h1", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "w")
-    counted = windows.join(twice, ["h1", "w"]).groupBy("k", "p").agg((F.col("p") - F.max("d")).alias("a"), (F.col("p") - F.min("d") + length).alias("z")).select("k", "a", "z")
-
-    runs = known.unionByName(deeper).unionByName(counted).groupBy("k").agg(F.collect_list("a").alias("a"), F.collect_list("z").alias("z"))
-    out = src.join(runs, "k", "left").select("i", "t", "a", "z").mapInArrow(_cut, f"i {field_type(docs, id_col)}, n bigint, removed bigint, spans bigint, kept binary")
+    runs = known
+    if large.limit(1).count():
+        ctx = stage(ctx, "contexts")
+        runs = runs.unionByName(_counted(ctx.join(large, "h1", "left_semi"), length))
+        ctx = ctx.join(large, "h1", "left_anti")
+    ordered = ctx.select("k", "h1", "p", "l", "t").repartition("h1").sortWithinPartitions("h1")
+    runs = runs.unionByName(ordered.mapInArrow(_compared(length), "k bigint, a bigint, z bigint"))
+    runs = stage(runs.groupBy("k").agg(F.collect_list("a").alias("a"), F.collect_list("z").alias("z")), "runs")
+
+    # only texts with something to cut are shuffled
+    cut = _bloom(runs, "k")
+    kinds = f"i {field_type(docs, id_col)}, k bigint, t string"
+    none = src.mapInArrow(_chosen(cut, False), kinds).withColumns({"a": F.lit(None).cast("array<bigint>"), "z": F.lit(None).cast("array<bigint>")})
+    some = src.mapInArrow(_chosen(cut, True), kinds).join(runs, "k", "left")
+    out = none.select("i", "t", "a", "z").unionByName(some.select("i", "t", "a", "z")).mapInArrow(_cut, f"i {field_type(docs, id_col)}, n bigint, removed bigint, spans bigint, kept binary")
     return out.select(F.col("i").alias(id_col), F.col("n").alias("n_bytes"), F.col("removed").alias("n_removed"), F.col("spans").alias("n_spans"), F.col("kept").alias("kept_bytes"))
+
+
+def _chosen(bloom, wanted: bool):
+    """Rows whose key may have runs, or those that surely have none."""
+
+    def run(batches):
+        for b in batches:
+            hit = bloom.value.has(*_probe(b.column("k").to_numpy()))
+            yield b.filter(pa.array(hit if wanted else ~hit))
+
+    return run
+
+
+def _counted(ctx: DataFrame, length: int) -> DataFrame:
+    """Runs of repeated windows of very large groups, by counting windows."""
+    windows = ctx.select("k", "h1", "p", "l", "t").mapInArrow(_windows(length), "k bigint, h1 bigint, p bigint, d bigint, w bigint")
+    twice = windows.groupBy("h1", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "w")
+    return windows.join(twice, ["h1", "w"]).groupBy("k", "p").agg((F.col("p") - F.max("d")).alias("a"), (F.col("p") - F.min("d") + length).alias("z")).select("k", "a", "z")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,22 @@ def field_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+#: 64-bit cells of a filter that travel as one value.
+BLOCK_CELLS = 1024
+
+
+def _packed(batches):
+    """Cells of the filter as the bytes of whole blocks."""
+    blocks: dict[int, np.ndarray] = {}
+    for b in batches:
+        block, cell, v = (b.column(c).to_numpy() for c in ("block", "cell", "v"))
+        for k in np.unique(block).tolist():
+            here = block == k
+            blocks.setdefault(k, np.zeros(BLOCK_CELLS, np.int64))[cell[here] % BLOCK_CELLS] = v[here]
+    if blocks:
+        yield pa.RecordBatch.from_pydict({"block": pa.array(list(blocks), pa.int64()), "v": pa.array([v.tobytes() for v in blocks.values()], pa.binary())})
+
+
 class Bloom:
     """A Bloom filter of a fixed number of bits over rows of two integers.
 
@@ -43,8 +60,11 @@ class Bloom:
             .groupBy(F.expr("at div 64").alias("cell"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v"))
         )
-        got = cells.toPandas()
-        out.cells[got["cell"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64)
+        packed = cells.withColumn("block", F.expr(f"cell div {BLOCK_CELLS}")).repartition("block").mapInArrow(_packed, "block bigint, v binary")
+        for row in packed.collect():
+            part = np.frombuffer(row["v"], np.int64)
+            at0 = row["block"] * BLOCK_CELLS
+            out.cells[at0 : at0 + BLOCK_CELLS] |= part[: len(out.cells) - at0]
         return out
 
     def has(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
