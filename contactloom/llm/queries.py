@@ -60,16 +60,16 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from contactloom.llm.licences import licence_lines
+    from contactloom.llm.licences import licence_notices
 
-    out = licence_lines(table(spark, sf_dir, "documents"))
+    out = licence_notices(table(spark, sf_dir, "documents"))
     part = lambda f: F.transform("matches", f)
     return out.select(
         "doc_id",
-        F.size("matches").cast("bigint").alias("n_licence_lines"),
+        F.size(F.array_distinct(part(lambda m: m["line"]))).cast("bigint").alias("n_licence_lines"),
         F.array_join(F.array_sort(F.array_distinct(part(lambda m: m["licence"]))), ",").alias("licences"),
         F.coalesce(F.array_max(part(lambda m: m["permille"])), F.lit(0)).cast("bigint").alias("best_permille"),
-        F.array_join(part(lambda m: m["line"].cast("string")), ",").alias("lines"),
+        F.array_join(F.array_distinct(part(lambda m: m["line"].cast("string"))), ",").alias("lines"),
     )
 
 

@@ -1,9 +1,10 @@
 import random
 import re
+import textwrap
 
 import pytest
 
-from contactloom.llm.licences import TEMPLATES, bigrams_of, licence_lines
+from contactloom.llm.licences import LONGER, TEMPLATES, bigrams_of, licence_lines, licence_notices
 
 
 def model(text, threshold=0.8):
@@ -47,3 +48,29 @@ def test_own_templates_and_edges(documents):
     assert licence_lines(documents([])).count() == 0
     with pytest.raises(ValueError):
         licence_lines(df, templates={"X": ["one"]})
+
+
+def test_notices_over_lines_and_inside_lines(documents):
+    apart = {}
+    for name, ts in sorted(TEMPLATES.items()):
+        for t in ts:
+            apart[name, t] = textwrap.fill(t, 40), f"before it stand some words {t} and others follow behind it until the end of a line that is long"
+    mit, bsd, isc = (LONGER[k][-1] for k in ("MIT", "BSD", "ISC"))
+    texts = [(name, x) for (name, _), both in apart.items() for x in both]
+    texts += [(k, textwrap.fill(t, 72)) for k, t in (("MIT", mit), ("BSD", bsd), ("ISC", isc))] + [("MIT", mit), ("ISC", isc)]
+    texts += [(name, f"x y z\n{textwrap.fill(t, 72)}\nmore") for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "Apache-2.0") for t in LONGER[name]]
+    texts += [("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("CC-BY-SA-3.0", "Licensed under CC BY-SA 3.0.")]
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in licence_notices(documents(list(enumerate(x for _, x in texts)), clash=True)).collect()}
+    wrong = [(name, x[:80], got[k]) for k, (name, x) in enumerate(texts) if {m[1] for m in got[k]} != {name}]
+    assert not wrong
+
+
+def test_notices_keep_all_lines_and_their_places(documents, edge_pairs):
+    mit = TEMPLATES["MIT"][2]
+    texts = [(100, f"one\n\n{textwrap.fill(mit, 30)}\nx Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.\nother"), (101, "\n".join([TEMPLATES["MIT"][0]] * 40)), (102, "nothing of the sort in the words of the text")]
+    pairs = [p for p in edge_pairs if p[0] not in (None, 5)] + texts
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in licence_notices(documents(pairs, clash=True)).collect()}
+    at = 3 + textwrap.fill(mit, 30).count("\n")
+    assert got[100] == [(2, "MIT", 1000), (at, "CC-BY-4.0", 1000), (at, "CC-BY-NC-4.0", 1000)]
+    assert got[101] == [(k, "MIT", 1000) for k in range(40)]
+    assert all(not got[i] for i, _ in pairs if i not in (100, 101))
