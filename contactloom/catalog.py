@@ -166,7 +166,8 @@ def kmeans_groups(spark, d):
 
 
 def force_layout(spark, d):
-    return graph.force_layout(_nodes(spark, d), weighted_edges(spark, d), max_iter=8)
+    # the stop rule ends it; the bound is for safety only
+    return graph.force_layout(_nodes(spark, d), weighted_edges(spark, d), max_iter=10_000)
 
 
 def queries() -> dict[str, Query]:

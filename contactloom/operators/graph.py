@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 
 from contactloom.session import stage
 
+log = logging.getLogger(__name__)
+
 #: Cells per side of the grid that stands for far nodes.
 CELLS = 24
 
@@ -61,8 +65,9 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
     their degrees plus one over the distance; for that the nodes are summed up
     in a grid of CELLS x CELLS cells, the only thing that reaches all tasks.
     Steps shrink as they swing, and the layout ends when a node moves less than
-    ``change_per_node`` on average.  Every round is written to the shared
-    folder, so its lineage is one file scan.
+    ``change_per_node`` on average.  The log says after how many rounds, and
+    warns where ``max_iter`` ended it before.  Every round is written to the
+    shared folder, so its lineage is one file scan.
     """
     links = weighted_edges.where("src <> dst")
     ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "weight"), F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "weight"))).alias("e")).select("e.a", "e.b", "e.weight")
@@ -71,10 +76,11 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
     x, y = _start(F.col("node_id"), seed)
     state = nodes.select("node_id").distinct().join(degree, "node_id", "left")
     state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy"), F.lit(0.0).alias("moved")), "layout")
-    for _ in range(max_iter):
+    moved = None
+    for k in range(max_iter):
         box = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         if box[0] is None:
-            break
+            return state.select("node_id", "x", "y")
         w, h = (box[1] - box[0]) / CELLS + 1e-9, (box[3] - box[2]) / CELLS + 1e-9
         cell = [F.least(F.floor((F.col("x") - box[0]) / w), F.lit(CELLS - 1)), F.least(F.floor((F.col("y") - box[2]) / h), F.lit(CELLS - 1))]
         sums = state.groupBy(cell[0].alias("cx"), cell[1].alias("cy")).agg(F.sum("mass").alias("m"), F.sum(F.col("mass") * F.col("x")).alias("mx"), F.sum(F.col("mass") * F.col("y")).alias("my"))
@@ -98,6 +104,10 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
                 yield pd.DataFrame({"node_id": b["node_id"], "mass": mass, "x": x + fx * speed, "y": y + fy * speed, "fx": fx, "fy": fy, "moved": size * speed})
 
         state = stage(joined.mapInPandas(move, state.schema), "layout")
-        if state.agg(F.avg("moved")).first()[0] < change_per_node:
+        moved = state.agg(F.avg("moved")).first()[0]
+        if moved < change_per_node:
+            log.info("layout converged: %d rounds, mean displacement %.3f", k + 1, moved)
             break
+    else:
+        log.warning("layout not converged: %d rounds, mean displacement %s", max_iter, moved)
     return state.select("node_id", "x", "y")

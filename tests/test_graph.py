@@ -1,7 +1,9 @@
+import logging
 import random
 
 import pytest
 
+from contactloom import catalog
 from contactloom.operators import graph
 
 
@@ -38,3 +40,21 @@ def test_kmeans_covers_all_nodes(spark, rows):
     got = rows(members)
     assert [n for _, n in sorted(got, key=lambda r: r[1])] == list(range(30)) and centers.count() == 3
     assert len({(g, n // 10) for g, n in got}) == 3
+
+
+def test_layout_query_runs_to_its_stop_rule(spark, rows, monkeypatch, caplog):
+    rnd = random.Random(1)
+    links = [(a, b, 5.0) for g in (0, 10) for a in range(g, g + 10) for b in range(a + 1, g + 10) if rnd.random() < 0.8]
+    nodes = spark.createDataFrame([(k,) for k in range(20)], "node_id bigint").coalesce(1)
+    edges = spark.createDataFrame(links, "src bigint, dst bigint, weight double").coalesce(1)
+    monkeypatch.setattr(catalog, "_nodes", lambda *_: nodes)
+    monkeypatch.setattr(catalog, "weighted_edges", lambda *_: edges)
+    with caplog.at_level(logging.INFO, graph.__name__):
+        at = {n: (x, y) for n, x, y in rows(catalog.force_layout(spark, ""))}
+        assert "layout converged" in caplog.text
+        graph.force_layout(nodes, edges, max_iter=1)
+        assert "layout not converged: 1 rounds" in caplog.text
+    dist = lambda a, b: ((at[a][0] - at[b][0]) ** 2 + (at[a][1] - at[b][1]) ** 2) ** 0.5
+    mean = lambda p: sum(dist(a, b) for a, b in p) / len(p)
+    inside, between = mean([(a, b) for a in range(10) for b in range(a)]), mean([(a, b) for a in range(10) for b in range(10, 20)])
+    assert 4 * inside < between
