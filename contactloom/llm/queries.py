@@ -99,7 +99,7 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contactloom.llm.repeats import remove_repeats
 
     out = remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), "n_shared")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

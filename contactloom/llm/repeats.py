@@ -1,20 +1,26 @@
-"""Removal of long repeated byte strings by depth-limited sorting of contexts.
-
-Sorting every suffix of a corpus would move each byte many times.  Here the
-first digit of a window of ``length`` bytes is a 128-byte string chosen by its
-content (winnowing picks at least one in every window, the same in every copy),
-so only about one position in 137 is sorted at all:
-
-1. A scan counts the first digits, hashes of the 128 bytes; anchors alone in
-   theirs are unique.  A second scan emits the others with a second digit, the
-   hash of the whole context their windows can reach.  Anchors equal in both
-   are equal through every depth: all windows around them are repeated.
-2. Only anchors that share the first digit but not the second go deeper.  A
-   third scan ships one context for each distinct pair of digits; within a
-   first digit the windows of all contexts are compared at every offset.
-   First digits with very many contexts are counted window by window instead.
-3. All windows of an anchor contain the anchor, so what its repeated windows
-   cover is one run of bytes; the runs of a document are merged and cut out.
+"""Removal of long repeated byte strings by depth-limited radix passes.
+
+Every window of ``length`` bytes belongs to one place in it, chosen by content:
+the least hash of the 128-byte strings that begin in its first half (winnowing),
+so equal windows have their place at the same distance.  Only these places,
+about one byte in 65, stand for suffixes; they are told apart digit by digit,
+most significant first, and classes of one go after each pass:
+
+1. The first digit of a place is its 128 bytes.  A scan counts them; places
+   alone in their class are unique.
+2. The second digit is the suffix up to the depth that all windows of a place
+   have in common (272 bytes for 400), the third all that its own windows
+   cover.  Places equal in all three have every window repeated.
+3. Places that share the suffix but not what their windows cover are told apart
+   by zones of 16 windows: again by what the windows of a zone have in common,
+   then by all that they cover.
+4. What is still open in a zone is told apart window by window, at full depth.
+   Equal groups are exactly the repeated windows.
+
+Passes ship digits as 64-bit hashes with a place, 40 to 60 bytes; each is
+compared only within the class that the digits before made.  Every count
+combines before its shuffle and every join back is on the digit alone, so a
+class of any size is spread over tasks.
 """
 
 from __future__ import annotations
@@ -32,12 +38,16 @@ from contactloom.llm.near_dedup import mix
 from contactloom.llm.tables import Bloom, col, field_type, stage
 
 GRAM = 128
+#: A shared string of so many bytes always holds a common place.
+REACH = 256
+#: Windows of a zone.
+ZONE = 16
+#: Below the length of 1,024 at which polynomials modulo 2**64 begin to have systematic collisions.
+MOST = 720
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Bytes hashed at a time; longer texts are scanned in overlapping tiles.
 SLICE = 1 << 18
-#: Distinct contexts of a first digit beyond which its windows are counted by Spark.
-GROUP = 20_000
-#: Bits of the filters that keep unique positions and texts out of shuffles, 4 MB each.
+#: Bits of the filters that keep unique places and texts out of shuffles, 4 MB each.
 BLOOM_BITS = 1 << 25
 
 
@@ -64,6 +74,13 @@ class Hashed:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
+def salted(hashes: np.ndarray, *numbers: np.ndarray) -> np.ndarray:
+    """Hashes that also tell small numbers apart."""
+    for n in numbers:
+        hashes = mix(hashes + (n.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+    return hashes
+
+
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     """The least (np.minimum) or greatest (np.maximum) of every ``width`` values in a row."""
     n = len(x)
@@ -76,49 +93,72 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-class Anchors:
-    """Content-chosen positions of some texts, with both digits."""
+class Places:
+    """Content-chosen places of some texts.
+
+    ``low`` to ``high`` are the distances from the starts of the windows that a
+    place owns; a place without any has high < low.
+    """
 
     def __init__(self, texts: list[np.ndarray], length: int):
-        width = length - GRAM + 1
+        self.length, self.reach = length, min(REACH, length)
+        self.width = width = self.reach - GRAM + 1
         margin = 2 * length
         tiles, parts, base = [], [], 0  # (text, first byte in it, place in data, bytes, core)
         for r, t in enumerate(texts):
-            for lo in range(0, len(t), SLICE) if len(t) >= length else ():
+            for lo in range(0, len(t), SLICE) if len(t) >= self.reach else ():
                 hi = min(lo + SLICE, len(t))
                 a, z = max(0, lo - margin), min(len(t), hi + margin)
                 tiles.append((r, a, base, z - a, lo, hi, len(t)))
                 parts.append(t[a:z])
                 base += z - a
         none = np.zeros(0, np.int64)
-        self.text = self.pos = self.left = self.right = self.at = none
-        self.h1 = self.h2 = none.view(np.uint64)
+        self.text = self.pos = self.low = self.high = self.at = none
+        self.first = none.view(np.uint64)
         self.data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
-        if base < length:
+        if not tiles:
             return
         self.hashed = Hashed(self.data)
-        starts = np.arange(base - GRAM + 1)
         grams = self.hashed.of(slice(0, base - GRAM + 1), slice(GRAM, base + 1))
-        low = sliding(grams, width, np.minimum)
+        low = sliding(grams, width, np.minimum)  # the least of every window's first half
         for _, _, b, size, *_ in tiles:
-            low[max(b, b + size - length + 1) : b + size] = 0  # windows that leave the text
+            low[max(b, b + size - self.reach + 1) : b + size] = 0  # windows that leave the text
         top = np.zeros(len(grams) + width - 1, np.uint64)
         top[width - 1 : width - 1 + len(low)] = low
-        at = starts[sliding(top, width, np.maximum) == grams]
+        at = np.flatnonzero(sliding(top, width, np.maximum) == grams)
+        first = grams[at]
+        # a window belongs to the leftmost of its least strings: runs of windows with one least value
+        begin = np.r_[0, np.flatnonzero(low[1:] != low[:-1]) + 1]
+        end = np.r_[begin[1:] - 1, len(low) - 1]
+        same = np.r_[False, (first[1:] == first[:-1]) & (np.diff(at) < width)]
+        since = np.maximum(at - width + 1, np.where(same, np.r_[0, at[:-1] + 1], 0))
+        run = np.searchsorted(begin, since, side="right") - 1
+        while True:
+            on = (run < len(begin) - 1) & (low[begin[run]] != first)
+            on &= begin[np.minimum(run + 1, len(begin) - 1)] <= at
+            if not on.any():
+                break
+            run[on] += 1
+        from_, upto = np.maximum(since, begin[run]), np.minimum(at, end[run])
+        upto = np.where(low[begin[run]] == first, upto, from_ - 1)
         t = np.array(tiles, np.int64)
         tile = t[np.searchsorted(t[:, 2], at, side="right") - 1]
-        pos = at - tile[:, 2] + tile[:, 1]
-        left, right = np.minimum(pos, width - 1), np.minimum(tile[:, 6] - pos, length)
-        ok = (pos >= tile[:, 4]) & (pos < tile[:, 5]) & (right >= GRAM) & (left + right >= length)
-        self.text, self.pos, self.left, self.right, self.at = (x[ok] for x in (tile[:, 0], pos, left, right, at))
-        self.h1 = grams[self.at]
-        shape = self.left.astype(np.uint64) * np.uint64(4096) + self.right.astype(np.uint64)
-        self.h2 = mix(self.hashed.of(self.at - self.left, self.at + self.right) + shape * np.uint64(0xD6E8FEB86659FD93))
+        shift = tile[:, 1] - tile[:, 2]
+        pos, size = at + shift, tile[:, 6]
+        self.low = pos - np.minimum(upto + shift, size - length)
+        self.high = pos - np.maximum(from_ + shift, 0)
+        ok = (pos >= tile[:, 4]) & (pos < tile[:, 5]) & (upto >= from_)
+        self.text, self.pos, self.low, self.high, self.at, self.first = (x[ok] for x in (tile[:, 0], pos, self.low, self.high, at, first))
 
-    def first_of_each(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Indices of the first anchor of each pair of digits, pair number of every anchor, counts."""
-        _, first, number, counts = np.unique(mix(self.h1) ^ self.h2, return_index=True, return_inverse=True, return_counts=True)
-        return first, number, counts
+    def suffix(self, which: np.ndarray) -> np.ndarray:
+        """The second digit: what all windows of a place have in common, whichever it owns."""
+        at = self.at[which]
+        return self.hashed.of(at, at + self.length - self.width + 1)
+
+    def covered(self, which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """All that the windows at distances ``low`` to ``high`` cover."""
+        at = self.at[which]
+        return salted(self.hashed.of(at - high, at - low + self.length), low, high)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -141,46 +181,57 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.r_[new[1:] - 1, len(end) - 1]] if len(start) else end
 
 
+def _row(columns: dict) -> pa.RecordBatch:
+    """Hashes travel as signed integers."""
+    return pa.RecordBatch.from_pydict({c: pa.array(v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)) for c, v in columns.items()})
+
+
 def _first_digits(length):
-    """(h1, c): the first digits of each slice and how often they occur there."""
+    """(d1, c): the first digits of each slice and how often they occur there."""
 
     def run(batches):
         for b in batches:
             for _, texts in _slices(b):
-                h1, c = np.unique(Anchors(texts, length).h1, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"h1": pa.array(h1.view(np.int64)), "c": pa.array(c)})
+                d1, c = np.unique(Places(texts, length).first, return_counts=True)
+                yield _row({"d1": d1, "c": c})
 
     return run
 
 
-def _anchors(length, shared):
-    """Anchors whose first digit occurs again, one for each pair of digits of a slice; runs that repeat right here."""
+PLACES = "k1 bigint, k2 bigint, p bigint, low bigint, high bigint, d1 bigint, d2 bigint, d3 bigint, c bigint"
+
+
+def _places(length, shared):
+    """Places whose first digit occurs again, with the next two.
+
+    Of places equal in all digits within a slice, as in periodic text, one goes
+    on with their number; what the others' windows cover is given as runs, low
+    to high, with c = 0.
+    """
 
     def run(batches):
         for b in batches:
-            keys = b.column("k").to_numpy()
+            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
             for base, texts in _slices(b):
-                x = Anchors(texts, length)
-                if not len(x.pos):
+                x = Places(texts, length)
+                which = np.flatnonzero(shared.value.has(*_probe(x.first.view(np.int64)))) if len(x.pos) else x.pos
+                if not len(which):
                     continue
-                first, number, counts = x.first_of_each()
-                start = x.pos - x.left
-                end = x.pos - np.maximum(0, length - x.right) + length
-                again = np.flatnonzero(counts[number] > 1)
-                hit = shared.value.has(*_probe(x.h1[first].view(np.int64)))
-                counts, first = counts[hit], first[hit]
-                out = {"k": [keys[base + x.text[first]]], "a": [start[first]], "z": [end[first]]}
-                # repeated right here: their runs are known, one representative goes on
-                for r in np.unique(x.text[again]):
-                    own = again[x.text[again] == r]
-                    a, z = merged(start[own], end[own])
-                    out["k"].append(np.full(len(a), keys[base + r]))
-                    out["a"].append(a)
-                    out["z"].append(z)
-                out = {c: np.concatenate(v) for c, v in out.items()}
-                pad = np.zeros(len(out["k"]) - len(first), np.int64)
-                out |= {"h1": np.r_[x.h1[first].view(np.int64), pad], "h2": np.r_[x.h2[first].view(np.int64), pad], "c": np.r_[counts, pad]}
-                yield pa.RecordBatch.from_pydict({c: pa.array(out[c]) for c in ("k", "h1", "h2", "c", "a", "z")})
+                owns = x.high[which] >= x.low[which]
+                d2, d3 = np.zeros(len(which), np.uint64), np.zeros(len(which), np.uint64)
+                own = which[owns]
+                d2[owns], d3[owns] = x.suffix(own), x.covered(own, x.low[own], x.high[own])
+                _, one, number, count = np.unique(salted(mix(x.first[which] ^ d2) + d3, owns), return_index=True, return_inverse=True, return_counts=True)
+                head = which[one]
+                row = base + x.text[head]
+                yield _row({"k1": k1[row], "k2": k2[row], "p": x.pos[head], "low": x.low[head], "high": x.high[head], "d1": x.first[head], "d2": d2[one], "d3": d3[one], "c": count})
+                again = count[number] > 1
+                for r in np.unique(x.text[which[again]]):
+                    here = which[again & (x.text[which] == r)]
+                    known = here[x.high[here] >= x.low[here]]
+                    a, z = merged(x.pos[known] - x.high[known], x.pos[known] - x.low[known] + length) if len(known) else (x.pos[here[:1]], x.pos[here[:1]])
+                    none = np.zeros(len(a), np.int64)
+                    yield _row({"k1": none + k1[base + r], "k2": none + k2[base + r], "p": a, "low": a, "high": z, "d1": none, "d2": none, "d3": none, "c": none})
 
     return run
 
@@ -207,105 +258,51 @@ def _bloom(rows: DataFrame, *names: str):
     return rows.sparkSession.sparkContext.broadcast(Bloom.build(keys, "p1", "p2", BLOOM_BITS))
 
 
-def _contexts(length, wanted):
+def _zones(length, texts_wanted, wanted):
+    """Of every slice of the wanted texts: its texts' keys, its places, and the zones of those that are wanted."""
+
     def run(batches):
         for b in batches:
-            keys = b.column("k").to_numpy()
+            b = b.filter(pa.array(texts_wanted.value.has(*_probe(b.column("k1").to_numpy(), b.column("k2").to_numpy()))))
+            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
             for base, texts in _slices(b):
-                x = Anchors(texts, length)
-                if not len(x.pos):
+                x = Places(texts, length)
+                which = np.flatnonzero(x.high >= x.low)
+                if len(which):
+                    d3 = x.covered(which, x.low[which], x.high[which])
+                    which = which[wanted.value.has(*_probe(x.first[which].view(np.int64), d3.view(np.int64)))]
+                if not len(which):
                     continue
-                first, _, _ = x.first_of_each()
-                k = keys[base + x.text[first]]
-                h1, h2 = x.h1[first].view(np.int64), x.h2[first].view(np.int64)
-                hit = wanted.value.has(*_probe(k, h1, h2))
-                first = first[hit]
-                ctx = [x.data[p - a : p + z].tobytes() for p, a, z in zip(x.at[first].tolist(), x.left[first].tolist(), x.right[first].tolist(), strict=True)]
-                yield pa.RecordBatch.from_pydict({"k": pa.array(k[hit]), "h1": pa.array(h1[hit]), "p": pa.array(x.pos[first]), "l": pa.array(x.left[first]), "t": pa.array(ctx, pa.binary())})
+                n = x.high[which] // ZONE - x.low[which] // ZONE + 1
+                at = np.repeat(which, n)
+                zone = x.low[at] // ZONE + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                near, far = zone * ZONE, np.minimum(zone * ZONE + ZONE, x.width) - 1
+                low, high = np.maximum(near, x.low[at]), np.minimum(far, x.high[at])
+                common = salted(x.hashed.of(x.at[at] - near, x.at[at] - far + length), zone)
+                row = base + x.text[at]
+                yield x, at, {"k1": k1[row], "k2": k2[row], "p": x.pos[at], "low": low, "high": high, "d4": common, "d5": x.covered(at, low, high)}
 
     return run
 
 
-class Windows:
-    """Hashes of the windows of some contexts, by distance d of the anchor from the window's start."""
-
-    def __init__(self, left: np.ndarray, contexts: list[np.ndarray], length: int):
-        self.left, self.length = left, length
-        self.sizes = np.array([len(c) for c in contexts], np.int64)
-        self.base = np.r_[0, np.cumsum(self.sizes)[:-1]]
-        self.hashed = Hashed(np.concatenate(contexts))
-
-    def at(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A row per context, a column per distance: hash, possible."""
-        start = (self.base + self.left)[:, None] - d
-        possible = (d <= self.left[:, None]) & (self.left[:, None] - d + self.length <= self.sizes[:, None])
-        start = np.where(possible, start, 0)
-        hashes = self.hashed.of(start.ravel(), np.where(possible, start + self.length, 0).ravel()).reshape(start.shape)
-        return mix(hashes + d.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), possible
-
-
-def _compare(rows: dict, length: int) -> pa.RecordBatch:
-    n, width = len(rows["k"]), length - GRAM + 1
-    every, there = np.empty((n, width), np.uint64), np.empty((n, width), bool)
-    for at in range(0, n, 1000):
-        part = slice(at, at + 1000)
-        every[part], there[part] = Windows(rows["l"][part], rows["t"][part], length).at(np.arange(width))
-    nearest, farthest = np.full(n, width), np.full(n, -1)
-    # windows are equal at equal distances only, so a few distances at a time are enough
-    step = max(1, 500_000 // n)
-    for lo in range(0, width, step):
-        d = np.arange(lo, min(lo + step, width))
-        hashes, possible = every[:, d], there[:, d]
-        values = hashes[possible]
-        ordered = np.sort(values)
-        twice = ordered[1:][ordered[1:] == ordered[:-1]]
-        if not len(twice):
-            continue
-        repeated = np.zeros(possible.shape, bool)
-        repeated[possible] = twice[np.minimum(np.searchsorted(twice, values), len(twice) - 1)] == values
-        hit = repeated.any(axis=1)
-        nearest[hit] = np.minimum(nearest[hit], d[repeated[hit].argmax(axis=1)])
-        farthest[hit] = np.maximum(farthest[hit], d[len(d) - 1 - repeated[hit][:, ::-1].argmax(axis=1)])
-    hit = farthest >= 0
-    return pa.RecordBatch.from_pydict({"k": pa.array(rows["k"][hit]), "a": pa.array((rows["p"] - farthest)[hit]), "z": pa.array((rows["p"] - nearest + length)[hit])})
-
-
-def _compared(length):
-    """Rows sorted by h1: windows that occur in several contexts of a first digit."""
+def _open_zones(length, texts_wanted, wanted):
+    """What the windows of a zone have in common, and all that its owned ones cover."""
+    found = _zones(length, texts_wanted, wanted)
+    return lambda batches: (_row(columns) for _, _, columns in found(batches))
 
-    def run(batches):
-        held: dict | None = None
-        for b in _then_none(batches):
-            if b is not None:
-                new = {c: b.column(c).to_numpy() for c in ("k", "h1", "p", "l")} | {"t": [t.copy() for t in binary_views(b.column("t"))]}
-                held = new if held is None else {c: held[c] + new[c] if c == "t" else np.concatenate([held[c], new[c]]) for c in held}
-            if held is None or not len(held["k"]):
-                continue
-            # whole groups, some thousand rows at a time
-            edges = np.r_[0, np.flatnonzero(np.diff(held["h1"])) + 1, [len(held["k"])] if b is None else []].astype(np.int64)
-            lo, ends = 0, edges[1:].tolist()
-            for k, e in enumerate(ends):
-                if k == len(ends) - 1 or ends[k + 1] - lo > 2000:
-                    yield _compare({c: v[lo:e] for c, v in held.items()}, length)
-                    lo = e
-            held = {c: v[lo:] for c, v in held.items()}
-
-    return run
 
+def _open_windows(length, texts_wanted, wanted, zones_wanted):
+    """The single windows of the wanted zones."""
+    found = _zones(length, texts_wanted, wanted)
 
-def _then_none(batches):
-    yield from batches
-    yield None
-
-
-def _windows(length):
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                hashes, possible = Windows(part.column("l").to_numpy(), list(binary_views(part.column("t"))), length).at(np.arange(length - GRAM + 1))
-                r, d = np.nonzero(possible)
-                yield pa.RecordBatch.from_pydict({c: part.column(c).take(pa.array(r)) for c in ("k", "h1", "p")} | {"d": pa.array(d), "w": pa.array(hashes[possible].view(np.int64))})
+        for x, at, z in found(batches):
+            keep = np.flatnonzero(zones_wanted.value.has(*_probe(z["d4"].view(np.int64), z["d5"].view(np.int64))))
+            n = z["high"][keep] - z["low"][keep] + 1
+            r = np.repeat(keep, n)
+            d = z["low"][r] + np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)
+            start = x.at[at[r]] - d
+            yield _row({"k1": z["k1"][r], "k2": z["k2"][r], "p": z["p"][r], "a": z["p"][r] - d, "d4": z["d4"][r], "w": salted(x.hashed.of(start, start + length), d)})
 
     return run
 
@@ -313,65 +310,20 @@ def _windows(length):
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         size, removed, spans, kept = [], [], [], []
-        a, z = b.column("a").to_pylist(), b.column("z").to_pylist()
+        runs = b.column("runs").to_pylist()
         for r, t in enumerate(binary_views(b.column("t"))):
             size.append(len(t))
-            if not a[r]:
+            if not runs[r]:
                 removed.append(0)
                 spans.append(0)
                 kept.append(t.tobytes())
                 continue
-            start, end = merged(np.array(a[r], np.int64), np.array(z[r], np.int64))
+            start, end = merged(*np.array([(x["a"], x["z"]) for x in runs[r]], np.int64).T)
             removed.append(int((end - start).sum()))
             spans.append(len(start))
             edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(t)]
             kept.append(b"".join(t[x:y].tobytes() for x, y in zip(edges[::2], edges[1::2], strict=True)))
-        yield pa.RecordBatch.from_pydict({"i": b.column("i"), "n": pa.array(size, pa.int64()), "removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """Cut out every byte of a ``length``-byte string that also starts elsewhere.
-
-    Returns ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_bytes``
-    (binary, as a cut may split a character), a row per input row.  A null text
-    counts as empty.  Repeated rows are elsewhere to one another, so from
-    ``length`` bytes on they lose everything.  Only the two named columns are
-    read.  Strings are judged on the input.
-    """
-    if not GRAM < length <= 4000:
-        raise ValueError(f"length must be over {GRAM} and at most 4000")
-    t = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    # names a row by its content, so null and repeated ids are no special case
-    src = docs.select(col(id_col).alias("i"), F.xxhash64(col(id_col), t).alias("k"), t.alias("t"))
-    texts = src.select("k", "t")
-    seen = texts.mapInArrow(_first_digits(length), "h1 bigint, c bigint").groupBy("h1").agg(F.sum("c").alias("c"))
-    shared = _bloom(seen.where("c > 1"), "h1")
-    anchors = stage(texts.mapInArrow(_anchors(length, shared), "k bigint, h1 bigint, h2 bigint, c bigint, a bigint, z bigint"), "anchors")
-    digits = anchors.where("c > 0")
-    pairs = stage(digits.groupBy("h1", "h2").agg(F.sum("c").alias("c"), F.min("k").alias("k")), "digits")
-    known = anchors.where("c = 0").select("k", "a", "z").unionByName(digits.drop("c").join(pairs.where("c > 1").select("h1", "h2"), ["h1", "h2"]).select("k", "a", "z"))
-
-    groups = pairs.groupBy("h1").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1")
-    contested = stage(pairs.join(groups.select("h1", "m"), "h1").select("k", "h1", "h2", "m"), "contested")
-    wanted = _bloom(contested, "k", "h1", "h2")
-    ctx = texts.mapInArrow(_contexts(length, wanted), "k bigint, h1 bigint, p bigint, l bigint, t binary")
-    large = contested.where(F.col("m") > GROUP).select("h1").distinct()
-    runs = known
-    if large.limit(1).count():
-        ctx = stage(ctx, "contexts")
-        runs = runs.unionByName(_counted(ctx.join(large, "h1", "left_semi"), length))
-        ctx = ctx.join(large, "h1", "left_anti")
-    ordered = ctx.select("k", "h1", "p", "l", "t").repartition("h1").sortWithinPartitions("h1")
-    runs = runs.unionByName(ordered.mapInArrow(_compared(length), "k bigint, a bigint, z bigint"))
-    runs = stage(runs.groupBy("k").agg(F.collect_list("a").alias("a"), F.collect_list("z").alias("z")), "runs")
-
-    # only texts with something to cut are shuffled
-    cut = _bloom(runs, "k")
-    kinds = f"i {field_type(docs, id_col)}, k bigint, t string"
-    none = src.mapInArrow(_chosen(cut, False), kinds).withColumns({"a": F.lit(None).cast("array<bigint>"), "z": F.lit(None).cast("array<bigint>")})
-    some = src.mapInArrow(_chosen(cut, True), kinds).join(runs, "k", "left")
-    out = none.select("i", "t", "a", "z").unionByName(some.select("i", "t", "a", "z")).mapInArrow(_cut, f"i {field_type(docs, id_col)}, n bigint, removed bigint, spans bigint, kept binary")
-    return out.select(F.col("i").alias(id_col), F.col("n").alias("n_bytes"), F.col("removed").alias("n_removed"), F.col("spans").alias("n_spans"), F.col("kept").alias("kept_bytes"))
+        yield pa.RecordBatch.from_pydict({"i": b.column("i"), "n": pa.array(size, pa.int64()), "removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.int64()), "places": b.column("places"), "kept": pa.array(kept, pa.binary())})
 
 
 def _chosen(bloom, wanted: bool):
@@ -379,14 +331,65 @@ def _chosen(bloom, wanted: bool):
 
     def run(batches):
         for b in batches:
-            hit = bloom.value.has(*_probe(b.column("k").to_numpy()))
+            hit = bloom.value.has(*_probe(b.column("k1").to_numpy(), b.column("k2").to_numpy()))
             yield b.filter(pa.array(hit if wanted else ~hit))
 
     return run
 
 
-def _counted(ctx: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated windows of very large groups, by counting windows."""
-    windows = ctx.select("k", "h1", "p", "l", "t").mapInArrow(_windows(length), "k bigint, h1 bigint, p bigint, d bigint, w bigint")
-    twice = windows.groupBy("h1", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "w")
-    return windows.join(twice, ["h1", "w"]).groupBy("k", "p").agg((F.col("p") - F.max("d")).alias("a"), (F.col("p") - F.min("d") + length).alias("z")).select("k", "a", "z")
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
+    """Cut out every byte of a ``length``-byte string that also starts elsewhere.
+
+    Returns ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``n_shared`` and
+    ``kept_bytes`` (binary, as a cut may split a character), a row per input
+    row.  ``n_shared`` counts the content-chosen places whose first digit, 128
+    bytes, occurs elsewhere too: a shared passage of 256 bytes or more always
+    shows there, though nothing is cut below ``length``.
+
+    A null text counts as empty.  Rows are named by 128 bits of their id and
+    text, so null and repeated ids are no special case; repeated rows are
+    elsewhere to one another, so from ``length`` bytes on they lose everything.
+    Ties need no rule, as every copy is cut.  An empty table gives none.  Only
+    the two named columns are read.  Strings are judged on the input.
+    """
+    if not GRAM < length <= MOST:
+        raise ValueError(f"length must be over {GRAM} and at most {MOST}")
+    t = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    src = docs.select(col(id_col).alias("i"), F.xxhash64(col(id_col)).alias("k1"), F.xxhash64(t).alias("k2"), t.alias("t"))
+    texts = src.select("k1", "k2", "t")
+    key, some = ["k1", "k2"], F.count(F.lit(1))
+    seen = texts.mapInArrow(_first_digits(length), "d1 bigint, c bigint").groupBy("d1").agg(F.sum("c").alias("c"))
+    places = stage(texts.mapInArrow(_places(length, _bloom(seen.where("c > 1"), "d1")), PLACES), "places")
+    digits = stage(places.where("c > 0").groupBy("d1", "d2", "d3").agg(F.sum("c").alias("c")), "digits")
+    again = digits.groupBy("d1").agg(F.sum("c").alias("c1")).where("c1 > 1").select("d1")
+    classes = digits.where("d3 <> 0").groupBy("d1", "d2").agg(some.alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("d1", "d2", F.lit(True).alias("open"))
+    marked = digits.join(again, "d1").join(classes, ["d1", "d2"], "left").select("d1", "d2", "d3", (F.col("c") > 1).alias("full"), "open")
+    marked = stage(marked, "marked")
+    shared = places.where("c > 0").join(marked, ["d1", "d2", "d3"]).select(*key, "p", "low", "high", (F.col("full") & (F.col("low") <= F.col("high"))).alias("full"), "open")
+    shared = stage(shared, "shared")
+
+    run = lambda a, z: F.struct(a.alias("a"), z.alias("z"))
+    covers = run(F.col("p") - F.col("high"), F.col("p") - F.col("low") + length)
+    known = shared.select(*key, "p", F.when(F.col("full"), covers).alias("run"))
+    local = places.where("c = 0").select(*key, "p", F.when(F.col("low") < F.col("high"), run(F.col("low"), F.col("high"))).alias("run"))
+
+    of_texts, wanted = _bloom(shared.where("open and not full"), *key), _bloom(marked.where("open"), "d1", "d3")
+    zones = stage(texts.mapInArrow(_open_zones(length, of_texts, wanted), "k1 bigint, k2 bigint, p bigint, low bigint, high bigint, d4 bigint, d5 bigint"), "zones")
+    pairs = stage(zones.groupBy("d4", "d5").agg(some.alias("c")), "pairs")
+    narrow = pairs.groupBy("d4").agg(some.alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("d4")
+    of_zones = _bloom(pairs.join(narrow, "d4"), "d4", "d5")
+    whole = zones.join(pairs.where("c > 1").select("d4", "d5"), ["d4", "d5"]).select(*key, "p", covers.alias("run"))
+    windows = stage(texts.mapInArrow(_open_windows(length, of_texts, wanted, of_zones), "k1 bigint, k2 bigint, p bigint, a bigint, d4 bigint, w bigint"), "windows")
+    twice = windows.groupBy("d4", "w").agg(some.alias("c")).where("c > 1").select("d4", "w")
+    single = windows.join(twice, ["d4", "w"]).select(*key, "p", run(F.col("a"), F.col("a") + length).alias("run"))
+    every = known.unionByName(local).unionByName(whole).unionByName(single)
+    runs = stage(every.groupBy(*key).agg(F.collect_set("run").alias("runs"), F.size(F.collect_set("p")).cast("bigint").alias("places")), "runs")
+
+    # only texts that share something are shuffled
+    cut = _bloom(runs, *key)
+    kind = f"i {field_type(docs, id_col)}"
+    chosen = lambda wanted: src.mapInArrow(_chosen(cut, wanted), f"{kind}, k1 bigint, k2 bigint, t string")
+    with_runs = chosen(True).join(runs, key, "left").select("i", "t", "runs", F.coalesce("places", F.lit(0)).cast("bigint").alias("places"))
+    without = chosen(False).select("i", "t", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"), F.lit(0).cast("bigint").alias("places"))
+    out = without.unionByName(with_runs).mapInArrow(_cut, f"{kind}, n bigint, removed bigint, spans bigint, places bigint, kept binary")
+    return out.select(F.col("i").alias(id_col), F.col("n").alias("n_bytes"), F.col("removed").alias("n_removed"), F.col("spans").alias("n_spans"), F.col("places").alias("n_shared"), F.col("kept").alias("kept_bytes"))

@@ -44,10 +44,7 @@ def passages(rnd):
     return texts
 
 
-@pytest.mark.parametrize("group,size", [(20_000, rp.SLICE), (1, 256)])
-def test_against_every_window(documents, monkeypatch, group, size):
-    """A small bound counts all contested windows in Spark; small slices are tried below as well."""
-    monkeypatch.setattr(rp, "GROUP", group)
+def test_against_every_window(documents):
     texts = passages(random.Random(18)) + [None, ""]
     texts += ["copy " * 100, "copy " * 100]
     want = dict(enumerate(model(texts)))
@@ -56,21 +53,28 @@ def test_against_every_window(documents, monkeypatch, group, size):
     assert sum(w[1] for w in want.values()) > 5000
 
 
-def test_tiles_give_the_same_anchors(monkeypatch):
+@pytest.mark.parametrize("length", [129, LENGTH, 400])
+def test_windows_and_places(monkeypatch, length):
+    """Every window has one place, at the same distance in every copy, however the texts are tiled."""
     import numpy as np
 
     rnd = random.Random(19)
     texts = [np.frombuffer("".join(rnd.choices("abcd", k=n)).encode(), np.uint8) for n in (5000, 300, 12_000, 0, 1024)]
-    one = rp.Anchors(texts, LENGTH)
+    texts += [np.frombuffer(b"abc" * 500, np.uint8), np.frombuffer(b"z" * 900, np.uint8), np.concatenate([texts[1], texts[0][1000:4000], texts[1]])]
+    one = rp.Places(texts, length)
     monkeypatch.setattr(rp, "SLICE", 1024)
-    two = rp.Anchors(texts, LENGTH)
-    key = lambda x: sorted(zip(x.text.tolist(), x.pos.tolist(), x.h1.tolist(), x.h2.tolist(), x.left.tolist(), x.right.tolist(), strict=True))
+    two = rp.Places(texts, length)
+    key = lambda x: sorted(zip(x.text.tolist(), x.pos.tolist(), x.first.tolist(), x.low.tolist(), x.high.tolist(), strict=True))
     assert key(one) == key(two) and len(one.pos) > 50
-    # every window has an anchor
+    seen = {}
     for r, t in enumerate(texts):
-        at = one.pos[one.text == r]
-        for k in range(len(t) - LENGTH + 1):
-            assert ((at >= k) & (at <= k + LENGTH - rp.GRAM)).any()
+        owners = Counter()
+        for p, a, b in zip(one.pos[one.text == r].tolist(), one.low[one.text == r].tolist(), one.high[one.text == r].tolist(), strict=True):
+            for d in range(a, b + 1):
+                owners[p - d] += 1
+                window = t[p - d : p - d + length].tobytes()
+                assert len(window) == length and seen.setdefault(window, d) == d
+        assert owners == Counter(range(len(t) - length + 1)), r
 
 
 def test_edges(documents, edge_pairs):
