@@ -86,7 +86,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     number = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     counts = [number(kind) for kind in ("email", "ip", "card", "phone")]
-    return out.select("doc_id", *counts, F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"), F.size("spans").cast("bigint").alias("n_spans"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
