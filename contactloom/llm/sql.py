@@ -2,49 +2,42 @@
 
 from __future__ import annotations
 
-import math
-
 from contactloom.llm.licences import TEMPLATES, bigrams_of
-from contactloom.llm.quality_rules import BOTH_SIDES, GAMMA, GAPS, LEAST_DOCS, REACH
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def op3() -> str:
-    ratios = {
-        "symbol_ratio": "n_symbols / greatest(word_chars, 1)::double",
-        "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)::double",
-        "repeat_ratio": "n_repeat_words / greatest(n_words, 1)::double",
-        "word_length": "word_chars / greatest(n_words, 1)::double",
-    }
-    gap = "case metric " + " ".join(f"when {_quoted(m)} then {g!r}::double" for m, g in GAPS.items()) + " end"
-    sided = ", ".join(map(_quoted, BOTH_SIDES))
-    level = lambda lvl, lang, source: f"select {lvl} as lvl, {lang} as lang, {source} as source, metric, bin, cast(sum(n) as bigint) as n from bins group by all"
-    limit = lambda lvl, on: f"left join limits l{lvl} on l{lvl}.lvl = {lvl} and l{lvl}.metric = m.metric{on}"
-    pick = lambda side: f"case when l1.size >= {LEAST_DOCS} then l1.{side} when l2.size >= {LEAST_DOCS} then l2.{side} else l3.{side} end"
-    return f"""
-with split as (select doc_id, lang, source, coalesce(text, '') as t, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
-lines as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as ls from split),
+OP3 = r"""
+with split as (select doc_id, lang, source, coalesce(text, '') as t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+lines as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from split),
 triples as (select doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as g, unnest(range(1, len(w) - 1)) as pos from split where len(w) > 2),
 again as (select doc_id, pos from triples qualify count(*) over (partition by doc_id, g) > 1),
 covered as (select doc_id, count(distinct p) as n from (select doc_id, pos + unnest([0, 1, 2]) as p from again) x group by doc_id),
 counts as (select doc_id, lang, source, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) as n_symbols,
   cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, cast(len(ls) as bigint) as n_lines, cast(coalesce(c.n, 0) as bigint) as n_repeat_words from lines left join covered c using (doc_id)),
-metrics as (select doc_id, lang, source, unnest([{", ".join(map(_quoted, ratios))}]) as metric, unnest([{", ".join(ratios.values())}]) as x from counts),
-bins as (select lang, source, metric, case when x > 0 then ceil(ln(x) / {math.log(GAMMA)!r}::double) end as bin, count(*) as n from metrics group by all),
-levels as ({level(1, "lang", "source")} union all {level(2, "lang", "null")} union all {level(3, "null", "null")}),
+shares as (select *, n_symbols / greatest(word_chars, 1)::double as symbols, n_dup_lines / greatest(n_lines, 1)::double as dups, n_repeat_words / greatest(n_words, 1)::double as repeats, word_chars / greatest(n_words, 1)::double as wlen from counts),
+long as (unpivot (select doc_id, lang, source, symbols, dups, repeats, wlen, word_chars::double as chars, n_lines::double as nl, n_words::double as nw from shares)
+  on symbols, dups, repeats, wlen, chars, nl, nw into name metric value x),
+-- bins of 1 % relative error: powers of 1.01 / 0.99, read at 0.99 of their upper end
+bins as (select lang, source, metric, case when x > 0 then ceil(ln(x) / ln(1.01::double / 0.99)) end as bin, count(*) as n from long group by all),
+levels as (select 'own' as lvl, lang, source, metric, bin, n from bins
+  union all select 'lang', lang, null, metric, bin, sum(n) from bins group by all
+  union all select 'all', null, null, metric, bin, sum(n) from bins group by all),
 running as (select *, sum(n) over (partition by lvl, lang, source, metric order by bin nulls first rows unbounded preceding) as upto, sum(n) over (partition by lvl, lang, source, metric) as size,
-  case when bin is null then 0.0::double else pow({GAMMA!r}::double, bin) * {2 / (GAMMA + 1)!r}::double end as v from levels),
-quartiles as (select lvl, lang, source, metric, max(size) as size, min(v) filter (upto >= 0.25 * size) as q1, min(v) filter (upto >= 0.5 * size) as q2, min(v) filter (upto >= 0.75 * size) as q3 from running group by all),
-limits as (select *, q3 + greatest({REACH} * (q3 - q2), {gap}) as high, case when metric in ({sided}) then q1 - greatest({REACH} * (q2 - q1), {gap}) end as low from quartiles),
-outside as (select m.doc_id, bool_or(coalesce(x > {pick("high")}, false) or coalesce(x < {pick("low")}, false)) as beyond from metrics m
-  {limit(1, " and l1.lang is not distinct from m.lang and l1.source is not distinct from m.source")}
-  {limit(2, " and l2.lang is not distinct from m.lang")}
-  {limit(3, "")} group by m.doc_id),
+  case when bin is null then 0.0::double else pow(1.01::double / 0.99, bin) * (2 / (1.01::double / 0.99 + 1)) end as v from levels),
+q as (select lvl, lang, source, metric, max(size)::double as size, min(v) filter (upto >= 0.1 * size) as q10, min(v) filter (upto >= 0.5 * size) as q50, min(v) filter (upto >= 0.9 * size) as q90 from running group by all),
+own as (select q.lvl, q.lang, q.source, q.metric, q.size, q.q50 as mid, 7 * (q.q90 - q.q50) + case when z.q50 is null then 0.0 else (case q.metric when 'repeats' then 9.0 else 3.0 end)::double / greatest(z.q50, 1) end as up, 7 * (q.q50 - q.q10) as down
+  from q left join q z on z.lvl = q.lvl and z.lang is not distinct from q.lang and z.source is not distinct from q.source and z.metric = case q.metric when 'symbols' then 'chars' when 'dups' then 'nl' when 'repeats' then 'nw' end
+  where q.metric in ('symbols', 'dups', 'repeats', 'wlen')),
+langs as (select o.lang, o.metric, (o.size * o.mid + 50 * a.mid) / (o.size + 50) as mid, (o.size * least(o.up, 4 * a.up + 2 * o.mid) + 50 * a.up) / (o.size + 50) as up, (o.size * least(o.down, 4 * a.down + 2 * o.mid) + 50 * a.down) / (o.size + 50) as down
+  from own o join own a on a.lvl = 'all' and a.metric = o.metric where o.lvl = 'lang'),
+ends as (select o.lang, o.source, o.metric, (o.size * o.mid + 50 * a.mid) / (o.size + 50) as mid, (o.size * least(o.up, 4 * a.up + 2 * o.mid) + 50 * a.up) / (o.size + 50) as up, (o.size * least(o.down, 4 * a.down + 2 * o.mid) + 50 * a.down) / (o.size + 50) as down
+  from own o join langs a on a.metric = o.metric and a.lang is not distinct from o.lang where o.lvl = 'own'),
+beyond as (select doc_id, bool_or(x > mid + up or l.metric = 'wlen' and x < mid - down) as far from long l join ends e on e.metric = l.metric and e.lang is not distinct from l.lang and e.source is not distinct from l.source group by doc_id),
 judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not beyond as kept from judged join outside using (doc_id)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not far as kept from judged join beyond using (doc_id)
 """
 
 
@@ -106,4 +99,4 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": op3(), "op4_exact_dedup": OP4, "op5_chat_windows": OP5, "op6_licence_scan": op6(), "op7_minhash_near_dedup": OP7}
+    return {"op3_quality_rules": OP3, "op4_exact_dedup": OP4, "op5_chat_windows": OP5, "op6_licence_scan": op6(), "op7_minhash_near_dedup": OP7}

@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from contactloom.llm.quality_rules import base_counts, merge, quality_rules, quartiles, sketch
+from contactloom.llm.quality_rules import base_counts, limits, merge, quality_rules, quantiles, sketch
 
 
 def counts_model(text):
@@ -46,15 +46,31 @@ def test_sketches_merge_and_are_near(spark):
     from pyspark.sql import functions as F
 
     rows = df.withColumns({"n_words": F.lit(1), "n_symbols": F.lit(0), "n_dup_lines": F.lit(0), "n_lines": F.lit(1), "n_repeat_words": F.lit(0)})
-    whole = {r["metric"]: r for r in quartiles(merge(sketch(rows, ("g",)), ()), ()).collect()}
-    direct = {r["metric"]: r for r in quartiles(sketch(rows, ()), ()).collect()}
+    at = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    whole = {r["metric"]: r for r in quantiles(merge(sketch(rows, ("g",)), ()), (), at).collect()}
+    direct = {r["metric"]: r for r in quantiles(sketch(rows, ()), (), at).collect()}
     assert whole == direct
     values = sorted(r["word_chars"] for r in df.collect())
-    for name, at in (("q1", 749), ("q2", 1499), ("q3", 2249)):
-        assert abs(whole["word_length"][name] / values[at] - 1) <= 0.0101
+    for name, place in (("q1", 749), ("q2", 1499), ("q3", 2249)):
+        assert abs(whole["word_length"][name] / values[place] - 1) <= 0.0101
     assert whole["symbol_ratio"]["q3"] == 0
 
 
+def test_no_size_switches_a_limit(spark):
+    """A group's limits move from those of its language to its own as it grows, step by step."""
+    from pyspark.sql import functions as F
+
+    def high(n):
+        rows = [("en", "a", 100) for _ in range(3000)] + [("en", "b", 200 + k % 10) for k in range(n)]
+        df = spark.createDataFrame(rows, "g1 string, g2 string, word_chars bigint")
+        df = df.withColumns({c: F.lit(v) for c, v in (("n_words", 25), ("n_symbols", 0), ("n_dup_lines", 0), ("n_lines", 4), ("n_repeat_words", 0))})
+        return next(r for r in limits(sketch(df, ("g1", "g2"))).collect() if r["g2"] == "b")["word_length_high"]
+
+    found = [high(n) for n in (1, 10, 40, 160, 200, 240)]
+    assert found == sorted(found) and found[0] < 4.5 and found[-1] > 7
+    assert max(b - a for a, b in zip(found[3:], found[4:], strict=False)) < 0.3
+
+
 def test_edges(documents, edge_pairs):
     out = quality_rules(documents(edge_pairs, clash=True)).collect()
     assert len(out) == len(edge_pairs)
