@@ -12,7 +12,7 @@ most significant first, and classes of one go after each pass:
    have in common (272 bytes for 400), the third all that its own windows
    cover.  Places equal in all three have every window repeated.
 3. Places that share the suffix but not what their windows cover are told apart
-   by zones of 16 windows: again by what the windows of a zone have in common,
+   by zones of 8 windows: again by what the windows of a zone have in common,
    then by all that they cover.
 4. What is still open in a zone is told apart window by window, at full depth.
    Equal groups are exactly the repeated windows.
@@ -30,6 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ GRAM = 128
 #: A shared string of so many bytes always holds a common place.
 REACH = 256
 #: Windows of a zone.
-ZONE = 16
+ZONE = 8
 #: Below the length of 1,024 at which polynomials modulo 2**64 begin to have systematic collisions.
 MOST = 720
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -258,8 +259,16 @@ def _bloom(rows: DataFrame, *names: str):
     return rows.sparkSession.sparkContext.broadcast(Bloom.build(keys, "p1", "p2", BLOOM_BITS))
 
 
-def _zones(length, texts_wanted, wanted):
-    """Of every slice of the wanted texts: its texts' keys, its places, and the zones of those that are wanted."""
+#: Numbers by which zones and windows are counted: of a place of its own, and of one with copies.
+ALONE, COPIES = 1, 2
+
+
+def _zones(length, texts_wanted, wanted, alone):
+    """Of every slice of the wanted texts: its places, and the zones of those that are wanted.
+
+    Places with copies of all their windows are here for the others to be
+    compared with; of their zones one of a kind is enough for a slice.
+    """
 
     def run(batches):
         for b in batches:
@@ -269,31 +278,36 @@ def _zones(length, texts_wanted, wanted):
                 x = Places(texts, length)
                 which = np.flatnonzero(x.high >= x.low)
                 if len(which):
-                    d3 = x.covered(which, x.low[which], x.high[which])
-                    which = which[wanted.value.has(*_probe(x.first[which].view(np.int64), d3.view(np.int64)))]
+                    probes = _probe(x.first[which].view(np.int64), x.covered(which, x.low[which], x.high[which]).view(np.int64))
+                    own, keep = alone.value.has(*probes), wanted.value.has(*probes)
+                    which, own = which[keep], own[keep]
                 if not len(which):
                     continue
                 n = x.high[which] // ZONE - x.low[which] // ZONE + 1
-                at = np.repeat(which, n)
+                at, own = np.repeat(which, n), np.repeat(own, n)
                 zone = x.low[at] // ZONE + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
                 near, far = zone * ZONE, np.minimum(zone * ZONE + ZONE, x.width) - 1
                 low, high = np.maximum(near, x.low[at]), np.minimum(far, x.high[at])
-                common = salted(x.hashed.of(x.at[at] - near, x.at[at] - far + length), zone)
-                row = base + x.text[at]
-                yield x, at, {"k1": k1[row], "k2": k2[row], "p": x.pos[at], "low": low, "high": high, "d4": common, "d5": x.covered(at, low, high)}
+                d4, d5 = salted(x.hashed.of(x.at[at] - near, x.at[at] - far + length), zone), x.covered(at, low, high)
+                copies = np.flatnonzero(~own)
+                _, one = np.unique(mix(d4[copies]) ^ d5[copies], return_index=True)
+                keep = np.r_[np.flatnonzero(own), copies[one]]
+                row = base + x.text[at[keep]]
+                found = {"k1": k1[row], "k2": k2[row], "p": x.pos[at[keep]], "low": low[keep], "high": high[keep], "d4": d4[keep], "d5": d5[keep], "c": np.where(own[keep], ALONE, COPIES)}
+                yield x, at[keep], found
 
     return run
 
 
-def _open_zones(length, texts_wanted, wanted):
+def _open_zones(*wanted):
     """What the windows of a zone have in common, and all that its owned ones cover."""
-    found = _zones(length, texts_wanted, wanted)
+    found = _zones(*wanted)
     return lambda batches: (_row(columns) for _, _, columns in found(batches))
 
 
-def _open_windows(length, texts_wanted, wanted, zones_wanted):
+def _open_windows(zones_wanted, length, *wanted):
     """The single windows of the wanted zones."""
-    found = _zones(length, texts_wanted, wanted)
+    found = _zones(length, *wanted)
 
     def run(batches):
         for x, at, z in found(batches):
@@ -302,7 +316,7 @@ def _open_windows(length, texts_wanted, wanted, zones_wanted):
             r = np.repeat(keep, n)
             d = z["low"][r] + np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)
             start = x.at[at[r]] - d
-            yield _row({"k1": z["k1"][r], "k2": z["k2"][r], "p": z["p"][r], "a": z["p"][r] - d, "d4": z["d4"][r], "w": salted(x.hashed.of(start, start + length), d)})
+            yield _row({c: z[c][r] for c in ("k1", "k2", "p", "d4", "c")} | {"a": z["p"][r] - d, "w": salted(x.hashed.of(start, start + length), d)})
 
     return run
 
@@ -326,13 +340,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"i": b.column("i"), "n": pa.array(size, pa.int64()), "removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.int64()), "places": b.column("places"), "kept": pa.array(kept, pa.binary())})
 
 
-def _chosen(bloom, wanted: bool):
-    """Rows whose key may have runs, or those that surely have none."""
+def _sharing(bloom):
+    """Rows whose text may share something."""
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(bloom.value.has(*_probe(b.column("k1").to_numpy(), b.column("k2").to_numpy()))))
+
+    return run
+
+
+def _untouched(bloom):
+    """The result for all other rows."""
 
     def run(batches):
         for b in batches:
-            hit = bloom.value.has(*_probe(b.column("k1").to_numpy(), b.column("k2").to_numpy()))
-            yield b.filter(pa.array(hit if wanted else ~hit))
+            b = b.filter(pa.array(~bloom.value.has(*_probe(b.column("k1").to_numpy(), b.column("k2").to_numpy()))))
+            kept = b.column("t").cast(pa.binary())
+            none = pa.array(np.zeros(b.num_rows, np.int64))
+            yield pa.RecordBatch.from_pydict({"i": b.column("i"), "n": pc.binary_length(kept).cast(pa.int64()), "removed": none, "spans": none, "places": none, "kept": kept})
 
     return run
 
@@ -361,9 +387,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = texts.mapInArrow(_first_digits(length), "d1 bigint, c bigint").groupBy("d1").agg(F.sum("c").alias("c"))
     places = stage(texts.mapInArrow(_places(length, _bloom(seen.where("c > 1"), "d1")), PLACES), "places")
     digits = stage(places.where("c > 0").groupBy("d1", "d2", "d3").agg(F.sum("c").alias("c")), "digits")
-    again = digits.groupBy("d1").agg(F.sum("c").alias("c1")).where("c1 > 1").select("d1")
+    again = stage(digits.groupBy("d1").agg(F.sum("c").alias("c1")).where("c1 > 1").select("d1"), "again")
     classes = digits.where("d3 <> 0").groupBy("d1", "d2").agg(some.alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("d1", "d2", F.lit(True).alias("open"))
-    marked = digits.join(again, "d1").join(classes, ["d1", "d2"], "left").select("d1", "d2", "d3", (F.col("c") > 1).alias("full"), "open")
+    marked = digits.join(again, "d1").join(stage(classes, "classes"), ["d1", "d2"], "left").select("d1", "d2", "d3", (F.col("c") > 1).alias("full"), "open")
     marked = stage(marked, "marked")
     shared = places.where("c > 0").join(marked, ["d1", "d2", "d3"]).select(*key, "p", "low", "high", (F.col("full") & (F.col("low") <= F.col("high"))).alias("full"), "open")
     shared = stage(shared, "shared")
@@ -373,23 +399,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = shared.select(*key, "p", F.when(F.col("full"), covers).alias("run"))
     local = places.where("c = 0").select(*key, "p", F.when(F.col("low") < F.col("high"), run(F.col("low"), F.col("high"))).alias("run"))
 
-    of_texts, wanted = _bloom(shared.where("open and not full"), *key), _bloom(marked.where("open"), "d1", "d3")
-    zones = stage(texts.mapInArrow(_open_zones(length, of_texts, wanted), "k1 bigint, k2 bigint, p bigint, low bigint, high bigint, d4 bigint, d5 bigint"), "zones")
-    pairs = stage(zones.groupBy("d4", "d5").agg(some.alias("c")), "pairs")
-    narrow = pairs.groupBy("d4").agg(some.alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("d4")
+    # places alone in what their windows cover, and those they must be compared with
+    wanted = (length, _bloom(shared.where("open"), *key), _bloom(marked.where("open"), "d1", "d3"), _bloom(marked.where("open and not full"), "d1", "d3"))
+    zones = stage(texts.mapInArrow(_open_zones(*wanted), "k1 bigint, k2 bigint, p bigint, low bigint, high bigint, d4 bigint, d5 bigint, c bigint"), "zones")
+    pairs = stage(zones.groupBy("d4", "d5").agg(F.sum("c").alias("c")), "pairs")
+    narrow = stage(pairs.groupBy("d4").agg(some.alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1").select("d4"), "narrow")
     of_zones = _bloom(pairs.join(narrow, "d4"), "d4", "d5")
-    whole = zones.join(pairs.where("c > 1").select("d4", "d5"), ["d4", "d5"]).select(*key, "p", covers.alias("run"))
-    windows = stage(texts.mapInArrow(_open_windows(length, of_texts, wanted, of_zones), "k1 bigint, k2 bigint, p bigint, a bigint, d4 bigint, w bigint"), "windows")
-    twice = windows.groupBy("d4", "w").agg(some.alias("c")).where("c > 1").select("d4", "w")
-    single = windows.join(twice, ["d4", "w"]).select(*key, "p", run(F.col("a"), F.col("a") + length).alias("run"))
+    whole = zones.where(F.col("c") == ALONE).join(pairs.where("c > 1").select("d4", "d5"), ["d4", "d5"]).select(*key, "p", covers.alias("run"))
+    windows = stage(texts.mapInArrow(_open_windows(of_zones, *wanted), "k1 bigint, k2 bigint, p bigint, d4 bigint, c bigint, a bigint, w bigint"), "windows")
+    twice = stage(windows.groupBy("d4", "w").agg(F.sum("c").alias("c")).where("c > 1").select("d4", "w"), "twice")
+    single = windows.where(F.col("c") == ALONE).join(twice, ["d4", "w"]).select(*key, "p", run(F.col("a"), F.col("a") + length).alias("run"))
     every = known.unionByName(local).unionByName(whole).unionByName(single)
     runs = stage(every.groupBy(*key).agg(F.collect_set("run").alias("runs"), F.size(F.collect_set("p")).cast("bigint").alias("places")), "runs")
 
     # only texts that share something are shuffled
     cut = _bloom(runs, *key)
     kind = f"i {field_type(docs, id_col)}"
-    chosen = lambda wanted: src.mapInArrow(_chosen(cut, wanted), f"{kind}, k1 bigint, k2 bigint, t string")
-    with_runs = chosen(True).join(runs, key, "left").select("i", "t", "runs", F.coalesce("places", F.lit(0)).cast("bigint").alias("places"))
-    without = chosen(False).select("i", "t", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"), F.lit(0).cast("bigint").alias("places"))
-    out = without.unionByName(with_runs).mapInArrow(_cut, f"{kind}, n bigint, removed bigint, spans bigint, places bigint, kept binary")
+    result = f"{kind}, n bigint, removed bigint, spans bigint, places bigint, kept binary"
+    sharing = src.mapInArrow(_sharing(cut), f"{kind}, k1 bigint, k2 bigint, t string").join(runs, key, "left")
+    some = sharing.select("i", "t", "runs", F.coalesce("places", F.lit(0)).cast("bigint").alias("places")).mapInArrow(_cut, result)
+    out = src.mapInArrow(_untouched(cut), result).unionByName(some)
     return out.select(F.col("i").alias(id_col), F.col("n").alias("n_bytes"), F.col("removed").alias("n_removed"), F.col("spans").alias("n_spans"), F.col("places").alias("n_shared"), F.col("kept").alias("kept_bytes"))

@@ -47,6 +47,11 @@ def passages(rnd):
 def test_against_every_window(documents):
     texts = passages(random.Random(18)) + [None, ""]
     texts += ["copy " * 100, "copy " * 100]
+    # copies of whole texts, and texts that share more or less of them
+    rnd = random.Random(20)
+    for t in [x for x in texts[:70] if len(x) > 2 * LENGTH][:12]:
+        cut = rnd.randrange(LENGTH // 2, len(t))
+        texts += [t, t[:cut] + "!" + t[cut:], t[:cut], "?" + t[cut // 2 :]]
     want = dict(enumerate(model(texts)))
     got = rp.remove_repeats(documents(list(enumerate(texts)), clash=True), length=LENGTH).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept_bytes"])) for r in got} == want
