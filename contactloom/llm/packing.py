@@ -9,8 +9,8 @@ corpus, decides the packing.  On it the driver
 
 and gets a plan of at most a few slots per length.  Pieces then look up their
 place by their rank among the pieces of the same length; ranks come from a
-window over (length, bucket) plus bucket totals, so that no length, however
-frequent, is ordered in one task.
+window over (length, bucket) plus bucket totals, and there are as many buckets
+as the pieces need, so that no length, however frequent, is ordered in one task.
 """
 
 from __future__ import annotations
@@ -23,12 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from contactloom.llm.tables import col, field_type, stage
 from contactloom.llm.tokens import WordEncoder
 
-#: Buckets into which the pieces of one length are cut for ranking.
-BUCKETS = 256
+#: Buckets into which the pieces of one length are cut for ranking: so many at least, and one for so many pieces.
+BUCKETS, BUCKET_ROWS = 256, 100_000
 
 
 # ---------------------------------------------------------------- the plan
@@ -197,6 +198,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", t
     Returns a row per piece: ``id_col``, ``piece``, ``start``, ``length``,
     ``ids_crc32`` (of the unsigned little-endian 32-bit ids) and, if asked for,
     ``ids``.  A null text counts as empty, so it is the piece ``[end_id]``.
+    Null ids are kept, repeated rows give pieces of their own, an empty table
+    none.  Only the two named columns are read.
     """
     end = np.array([end_id], "<u4").tobytes()
     unit = 4 * capacity
@@ -232,36 +235,40 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length") ->
     """Add ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` tokens.
 
     The pieces are written once, as ranks must not change when a task is
-    repeated.  No other column is read, and all are kept; equal rows are
-    pieces of their own.  An empty table packs into nothing.
+    repeated.  Only the length is read, and all columns are kept; one that is
+    called like a new one is an error, other names do not matter.  Pieces of
+    equal length are interchangeable, equal rows are pieces of their own, a
+    null length is an error, and an empty table packs into nothing.
     """
-    if clash := {"sequence_id", "offset", "_bucket", "_rank"} & set(pieces.columns):
+    if clash := {"sequence_id", "offset"} & set(pieces.columns):
         raise ValueError(f"columns in the way: {sorted(clash)}")
-    others = [F.xxhash64(*[col(c) for c in pieces.columns])]
-    rows = stage(pieces.withColumn("_bucket", F.pmod(others[0], F.lit(BUCKETS)).cast("int")), "pieces")
-    size = col(length_col)
-    counts = rows.groupBy(size.alias("s"), F.col("_bucket").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    per_bucket = stage(counts, "lengths")
-    histogram = {r["s"]: r["n"] for r in per_bucket.groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    given = [(f"x{k}", name) for k, name in enumerate(pieces.columns)]
+    rows = pieces.select(*[col(n).alias(x) for x, n in given], col(length_col).cast("bigint").alias("s"), F.monotonically_increasing_id().alias("no"))
+    rows = stage(rows, "pieces")
+    histogram = {r["s"]: r["n"] for r in rows.groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(s is None or not 1 <= s <= capacity for s in histogram):
         raise ValueError("a piece must have 1 to capacity tokens")
     slots, _ = plan_packing(histogram, capacity)
     shared = rows.sparkSession.sparkContext.broadcast(slots)
-    before = per_bucket.withColumn("n0", F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))).select("s", "b", F.coalesce("n0", F.lit(0)).alias("n0"))
-    within = F.row_number().over(Window.partitionBy(length_col, "_bucket").orderBy(*[col(c) for c in pieces.columns if pieces.schema[c].dataType.typeName() not in ("map", "array", "variant")]))
-    ranked = rows.withColumn("_rank", within).join(before, (size == F.col("s")) & (F.col("_bucket") == F.col("b")))
-    ranked = ranked.select(*[col(c) for c in pieces.columns], (F.col("_rank") - 1 + F.col("n0")).cast("bigint").alias("_rank"))
+    buckets = max(BUCKETS, -(-sum(histogram.values()) // BUCKET_ROWS))
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("no"), F.lit(buckets)))
+    counts = rows.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.select(F.col("s").alias("s1"), F.col("b").alias("b1"), F.coalesce(earlier, F.lit(0)).alias("n0"))
+    within = F.row_number().over(Window.partitionBy("s", "b").orderBy("no"))
+    ranked = rows.withColumn("within", within).join(before, (F.col("s") == F.col("s1")) & (F.col("b") == F.col("b1")))
+    ranked = ranked.select(*[x for x, _ in given], "s", (F.col("within") - 1 + F.col("n0")).cast("bigint").alias("r"))
 
     def place(batches):
         table = shared.value
         # a slot is found by one search on (length, rank)
         key = table[:, 0] << 48 | table[:, 1]
         for b in batches:
-            s, r = b.column(length_col).to_numpy().astype(np.int64), b.column("_rank").to_numpy()
+            s, r = b.column("s").to_numpy(), b.column("r").to_numpy()
             found = table[np.searchsorted(key, s << 48 | r, side="right") - 1]
             q = r - found[:, 1]
-            cols = {n: b.column(n) for n in b.schema.names if n != "_rank"}
+            cols = {n: b.column(n) for n in b.schema.names if n not in ("s", "r")}
             yield pa.RecordBatch.from_pydict(cols | {"sequence_id": pa.array(found[:, 2] + q // found[:, 3]), "offset": pa.array(found[:, 4] + q % found[:, 3] * s)})
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id bigint, offset bigint")
+    kinds = StructType(ranked.schema.fields[: len(given)] + StructType.fromDDL("sequence_id bigint, offset bigint").fields)
+    return ranked.mapInArrow(place, kinds).select(*[F.col(x).alias(n) for x, n in given], "sequence_id", "offset")

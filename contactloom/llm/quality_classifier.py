@@ -68,16 +68,20 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str | Column = "lang", label_id_col: str = "doc_id", label_col: str = "quality", threshold: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """A row per document: ``id_col``, ``evidence``, ``site_rate``, ``probability``, ``kept``.
+def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str | Column = "lang", label_id_col: str = "doc_id", label_col: str = "quality", threshold: float = 0.5, fit_rows: int = FIT_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row per document: ``id_col``, ``carry`` columns, ``evidence``, ``site_rate``, ``probability``, ``kept``.
 
     Labels are 1 for good and 0 for bad; others, and null ids, are ignored.
     Without two kinds of labels the evidence is a half for all and everything
     stays.  Null texts count as empty, null hosts and paths are groups of
-    their own.  Only the named columns are read.
+    their own; repeated rows are judged alike and counted each; a probability
+    at the threshold keeps; an empty table gives none.  Only the named columns
+    are read.
     """
     path = col(path_col) if isinstance(path_col, str) else path_col
-    rows = docs.select(col(id_col).alias("i"), col(host_col).alias("host"), path.alias("path"), col(text_col).alias("t"))
+    carried = [(f"x{k}", name) for k, name in enumerate(carry)]
+    xs = [x for x, _ in carried]
+    rows = docs.select(col(id_col).alias("i"), *[col(n).alias(x) for x, n in carried], col(host_col).alias("host"), path.alias("path"), col(text_col).alias("t"))
     rows = stage(features(rows, "t"), "features")
     known = labels.select(col(label_id_col).alias("i"), col(label_col).cast("double").alias("y")).where("y in (0, 1) and i is not null").dropDuplicates(["i"])
     sample = rows.join(known, "i").orderBy(F.xxhash64("i"), "i").select("x", "y").limit(fit_rows).toPandas()
@@ -88,7 +92,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     for k, w in enumerate(weights[:-1]):
         z = z + F.lit(float(w)) * F.col("x")[k]
     # a document's own evidence is bounded, so that a site can speak as well
-    rows = rows.select("i", "host", "path", (1 / (1 + F.exp(-F.greatest(F.lit(-12.0), F.least(F.lit(12.0), z))))).alias("p"))
+    rows = rows.select("i", *xs, "host", "path", (1 / (1 + F.exp(-F.greatest(F.lit(-12.0), F.least(F.lit(12.0), z))))).alias("p"))
 
     paths = stage(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
@@ -110,5 +114,5 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     site = (F.col("s") - F.col("p") + k1 * F.col("rate")) / (F.col("n") - 1 + k1)
     site = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), site))
     both = _logit(F.col("p")) + _logit(site) - float(np.log(mean / (1 - mean)))
-    judged = joined.select("i", "p", site.alias("site"), (1 / (1 + F.exp(-both))).alias("post"))
-    return judged.select(F.col("i").alias(id_col), F.col("p").alias("evidence"), F.col("site").alias("site_rate"), F.col("post").alias("probability"), (F.col("post") >= threshold).alias("kept"))
+    judged = joined.select("i", *xs, "p", site.alias("site"), (1 / (1 + F.exp(-both))).alias("post"))
+    return judged.select(F.col("i").alias(id_col), *[F.col(x).alias(n) for x, n in carried], F.col("p").alias("evidence"), F.col("site").alias("site_rate"), F.col("post").alias("probability"), (F.col("post") >= threshold).alias("kept"))

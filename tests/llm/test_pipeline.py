@@ -68,13 +68,37 @@ def test_stages_follow_each_other(spark, duck):
     assert cp.run(spark, SF).count() == len(packed)
 
 
-def test_stages_take_edges(spark, documents, edge_pairs, tmp_path):
+#: Names that stages and operators use inside.
+INSIDE = ("d", "i", "h", "g", "s", "b", "no", "n", "n0", "k", "t", "x0", "spans", "base_spans", "new", "best", "kept", "component_id", "length", "piece", "_new", "_kept_id", "a.b")
+
+
+@pytest.mark.parametrize("step", [f for _, f in cp.STAGES], ids=[n for n, _ in cp.STAGES])
+def test_stages_take_edges(spark, documents, edge_pairs, tmp_path, step):
+    """Null and repeated ids, null texts, ties, empty tables and clashing names, at every stage."""
+    from pyspark.sql import functions as F
+
     spark.createDataFrame([(3, 1, 0), (7, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for pairs in (edge_pairs, []):
-        docs = documents(pairs)
-        for _, f in cp.STAGES:
-            out = f(spark, docs, str(tmp_path))
-            assert out.count() <= max(len(pairs), 200)
-    twice = documents([(5, "again"), (5, "again"), (4, "again"), (None, None), (None, None)])
-    out = sorted(((r["doc_id"], r["text"]) for r in cp.drop_copies(spark, twice, str(tmp_path)).collect()), key=str)
-    assert out == [(5, "again"), (None, None)]
+        docs = documents(pairs).withColumns({c: F.lit(k) for k, c in enumerate(INSIDE)})
+        out = step(spark, docs, str(tmp_path))
+        rows = out.collect()
+        assert len(rows) <= max(len(pairs), 200) and (len(rows) > 0) == (len(pairs) > 0)
+        if step is not cp.pack_sequences:
+            assert out.columns == docs.columns
+            assert all(r[c] == k for r in rows for k, c in enumerate(INSIDE))
+
+
+def test_rows_are_told_apart_by_id_and_text(spark, documents, tmp_path):
+    twice = documents([(5, "again"), (5, "again"), (4, "again"), (None, None), (None, None), (None, "other"), (5, "different")])
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert pairs(cp.drop_copies(spark, twice, str(tmp_path))) == sorted([(5, "again"), (5, "different"), (None, None), (None, "other")], key=str)
+    words = " ".join(f"w{k}" for k in range(60))
+    near = documents([(None, words), (None, words + " more"), (9, words + " end"), (9, "nothing like it"), (9, "nothing like it"), (1, None), (2, "")])
+    assert pairs(cp.drop_near_copies(spark, near, str(tmp_path))) == sorted([(9, words + " end"), (9, "nothing like it"), (1, None), (2, "")], key=str)
+    # good and bad texts under null ids get verdicts of their own
+    good = [" ".join(f"word{(a * 7 + b) % 97}" for b in range(120)) for a in range(40)]
+    bad = ["### !!! $$$ " * 60 + str(a) for a in range(40)]
+    docs = documents([(k, t) for k, t in enumerate(good + bad)] + [(None, good[0] + " so"), (None, bad[0] + " so")])
+    spark.createDataFrame([(k, int(k < 40), 0) for k in range(80)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = pairs(cp.judge_quality(spark, docs, str(tmp_path)))
+    assert [t for i, t in kept if i is None] == [good[0] + " so"] and len(kept) == 41
