@@ -1,8 +1,14 @@
-"""A training corpus from raw documents: judge, remove copies, redact, pack."""
+"""A training corpus from raw documents: judge, remove copies, redact, pack.
+
+Every stage keeps the columns of its input whatever they are called: a row
+travels as one struct beside a key of its id and text, so no helper column can
+meet one of the table's.  Rows are told apart by id and a hash of the text;
+null ids and ids that several texts share are no special case.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm.exact_dedup import exact_dedup
@@ -11,49 +17,92 @@ from contactloom.llm.packing import pack, token_pieces
 from contactloom.llm.pii import personal_data, redacted
 from contactloom.llm.quality_classifier import classify_quality
 from contactloom.llm.queries import tokenizer_path
-from contactloom.llm.tables import stage
+from contactloom.llm.tables import col, stage
 from contactloom.session import ship_package
 
 
-def _staying(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The documents with a kept id; null ids are judged together."""
-    ids = verdict.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """``d``, the whole row; ``i``, its id; ``h``, a hash of its text; and ``more`` columns that a stage reads."""
+    row = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"))
+    return row.select("d", F.col("d.doc_id").alias("i"), F.xxhash64(F.coalesce("d.text", F.lit(""))).alias("h"), *[F.col(f"d.{c}").alias(c) for c in more])
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["i"].eqNullSafe(b["i"]) & (a["h"] == b["h"])
+
+
+def _staying(rows: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
+    """The rows whose (i, h) is in ``kept``; with ``once`` one of those that repeat both."""
+    kept = kept.select("i", "h").distinct()
+    out = rows.select("d", "i", "h").join(kept, _same(rows, kept), "left_semi")
+    if once:
+        counts = rows.groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if counts.limit(1).count():
+            counts = counts.select("i", "h")
+            single, many = out.join(counts, _same(out, counts), "left_anti"), out.join(counts, _same(out, counts), "left_semi")
+            out = single.unionByName(many.groupBy("i", "h").agg(F.first("d").alias("d")))
+    return out.select("d.*")
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps; rows with the same id and text share a verdict.
+
+    Null texts are judged as empty, null ids as rows of their own; without
+    usable labels everything stays; an empty table stays empty.
+    """
     ship_package(spark)
-    return _staying(docs, classify_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    rows = _keyed(docs, "text", "source", "lang")
+    verdict = classify_quality(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), id_col="i", carry=("h",))
+    return _staying(rows, verdict.where("kept"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id; of fully repeated rows one."""
+    """Of equal texts the row with the largest id, null ids last; of rows that repeat id and text one.
+
+    A null text equals an empty one.
+    """
     ship_package(spark)
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    verdict = exact_dedup(marked, carry=("_text_hash",)).groupBy("doc_id", "_text_hash").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    verdict = stage(verdict, "copies").where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("_text_hash").alias("_kept_hash"), "n")
-    here = marked["doc_id"].eqNullSafe(verdict["_kept_id"]) & (marked["_text_hash"] == verdict["_kept_hash"])
-    if not verdict.where("n > 1").limit(1).count():
-        return marked.join(verdict, here, "left_semi").drop("_text_hash")
-    joined = marked.join(verdict, here).drop("_text_hash", "_kept_id", "_kept_hash")
-    return joined.where("n = 1").drop("n").unionByName(joined.where("n > 1").drop("n").dropDuplicates(["doc_id", "text"]))
+    rows = _keyed(docs, "text")
+    return _staying(rows, exact_dedup(rows, "i", carry=("h",)).where("kept"), once=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the row with the least id, null ids last; of rows that repeat id and text one.
+
+    Groups are found by text, whatever its ids; texts without words, null ones
+    too, are in no group and stay.
+    """
     ship_package(spark)
-    return _staying(docs, near_duplicates(docs))
+    rows = _keyed(docs, "text")
+    group = near_duplicates(rows, "h").select(F.col("h").alias("g"), "component_id", "n_shingles").distinct()
+    grouped = stage(rows.select("i", "h").join(group, F.col("h") == F.col("g")).select("i", "h", "component_id", "n_shingles"), "groups")
+    least = F.min(F.struct(F.col("i").isNull().alias("none"), "i", "h")).alias("best")
+    best = grouped.where("n_shingles > 0").groupBy("component_id").agg(least).select("best.i", "best.h")
+    wordless = grouped.where("n_shingles = 0").select("i", "h")
+    return _staying(rows, best, once=True).unionByName(_staying(rows, wordless))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by its kind; n_chars follows where the text changed."""
+    """Replace personal data by its kind; ``n_chars`` follows where the text changed.
+
+    Every row stays, repeated ones and those with null ids or texts too; a null
+    text stays null, and an empty table empty.
+    """
     ship_package(spark)
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    out = personal_data(docs.select(*docs.columns), carry=others).withColumn("_new", redacted(F.col("text"), F.col("spans")))
+    out = personal_data(_keyed(docs, "text"), "i", carry=("d",))
+    new = out.select("d", "spans", redacted(F.col("d.text"), F.col("spans")).alias("new"))
     changed = F.size("spans") > 0
-    return out.withColumns({"n_chars": F.when(changed, F.length("_new").cast("bigint")).otherwise(F.col("n_chars")), "text": F.col("_new")}).select(*docs.columns)
+    value = {"text": F.col("new"), "n_chars": F.when(changed, F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("d.n_chars")) if "n_chars" in docs.columns else None}
+    return new.select(*[value[c].alias(c) if c in value else F.col("d")[c].alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenize and pack every document: a row per piece, as operator 1 returns.
+
+    Null and empty texts are the piece of the end id alone; null and repeated
+    ids give pieces of their own; equal lengths are interchangeable, so ties
+    need no rule; an empty table packs into nothing.
+    """
     ship_package(spark)
     return pack(token_pieces(docs, tokenizer_path("word_bpe_49k.json")))
 
