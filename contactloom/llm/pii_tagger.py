@@ -16,14 +16,16 @@ import numpy as np
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-EMBED, HIDDEN = 12, 10
+EMBED, HIDDEN = 12, 8
 #: Characters of a training window.
 TRAINED = 96
 #: Characters of a window of a text, and what two of them share.
 WINDOW, SHARED = 512, 64
-#: Windows that pass the network at a time.
-BATCH = 1024
+#: Windows that pass the network at a time, and the steps of their lengths.
+BATCH, PADDED = 1024, 128
 CHARS = 98
+#: White space that is put around a text.
+MARGIN = 8
 #: Bound of a transition's score.
 MOST_TRANSITION = 1.0
 #: Log odds from which a span stays.
@@ -168,8 +170,18 @@ def labelled_windows(rows: int, seed: int) -> tuple[np.ndarray, np.ndarray, list
             raised = piece.upper() if upper else piece
             parts.append(raised if len(raised) == len(piece) else piece)
             tags += [0] * len(before) + mine + [0] * (len(after) + len(gap))
-        at = int(rng.integers(0, 60))
-        text = "".join(parts)[at : at + TRAINED]
+        text = "".join(parts)
+        if rng.integers(0, 3) == 0:
+            # the end of a text: a last piece, perhaps without its gap, and white space after it
+            ends = np.cumsum([len(x) for x in parts])
+            last = int(np.searchsorted(ends, TRAINED - MARGIN, side="right"))
+            text = text[: ends[last - 1]].rstrip(" " if rng.integers(0, 2) else " .,;:|-\n") if last else ""
+            tags = tags[: len(text)] + [0] * TRAINED
+            text = text.ljust(TRAINED)
+            at = 0
+        else:
+            at = int(rng.integers(0, 60))
+        text = text[at : at + TRAINED]
         cut = np.array(tags[at : at + TRAINED])
         # what a window's edge cuts is a span of its own
         if cut[0] and cut[0] % 2 == 0:
@@ -256,7 +268,7 @@ def emissions(p: dict, codes: np.ndarray) -> np.ndarray:
         h[:] = c[:] = 0
         for t in order:
             np.matmul(wh, h, out=s)
-            np.take(table, codes[t], axis=1, out=size, mode="clip")
+            table.take(codes[t], axis=1, out=size, mode="clip")
             s += size
             np.abs(s, out=size)
             size += 1
@@ -412,11 +424,12 @@ def scores(p: dict, codes: list[np.ndarray]) -> list[np.ndarray]:
     weights that fall toward a window's edges.
     """
     index, step = [], WINDOW - SHARED
+    codes = [np.pad(c, MARGIN, constant_values=1) for c in codes]
     out = [np.zeros((len(c), TAGS), np.float32) for c in codes]
     for r, c in enumerate(codes):
         index += [(r, at) for at in range(0, max(len(c) - SHARED, 1), step)]
     # padding depends on a window's own length only, so that its scores do not depend on its company
-    padded = lambda x: min(WINDOW, -(-(len(codes[x[0]]) - x[1]) // 32) * 32)
+    padded = lambda x: min(WINDOW, -(-(len(codes[x[0]]) - x[1]) // PADDED) * PADDED)
     index.sort(key=padded)
     rise = ((np.arange(SHARED) + 1) / (SHARED + 1)).astype(np.float32)[:, None]
     batches = (list(same) for _, same in groupby(index, padded))
@@ -433,7 +446,7 @@ def scores(p: dict, codes: list[np.ndarray]) -> list[np.ndarray]:
             if a + n < len(codes[r]):
                 e[step:] *= rise[::-1]
             out[r][a : a + n] += e
-    return out
+    return [o[MARGIN:-MARGIN] for o in out]
 
 
 def tag_texts(p: dict, texts: list[str], least: float = LEAST_ODDS) -> list[list[tuple[int, int, int]]]:
