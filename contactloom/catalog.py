@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from contactloom import fixtures as fx
 from contactloom.operators import contact_map as cm
 from contactloom.operators import graph, mismatch, pairs, sites, split
+from contactloom.session import stage
 
 MOTIF = "en"
 WIDE, NARROW, DEPLETION = 2500, 100, 10000
@@ -65,8 +66,17 @@ def filter_known_refs(spark, d):
     return pairs.filter_known_refs(pairs.filter_mapq(coordinate_sort(spark, d), 40), _ref_map(spark, d))
 
 
+def _filtered(spark, d):
+    """The sorted alignments, the nodes, and the alignments near a site, each made once."""
+    found = _sites(spark, d)
+    nodes = sites.count_sites(found)
+    rows = coordinate_sort(spark, d)
+    known = pairs.filter_known_refs(pairs.filter_mapq(rows, 40), pairs.map_refs_to_nodes(fx.references(spark, d), nodes))
+    return rows, nodes, pairs.filter_near_site(known, sites.site_windows(found, nodes, len(MOTIF)))
+
+
 def near_site_alignments(spark, d):
-    return pairs.filter_near_site(filter_known_refs(spark, d), site_windows(spark, d))
+    return _filtered(spark, d)[2]
 
 
 def mate_pairs(spark, d):
@@ -78,11 +88,13 @@ def edge_counts(spark, d):
 
 
 def reduced_alignments(spark, d):
-    return pairs.reduced_alignments(coordinate_sort(spark, d), mate_pairs(spark, d))
+    rows, _, near = _filtered(spark, d)
+    return pairs.reduced_alignments(rows, pairs.pair_mates(near))
 
 
 def filter_summary(spark, d):
-    return pairs.filter_summary(drop_secondary(spark, d), reduced_alignments(spark, d), _nodes(spark, d))
+    rows, nodes, near = _filtered(spark, d)
+    return pairs.filter_summary(rows, pairs.reduced_alignments(rows, pairs.pair_mates(near)), nodes)
 
 
 # ------------------------------------------------------------ correct workload
@@ -116,12 +128,21 @@ def score_track_narrow(spark, d):
     return cm.crop_track(cm.depletion_score(cells, cm.saturation_level(cells), NARROW, WIDE), NARROW, WIDE)
 
 
+def _islands(coarse):
+    level = cm.saturation_level(coarse)
+    track = cm.crop_track(cm.depletion_score(coarse, level, WIDE, DEPLETION), WIDE, DEPLETION)
+    return mismatch.wide_mismatches(track, cm.threshold_e5(level, WIDE, DEPLETION), WIDE)
+
+
 def wide_mismatches(spark, d):
-    return mismatch.wide_mismatches(score_track(spark, d), cm.threshold_e5(saturation_level(spark, d), WIDE, DEPLETION), WIDE)
+    return _islands(contact_map(spark, d))
 
 
 def narrow_mismatches(spark, d):
-    return mismatch.narrow_mismatches(wide_mismatches(spark, d), score_track_narrow(spark, d), NARROW)
+    # the raw rows are read once: the wide map is summed up from the fine one
+    fine = stage(contact_map_narrow(spark, d), "fine-map")
+    track = cm.crop_track(cm.depletion_score(fine, cm.saturation_level(fine), NARROW, WIDE), NARROW, WIDE)
+    return mismatch.narrow_mismatches(_islands(cm.widened(fine, WIDE)), track, NARROW)
 
 
 def _pieces(spark, d):
@@ -134,8 +155,13 @@ def corrected_pieces(spark, d):
 
 
 # ---------------------------------------------------------- partition workload
+def _graph(spark, d):
+    _, nodes, near = _filtered(spark, d)
+    return nodes, graph.weight_edges(pairs.count_edges(pairs.pair_mates(near)), nodes)
+
+
 def weighted_edges(spark, d):
-    return graph.weight_edges(edge_counts(spark, d), _nodes(spark, d))
+    return _graph(spark, d)[1]
 
 
 def assign_nearest(spark, d):
@@ -158,7 +184,7 @@ def group_sizes(spark, d):
 def pajek_lines(spark, d):
     from contactloom.sources.sinks import pajek_lines as lines
 
-    return lines(_nodes(spark, d), weighted_edges(spark, d)).select("section", "ord", "value")
+    return lines(*_graph(spark, d)).select("section", "ord", "value")
 
 
 def kmeans_groups(spark, d):
@@ -167,7 +193,7 @@ def kmeans_groups(spark, d):
 
 def force_layout(spark, d):
     # the stop rule ends it; the bound is for safety only
-    return graph.force_layout(_nodes(spark, d), weighted_edges(spark, d), max_iter=10_000)
+    return graph.force_layout(*_graph(spark, d), max_iter=10_000)
 
 
 def queries() -> dict[str, Query]:
@@ -190,21 +216,21 @@ parts as (select contig_ord, name, length, unnest(list_transform(string_split(se
           len(string_split(seq, '{MOTIF}')) as n from contigs),
 sites0 as (select contig_ord, name, length, ord as site_ord, cast(sum(piece) over (partition by contig_ord order by ord) + ord * {len(MOTIF)} as bigint) as pos, n from parts),
 sites as (select contig_ord, name, length, site_ord, pos from sites0 where site_ord < n - 1),
-nodes as (select row_number() over (order by contig_ord) - 1 as node_id, contig_ord, name, count(*) as site_count, length from sites group by contig_ord, name, length),
-windows as (select node_id, s.name, site_ord,
+nodes as materialized (select row_number() over (order by contig_ord) - 1 as node_id, contig_ord, name, count(*) as site_count, length from sites group by contig_ord, name, length),
+windows as materialized (select node_id, s.name, site_ord,
   case when s.length < 1000 then 0 when pos < 500 then 0 when pos + {len(MOTIF)} > s.length - 500 then pos - 500 else pos - 500 end as win_start,
   case when s.length < 1000 then s.length when pos < 500 then pos + {len(MOTIF)} + 500 when pos + {len(MOTIF)} > s.length - 500 then s.length else pos + 500 end as win_end
   from sites s join nodes using (contig_ord)),
 raw as ({fx.ALIGNMENTS}),
-aln as (select row_number() over (order by case when ref_id < 0 then 1 else 0 end, ref_id, pos, flag & 16, read_name, flag, next_ref_id, next_pos, mapq) - 1 as aln_id, * from raw where flag & 256 = 0),
+aln as materialized (select row_number() over (order by case when ref_id < 0 then 1 else 0 end, ref_id, pos, flag & 16, read_name, flag, next_ref_id, next_pos, mapq) - 1 as aln_id, * from raw where flag & 256 = 0),
 refs as (select cast(contig_ord as int) as ref_id, c.name as ref_name, (select min(node_id) from nodes n where n.name = c.name) as node_id from contigs c),
-known as (select a.*, o.node_id, m.node_id as next_node_id from aln a join refs o on a.ref_id = o.ref_id join refs m on a.next_ref_id = m.ref_id
+known as materialized (select a.*, o.node_id, m.node_id as next_node_id from aln a join refs o on a.ref_id = o.ref_id join refs m on a.next_ref_id = m.ref_id
           where mapq >= 40 and o.node_id is not null and m.node_id is not null),
-covered as (select distinct node_id, unnest(range(win_start, win_end + 1)) as pos from windows where node_id in (select node_id from known)),
-near as (select * from known semi join covered using (node_id, pos)),
+covered as materialized (select distinct node_id, unnest(range(win_start, win_end + 1)) as pos from windows where node_id in (select node_id from known)),
+near as materialized (select * from known semi join covered using (node_id, pos)),
 firsts as (select *, first_value(aln_id) over w as fa, first_value(ref_id) over w as fr, first_value(pos) over w as fp, first_value(next_ref_id) over w as fnr, first_value(next_pos) over w as fnp, first_value(node_id) over w as fn
            from near window w as (partition by read_name order by aln_id)),
-pairs as (select read_name, fa as aln_id_a, min(aln_id) as aln_id_b, fn as node_a, arg_min(node_id, aln_id) as node_b from firsts
+pairs as materialized (select read_name, fa as aln_id_a, min(aln_id) as aln_id_b, fn as node_a, arg_min(node_id, aln_id) as node_b from firsts
           where aln_id > fa and fr = next_ref_id and fnr = ref_id and fp = next_pos and fnp = pos group by read_name, fa, fn),
 edges as (select least(node_a, node_b) as src, greatest(node_a, node_b) as dst, count(*) as contacts from pairs group by all),
 reduced as (select * from aln where aln_id in (select aln_id_a from pairs union select aln_id_b from pairs)),

@@ -5,11 +5,15 @@ Scores are integers, 100,000 times the value, so sums do not depend on order.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions.text import as_float32, bin_floor, truncated_e5
 
+log = logging.getLogger(__name__)
+
 
 def intra_contacts(alignments: DataFrame, min_mapq: int = 1) -> DataFrame:
     """Contacts inside a contig; both mates of a pair count."""
@@ -21,6 +25,11 @@ def bin_contacts(contacts: DataFrame, size: int) -> DataFrame:
     return contacts.groupBy("ref_id", bin_floor(F.col("pos"), size).alias("bin_s"), bin_floor(F.col("next_pos"), size).alias("bin_e")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def widened(contact_map: DataFrame, size: int) -> DataFrame:
+    """The map with wider bins of a multiple of its own."""
+    return contact_map.groupBy("ref_id", bin_floor(F.col("bin_s"), size).alias("bin_s"), bin_floor(F.col("bin_e"), size).alias("bin_e")).agg(F.sum("cnt").alias("cnt"))
+
+
 def saturation_level(contact_map: DataFrame, percent: float = 0.95) -> DataFrame:
     """Quantile of the off-diagonal counts per contig: ref_id, sat_e5.
 
@@ -50,8 +59,11 @@ def depletion_score(contact_map: DataFrame, saturation: DataFrame, size: int, de
 def crop_track(score: DataFrame, size: int, depletion: int) -> DataFrame:
     """The dense inner grid of every contig; bins without a score have 0.
 
-    If ``depletion`` is no multiple of ``size`` the grid misses all scores.
+    If ``depletion`` is no multiple of ``size`` the grid misses all scores, of
+    which the log warns.
     """
+    if depletion % size:
+        log.warning("depletion %d is no multiple of the bin size %d: the track reads 0 everywhere", depletion, size)
     ends = score.groupBy("ref_id").agg((F.min("pos") + depletion - 2 * size).alias("lo"), (F.max("pos") - depletion + 3 * size).alias("hi")).where("lo < hi")
     grid = ends.select("ref_id", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(size).cast("bigint"))).alias("pos"))
     return grid.join(score, ["ref_id", "pos"], "left").select("ref_id", "pos", F.coalesce("score_e5", F.lit(0)).cast("bigint").alias("score_e5"))

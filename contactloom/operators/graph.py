@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import logging
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from contactloom.session import stage
 
@@ -15,6 +15,8 @@ log = logging.getLogger(__name__)
 
 #: Cells per side of the grid that stands for far nodes.
 CELLS = 24
+#: Strength of the repulsion and of the pull to the middle.
+REPULSION, GRAVITY = 10.0, 0.5
 
 
 def weight_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -58,16 +60,20 @@ def _start(node, seed: int):
     return unit(1), unit(2)
 
 
-def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, change_per_node: float = 2.0, max_iter: int = 30) -> DataFrame:
+def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, change_per_node: float = 2.0, max_iter: int = 1000) -> DataFrame:
     """A force-directed layout in the plane: node_id, x, y.
 
-    Edges attract by weight times distance.  Nodes repel by the product of
-    their degrees plus one over the distance; for that the nodes are summed up
-    in a grid of CELLS x CELLS cells, the only thing that reaches all tasks.
-    Steps shrink as they swing, and the layout ends when a node moves less than
-    ``change_per_node`` on average.  The log says after how many rounds, and
-    warns where ``max_iter`` ended it before.  Every round is written to the
-    shared folder, so its lineage is one file scan.
+    Edges attract by weight times distance, nodes repel by the product of their
+    masses (degree plus one) over the distance, and gravity draws each to the
+    middle by its mass times the distance.  For the repulsion the nodes are
+    summed up in a grid of CELLS x CELLS cells, the only thing that reaches all
+    tasks.  The speed follows the published rule: the graph's is the ratio of
+    traction (forces that go on) to swing (forces that turn), growing by half a
+    round at most, and a node that swings is slower.  The layout ends when a
+    node moves less than ``change_per_node`` on average.  The log says after
+    how many rounds, and warns where ``max_iter`` ended it before.  The forces
+    of every round are written to the shared folder, so its lineage is one file
+    scan.
     """
     links = weighted_edges.where("src <> dst")
     ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "weight"), F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "weight"))).alias("e")).select("e.a", "e.b", "e.weight")
@@ -75,10 +81,10 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
     degree = ends.groupBy(F.col("a").alias("node_id")).agg(F.count(F.lit(1)).alias("degree"))
     x, y = _start(F.col("node_id"), seed)
     state = nodes.select("node_id").distinct().join(degree, "node_id", "left")
-    state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy"), F.lit(0.0).alias("moved")), "layout")
-    moved = None
+    state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy")), "layout")
+    forced = StructType(state.schema.fields + StructType.fromDDL("gx double, gy double").fields)
+    box, speed, moved = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first(), 1.0, None
     for k in range(max_iter):
-        box = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         if box[0] is None:
             return state.select("node_id", "x", "y")
         w, h = (box[1] - box[0]) / CELLS + 1e-9, (box[3] - box[2]) / CELLS + 1e-9
@@ -89,23 +95,27 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
         pull = ends.join(other, "b").groupBy(F.col("a").alias("node_id")).agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("bx")).alias("wx"), F.sum(F.col("weight") * F.col("by")).alias("wy"))
         joined = state.join(pull, "node_id", "left").select("node_id", "mass", "x", "y", "fx", "fy", F.coalesce(F.col("wx") - F.col("w") * F.col("x"), F.lit(0.0)).alias("px"), F.coalesce(F.col("wy") - F.col("w") * F.col("y"), F.lit(0.0)).alias("py"))
 
-        def move(batches, far=far):
+        def forces(batches, far=far):
             for b in batches:
                 x, y, mass = b["x"].to_numpy(), b["y"].to_numpy(), b["mass"].to_numpy()
-                dx, dy = x[:, None] - far[None, :, 1], y[:, None] - far[None, :, 2]
-                # a node's own cell holds the node; close by, the push is limited
-                d2 = dx * dx + dy * dy + 1.0
-                push = mass[:, None] * far[None, :, 0] / d2
-                fx, fy = b["px"].to_numpy() + (push * dx).sum(axis=1), b["py"].to_numpy() + (push * dy).sum(axis=1)
-                swing = np.hypot(fx - b["fx"].to_numpy(), fy - b["fy"].to_numpy())
-                speed = 1.0 / (1.0 + np.sqrt(swing)) / mass
-                size = np.hypot(fx, fy)
-                speed = np.minimum(speed, 50.0 / np.maximum(size, 1e-9))
-                yield pd.DataFrame({"node_id": b["node_id"], "mass": mass, "x": x + fx * speed, "y": y + fy * speed, "fx": fx, "fy": fy, "moved": size * speed})
-
-        state = stage(joined.mapInPandas(move, state.schema), "layout")
-        moved = state.agg(F.avg("moved")).first()[0]
-        if moved < change_per_node:
+                fx, fy = (b[p].to_numpy() - GRAVITY * mass * at for p, at in (("px", x), ("py", y)))
+                for m, cx, cy in far:
+                    # a node's own cell holds the node; close by, the push is limited
+                    dx, dy = x - cx, y - cy
+                    push = REPULSION * m * mass / (dx * dx + dy * dy + 1.0)
+                    fx, fy = fx + push * dx, fy + push * dy
+                yield pd.DataFrame({"node_id": b["node_id"], "mass": mass, "x": x, "y": y, "fx": fx, "fy": fy, "gx": b["fx"], "gy": b["fy"]})
+
+        new = stage(joined.mapInPandas(forces, forced), "layout")
+        swing, traction = F.hypot(F.col("fx") - F.col("gx"), F.col("fy") - F.col("gy")), F.hypot(F.col("fx") + F.col("gx"), F.col("fy") + F.col("gy")) / 2
+        total = new.agg(F.sum(F.col("mass") * swing), F.sum(F.col("mass") * traction)).first()
+        speed = min(total[1] / max(total[0], 1e-9), 1.5 * speed if k else 1.0)
+        step = F.lit(speed) / (1 + F.sqrt(F.lit(speed) * swing))
+        state = new.select("node_id", "mass", (F.col("x") + F.col("fx") * step).alias("x"), (F.col("y") + F.col("fy") * step).alias("y"), "fx", "fy", (F.hypot("fx", "fy") * step).alias("moved"))
+        *box, moved = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.avg("moved")).first()
+        state = state.drop("moved")
+        # the first round only has forces, none to compare them with
+        if k and moved < change_per_node:
             log.info("layout converged: %d rounds, mean displacement %.3f", k + 1, moved)
             break
     else:

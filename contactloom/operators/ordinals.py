@@ -1,27 +1,35 @@
-"""Dense global row numbers without a global sort in one task."""
+"""Dense global row numbers without a window over many rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.session import stage
 
-def dense_ordinal(df: DataFrame, name: str, buckets: list[Column], order: list[Column]) -> DataFrame:
-    """Number rows from 0 by ``buckets`` then ``order``; nulls come first.
+#: ``monotonically_increasing_id`` has the partition above, the row within it below.
+ROW_BITS = 33
 
-    Rows are ranked within their bucket, and buckets by running totals, so the
-    buckets should be many and follow the wanted order.  ``order`` should tell
-    all rows apart that differ.
+
+def dense_ordinal(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """Add ``name``: the place of each row from 0 in the given order; nulls come first.
+
+    Rows are range-partitioned by the whole order, sorted and written once with
+    their place in the partition, so a key of any size is spread; what is added
+    are running totals of one row per partition.  ``order`` should tell all
+    rows apart that differ.
     """
-    keys = [f"_b{k}" for k in range(len(buckets))]
-    marked = df.withColumns(dict(zip(keys, buckets, strict=True)))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket
-    totals = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    totals = totals.select(*[F.col(k).alias(f"{k}t") for k in keys], "_first")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}t"))
-    ranked = marked.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    joined = ranked.join(totals, same)
-    return joined.select((F.col("_first") + F.col("_rank") - 1).cast("bigint").alias(name), *[F.col(f"`{c}`") for c in df.columns])
+    keys = [f"_o{k}" for k in range(len(order))]
+    marked = df.select(*[F.col(f"`{c}`") for c in df.columns], *[o.alias(k) for o, k in zip(order, keys, strict=True)])
+    placed = marked.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys).withColumn("_at", F.monotonically_increasing_id())
+    return numbered(stage(placed, "ordered"), name)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Turn ``_at``, consecutive within partitions that follow each other, into dense numbers."""
+    part = F.shiftright("_at", ROW_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    totals = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    joined = df.join(totals, part == F.col("_part"))
+    return joined.select((F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).cast("bigint").alias(name), *[F.col(f"`{c}`") for c in df.columns if c != "_at"])

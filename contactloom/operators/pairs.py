@@ -24,14 +24,13 @@ def coordinate_sort(alignments: DataFrame) -> DataFrame:
     """Add ``aln_id``: the place in coordinate order, unmapped rows last.
 
     Ties are broken by strand, name and mate; rows that tie even then are equal
-    in all that any step reads.
+    in all that any step reads.  The rows are range-partitioned by all of
+    these, so neither a reference with many rows nor the unmapped ones meet in
+    one task.
     """
     unmapped = F.when(F.col("ref_id") < 0, 1).otherwise(0)
-    # unmapped rows have no position, so the first letters of their names part them
-    name = F.when(F.col("ref_id") < 0, F.substring("read_name", 1, 8)).otherwise("")
-    buckets = [unmapped, F.col("ref_id"), F.floor(F.col("pos") / 65536), name]
-    order = [F.col("pos"), F.col("flag").bitwiseAND(F.lit(16)), F.col("read_name"), F.col("flag"), F.col("next_ref_id"), F.col("next_pos"), F.col("mapq")]
-    return dense_ordinal(alignments, "aln_id", buckets, order)
+    order = [unmapped, F.col("ref_id"), F.col("pos"), F.col("flag").bitwiseAND(F.lit(16)), F.col("read_name"), F.col("flag"), F.col("next_ref_id"), F.col("next_pos"), F.col("mapq")]
+    return dense_ordinal(alignments, "aln_id", order)
 
 
 def map_refs_to_nodes(references: DataFrame, nodes: DataFrame) -> DataFrame:

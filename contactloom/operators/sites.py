@@ -27,7 +27,7 @@ def find_sites(contigs: DataFrame, motif: str) -> DataFrame:
 def count_sites(sites: DataFrame) -> DataFrame:
     """Nodes: contigs with a site, numbered in contig order."""
     counted = sites.groupBy("contig_ord", "name", "length").agg(F.count(F.lit(1)).alias("site_count"))
-    numbered = dense_ordinal(counted, "node_id", [F.floor(F.col("contig_ord") / 4096)], [F.col("contig_ord")])
+    numbered = dense_ordinal(counted, "node_id", [F.col("contig_ord")])
     return numbered.select("node_id", "contig_ord", "name", "site_count", "length")
 
 

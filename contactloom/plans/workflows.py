@@ -36,15 +36,15 @@ def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, ou
 
 def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, percent: float = 0.95, sensitive: float = 0.5, min_mapq: int = 1, wide: int = 25000, narrow: int = 1000, depletion: int = 100000) -> None:
     """Write ``mismatches`` (Parquet) and ``corrected`` (FASTA) under ``out``."""
-    if not narrow < wide or depletion < 2 * wide:
-        raise ValueError("narrow < wide and depletion >= 2 * wide are needed")
+    if wide < 2 * narrow or depletion < 2 * wide:
+        raise ValueError("wide >= 2 * narrow and depletion >= 2 * wide are needed")
     references, rows = read_alignments(spark, alignments)
     contacts = cm.intra_contacts(pairs.drop_secondary(rows), min_mapq)
     sinks.write_table(cm.bin_contacts(contacts, narrow), f"{out}/map")
     fine = spark.read.parquet(f"{out}/map")
     # the wide map is a sum of the fine one where bins nest
     if wide % narrow == 0:
-        coarse = fine.groupBy("ref_id", (F.expr(f"bin_s div {wide}") * wide).alias("bin_s"), (F.expr(f"bin_e div {wide}") * wide).alias("bin_e")).agg(F.sum("cnt").alias("cnt"))
+        coarse = cm.widened(fine, wide)
     else:
         coarse = cm.bin_contacts(contacts, wide)
     level = cm.saturation_level(coarse, percent)
@@ -56,7 +56,7 @@ def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, perc
     sinks.write_fasta(split.split_contigs(read_fasta(spark, fasta), spark.read.parquet(f"{out}/mismatches")), f"{out}/corrected")
 
 
-def run_partition(spark: SparkSession, nodes: str, edges: str, groups: int, out: str, change_per_node: float = 2.0, seed: int = 806, max_iter: int = 30) -> None:
+def run_partition(spark: SparkSession, nodes: str, edges: str, groups: int, out: str, change_per_node: float = 2.0, seed: int = 806, max_iter: int = 1000) -> None:
     """Write ``graph`` (Pajek), ``coords`` and ``members`` (Parquet) and ``groups`` (text) under ``out``."""
     table = read_nodes(spark, nodes)
     links = read_edges(spark, edges) if edges.endswith(".edge") else spark.read.parquet(edges)

@@ -5,25 +5,35 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions.text import right_trim
-from contactloom.operators.ordinals import dense_ordinal
 
 ALIGNMENT = "read_name string, flag int, ref_id int, pos bigint, mapq int, next_ref_id int, next_pos bigint, tlen int, cigar string, seq string, qual string"
 
 
 def _located(rows: DataFrame) -> DataFrame:
-    """Where a text row lies: file, block, and a number that grows within the partition."""
-    return rows.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_no"))
+    """Where a text row lies: file and block, and its place in the partition."""
+    return rows.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_no"))
 
 
 def _numbered(rows: DataFrame, name: str) -> DataFrame:
-    return dense_ordinal(rows, name, [F.col("_file"), F.col("_at")], [F.col("_no")])
+    """Number rows in the order of files, blocks and lines; only one row per block is moved.
+
+    A block's rows are consecutive within a partition, also after filters, as
+    their places are taken last.
+    """
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    before = Window.orderBy("_file1", "_block1").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.groupBy(F.col("_file").alias("_file1"), F.col("_block").alias("_block1")).agg(F.min("_at").alias("_least"), F.count(F.lit(1)).alias("_n"))
+    blocks = blocks.select("_file1", "_block1", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))
+    joined = placed.join(blocks, (F.col("_file") == F.col("_file1")) & (F.col("_block") == F.col("_block1")))
+    return joined.withColumn(name, F.col("_at") + F.col("_shift"))
 
 
 def read_fasta(spark: SparkSession, path: str, keep_empty: bool = True, first_token: bool = False) -> DataFrame:
@@ -32,36 +42,32 @@ def read_fasta(spark: SparkSession, path: str, keep_empty: bool = True, first_to
     A record begins with ``>`` at a line start and its name is the rest of that
     line; lines are trimmed at their ends and joined.  Text before the first
     record is ignored.  ``keep_empty=False`` drops records without a sequence,
-    ``first_token`` ends names at their first white space.
+    ``first_token`` ends names at their first white space.  No sequence is
+    shuffled.
     """
     rows = _located(spark.read.option("lineSep", "\n>").text(path))
-    # the separator takes the sign of all records but a file's first
-    opening = (F.col("_at") == 0) & (F.row_number().over(_first_window()) == 1)
-    rows = rows.withColumn("_opening", opening)
-    rows = rows.where(~F.col("_opening") | F.col("value").startswith(">"))
-    body = F.when(F.col("_opening"), F.substring("value", 2, 2147483647)).otherwise(F.col("value"))
+    # the separator takes the sign of all records but a file's first; the driver lists the files, so one row of each is little
+    first = rows.where("_block = 0").groupBy(F.col("_file").alias("_file0")).agg(F.min("_no").alias("_no0"))
+    rows = rows.join(F.broadcast(first), (F.col("_file") == F.col("_file0")) & (F.col("_no") == F.col("_no0")), "left")
+    opening = F.col("_no0").isNotNull()
+    rows = rows.where(~opening | F.col("value").startswith(">"))
+    body = F.when(opening, F.substring("value", 2, 2147483647)).otherwise(F.col("value"))
     lines = F.transform(F.split(body, "\n"), right_trim)
     name = F.get(lines, F.lit(0))
     if first_token:
         name = F.get(F.split(name, "[ \\t]"), F.lit(0))
-    made = rows.select("_file", "_at", "_no", name.alias("name"), F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("seq"))
+    made = rows.select("_file", "_block", name.alias("name"), F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("seq"))
     if not keep_empty:
         made = made.where("seq <> ''")
     return _numbered(made, "contig_ord").select("contig_ord", "name", "seq", F.length("seq").cast("bigint").alias("length"))
 
 
-def _first_window():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("_file", "_at").orderBy("_no")
-
-
 def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """References and alignments of SAM text; positions from 0, absent ones -1."""
     rows = _located(spark.read.text(path))
     tags = F.split("value", "\t")
     tag = lambda key: F.get(F.transform(F.filter(tags, lambda x: x.startswith(key)), lambda x: F.substring(x, 4, 1 << 30)), F.lit(0))
-    header = rows.where(F.col("value").startswith("@SQ\t")).select("_file", "_at", "_no", tag("SN:").alias("ref_name"), tag("LN:").cast("bigint").alias("ref_length"))
+    header = rows.where(F.col("value").startswith("@SQ\t")).select("_file", "_block", tag("SN:").alias("ref_name"), tag("LN:").cast("bigint").alias("ref_length"))
     references = _numbered(header, "ref_id").select(F.col("ref_id").cast("int").alias("ref_id"), "ref_name", "ref_length")
     at = lambda k: F.get(tags, F.lit(k))
     body = rows.where(~F.col("value").startswith("@") & (F.col("value") != ""))
@@ -170,13 +176,16 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     return _numbered(body, "node_id").select("node_id", F.get(parts, F.lit(0)).alias("name"), F.get(parts, F.lit(1)).cast("bigint").alias("site_count"), F.get(parts, F.lit(2)).cast("bigint").alias("length"))
 
 
+RECORD = [("start", "<i4"), ("end", "<i4"), ("count", "<u8")]
+
+
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
     """16-byte records of two 32-bit ids and a 64-bit count, as src <= dst."""
 
     def decode(records):
-        for r in records:
-            a, b, n = struct.unpack("<iiq", r)
-            yield min(a, b), max(a, b), n
+        while part := b"".join(islice(records, 65_536)):
+            e = np.frombuffer(part, RECORD)
+            yield from zip(np.minimum(e["start"], e["end"]).tolist(), np.maximum(e["start"], e["end"]).tolist(), e["count"].tolist(), strict=True)
 
     return spark.createDataFrame(spark.sparkContext.binaryRecords(path, 16).mapPartitions(decode), "src bigint, dst bigint, contacts bigint")
 
@@ -184,7 +193,7 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
 def encode_edges(rows: list[tuple[int, int, int]]) -> bytes:
     """The records of (src, dst, contacts), the larger id first."""
     a = np.array(rows, np.int64).reshape(-1, 3)
-    out = np.zeros(len(a), [("start", "<i4"), ("end", "<i4"), ("count", "<u8")])
+    out = np.zeros(len(a), RECORD)
     out["start"], out["end"], out["count"] = a[:, :2].max(axis=1), a[:, :2].min(axis=1), a[:, 2]
     return out.tobytes()
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactloom.functions.text import fixed_15
 from contactloom.operators.ordinals import dense_ordinal
 
 
@@ -30,8 +31,8 @@ def pajek_lines(nodes: DataFrame, weighted_edges: DataFrame) -> DataFrame:
     one = lambda section, value: nodes.sparkSession.range(1).select(F.lit(section).alias("section"), F.lit(0).cast("bigint").alias("ord"), F.lit(value).alias("value"))
     head = nodes.agg(F.concat(F.lit("*Vertices "), F.count(F.lit(1)).cast("string")).alias("value")).select(F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("ord"), "value")
     vertices = nodes.select(F.lit(1).alias("section"), F.col("node_id").alias("ord"), F.format_string('%d "%s"', F.col("node_id") + 1, F.col("name")).alias("value"))
-    arcs = dense_ordinal(weighted_edges, "ord", [F.floor(F.col("src") / 256)], [F.col("src"), F.col("dst")])
-    arcs = arcs.select(F.lit(3).alias("section"), "ord", F.format_string("%d %d %.15f", F.col("dst") + 1, F.col("src") + 1, F.col("weight")).alias("value"))
+    arcs = dense_ordinal(weighted_edges, "ord", [F.col("src"), F.col("dst")])
+    arcs = arcs.select(F.lit(3).alias("section"), "ord", F.concat_ws(" ", (F.col("dst") + 1).cast("string"), (F.col("src") + 1).cast("string"), fixed_15(F.col("weight"))).alias("value"))
     return head.unionByName(vertices).unionByName(one(2, "*arcs")).unionByName(arcs)
 
 

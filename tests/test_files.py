@@ -102,3 +102,22 @@ def test_correct_job(spark, rows, tmp_path):
     assert any(a <= 2000 <= b + 40 for a, b in found)
     text = "".join(p.read_text() for p in sorted((tmp_path / "out/corrected").glob("part-*")))
     assert "".join(x for x in text.split("\n") if not x.startswith(">")) == (tmp_path / "c.fa").read_text().split("\n")[1]
+
+
+def test_fixed_decimals_are_those_of_the_exact_value(spark):
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from contactloom.functions.text import fixed_15
+
+    rnd = random.Random(31)
+    values = [0.2318840579710145, 1.6363636363636365, 0.5, 0.0, -0.0, 1 / 3, -2 / 3, 5e-324, 2**-50, 3 * 2**-51, 0.9999999999999999, 1e-15, 5e-16, 1.5e-15, 2.5e-15, 123456789.987654321, 2.0**52 + 0.5]
+    values += [rnd.randrange(1, 5000) / ((rnd.randrange(1, 400) + rnd.randrange(1, 400)) / 2.0) for _ in range(4000)]
+    values += [rnd.randrange(2**53) * 2.0**-rnd.randrange(45, 110) for _ in range(4000)]
+    # exactly halfway between two results
+    values += [(2 * rnd.randrange(2**30) + 1) * 2.0**-16 for _ in range(500)]
+    got = spark.createDataFrame([(struct.pack("<d", v).hex(), v) for v in values], "k string, v double").select("v", fixed_15(F.col("v")).alias("s")).collect()
+    assert len(got) == len(values)
+    assert [(r["v"], r["s"]) for r in got if r["s"] != "%.15f" % r["v"]] == []

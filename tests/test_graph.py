@@ -1,8 +1,6 @@
 import logging
 import random
 
-import pytest
-
 from contactloom import catalog
 from contactloom.operators import graph
 
@@ -19,7 +17,6 @@ def test_weights_groups_and_contents(spark, rows):
     assert rows(graph.group_contents(members, nodes), "group_id", "name", "site_count", "length") == [(1, "a", 2, 10), (1, "b", 4, 20), (2, "c", 1, 5)]
 
 
-@pytest.mark.xfail(reason="open: a few rounds of the layout do not yet pull neighbours together", strict=False)
 def test_layout_repeats_and_pulls_neighbours_together(spark, rows):
     rnd = random.Random(1)
     links = [(a, b, 5.0) for g in (0, 10) for a in range(g, g + 10) for b in range(a + 1, g + 10) if rnd.random() < 0.8]
@@ -28,10 +25,10 @@ def test_layout_repeats_and_pulls_neighbours_together(spark, rows):
     one = rows(graph.force_layout(nodes, edges, max_iter=6))
     two = rows(graph.force_layout(nodes, edges, max_iter=6))
     assert len(one) == 21 and all(abs(a - b) < 1e-6 for r, s in zip(one, two, strict=True) for a, b in zip(r, s, strict=True))
-    at = {n: (x, y) for n, x, y in one}
+    at = {n: (x, y) for n, x, y in rows(graph.force_layout(nodes, edges))}
     dist = lambda a, b: ((at[a][0] - at[b][0]) ** 2 + (at[a][1] - at[b][1]) ** 2) ** 0.5
     mean = lambda p: sum(dist(a, b) for a, b in p) / len(p)
-    assert mean([(a, b) for a in range(10) for b in range(a)]) < mean([(a, b) for a in range(10) for b in range(10, 20)])
+    assert 4 * mean([(a, b) for a in range(10) for b in range(a)]) < mean([(a, b) for a in range(10) for b in range(10, 20)])
 
 
 def test_kmeans_covers_all_nodes(spark, rows):
@@ -42,13 +39,27 @@ def test_kmeans_covers_all_nodes(spark, rows):
     assert len({(g, n // 10) for g, n in got}) == 3
 
 
+def test_kmeans_against_plain_rounds(spark):
+    """Groups are nearest centres and centres are means: one more plain round changes nothing."""
+    rnd = random.Random(6)
+    points = {k: (rnd.gauss(100 * (k % 4), 8), rnd.gauss(70 * (k % 3), 8)) for k in range(600)}
+    coords = spark.createDataFrame([(k, *p) for k, p in points.items()], "node_id bigint, x double, y double")
+    members, centers = graph.kmeans_groups(coords, 12)
+    at = {r["group_id"]: (r["x"], r["y"]) for r in centers.collect()}
+    group = {r["node_id"]: r["group_id"] for r in members.collect()}
+    d2 = lambda p, c: (p[0] - c[0]) ** 2 + (p[1] - c[1]) ** 2
+    assert all(d2(points[k], at[g]) <= min(d2(points[k], c) for c in at.values()) + 1e-6 for k, g in group.items())
+    for g, c in at.items():
+        own = [points[k] for k, h in group.items() if h == g]
+        assert all(abs(sum(p[j] for p in own) / len(own) - c[j]) < 0.5 for j in (0, 1))
+
+
 def test_layout_query_runs_to_its_stop_rule(spark, rows, monkeypatch, caplog):
     rnd = random.Random(1)
     links = [(a, b, 5.0) for g in (0, 10) for a in range(g, g + 10) for b in range(a + 1, g + 10) if rnd.random() < 0.8]
     nodes = spark.createDataFrame([(k,) for k in range(20)], "node_id bigint").coalesce(1)
     edges = spark.createDataFrame(links, "src bigint, dst bigint, weight double").coalesce(1)
-    monkeypatch.setattr(catalog, "_nodes", lambda *_: nodes)
-    monkeypatch.setattr(catalog, "weighted_edges", lambda *_: edges)
+    monkeypatch.setattr(catalog, "_graph", lambda *_: (nodes, edges))
     with caplog.at_level(logging.INFO, graph.__name__):
         at = {n: (x, y) for n, x, y in rows(catalog.force_layout(spark, ""))}
         assert "layout converged" in caplog.text
