@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom import fixtures as fx
+from contactloom.functions.text import resolve_motif, right_trim
 from contactloom.operators import contact_map as cm
 from contactloom.operators import graph, mismatch, pairs, sites, split
 from contactloom.session import stage
+from contactloom.sources import readers, sinks
 
 MOTIF = "en"
 WIDE, NARROW, DEPLETION = 2500, 100, 10000
@@ -182,9 +184,7 @@ def group_sizes(spark, d):
 
 
 def pajek_lines(spark, d):
-    from contactloom.sources.sinks import pajek_lines as lines
-
-    return lines(*_graph(spark, d)).select("section", "ord", "value")
+    return sinks.pajek_lines(*_graph(spark, d)).select("section", "ord", "value")
 
 
 def kmeans_groups(spark, d):
@@ -196,6 +196,69 @@ def force_layout(spark, d):
     return graph.force_layout(*_graph(spark, d), max_iter=10_000)
 
 
+# ----------------------------------------------------- files written and read again
+def _folder(spark, name):
+    import uuid
+
+    from contactloom.session import shared_dir
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def enzyme_sites(spark, d):
+    """Sites of an enzyme by its name."""
+    contigs = fx.sequences(spark, d).select(F.col("ref_id").cast("bigint").alias("contig_ord"), "name", "seq", F.length("seq").cast("bigint").alias("length"))
+    found = sites.find_sites(contigs, resolve_motif("MboI"))
+    return found.groupBy("name").agg(F.count(F.lit(1)).alias("n_sites"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.sum("pos").alias("sum_pos"))
+
+
+def fasta_files(spark, d):
+    """Contigs as FASTA, sorted by name, and back."""
+    path = _folder(spark, "fasta")
+    sinks.write_fasta(fx.sequences(spark, d).select("name", F.lit(0).cast("bigint").alias("piece_ord"), "seq"), path, "name")
+    return readers.read_fasta(spark, path).select("contig_ord", "name", "length", F.md5("seq").alias("seq_md5"))
+
+
+def sam_files(spark, d):
+    """Alignments as SAM lines, and back; ends of lines are trimmed of nothing else."""
+    path = _folder(spark, "sam")
+    rows = fx.alignments(spark, d).withColumn("read_name", right_trim(F.concat("read_name", F.lit(" \t"))))
+    refs = fx.references(spark, d).select(F.concat(F.lit("@SQ\tSN:"), "ref_name", F.lit("\tLN:"), F.col("ref_length").cast("string")).alias("value"), F.lit(0).alias("part"), F.col("ref_id").cast("bigint").alias("ord"))
+    name = lambda c: F.when(F.col(c) < 0, "*").otherwise(F.concat(F.lit("doc"), F.col(c).cast("string")))
+    fields = [F.col("read_name"), F.col("flag").cast("string"), name("ref_id"), (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), F.lit("*"), F.when(F.col("next_ref_id") == F.col("ref_id"), "=").otherwise(name("next_ref_id")), (F.col("next_pos") + 1).cast("string"), F.lit("0"), F.lit("*"), F.lit("*")]
+    body = rows.select(F.concat_ws("\t", *fields).alias("value"), F.lit(1).alias("part"), F.lit(0).cast("bigint").alias("ord"))
+    refs.unionByName(body).orderBy("part", "ord").select("value").write.text(path)
+    return readers.read_sam(spark, path)[1].select("read_name", "flag", "ref_id", "pos", "mapq", "next_ref_id", "next_pos")
+
+
+def node_files(spark, d):
+    path = _folder(spark, "nodes")
+    sinks.write_nodes(_nodes(spark, d), path)
+    return readers.read_nodes(spark, path)
+
+
+def coordinate_files(spark, d):
+    path = _folder(spark, "coords")
+    fx.coordinates(spark, d).select((F.col("node_id") + 1).alias("id"), "x", "y").write.csv(path, sep="\t", header=True)
+    return readers.read_coords(spark, path)
+
+
+def group_files(spark, d):
+    path = _folder(spark, "groups")
+    sinks.write_groups(group_contents(spark, d), path)
+    return spark.read.csv(path, sep="\t", header=True, schema="`#Contig` string, RECounts bigint, Length bigint, group_label string").select("group_label", F.col("#Contig").alias("contig"), F.col("RECounts").alias("re_counts"), F.col("Length").alias("length"))
+
+
+def reduced_files(spark, d):
+    """The kept alignments as an ordered table: each file's rows follow those of the one before."""
+    path = _folder(spark, "reduced")
+    sinks.write_table(reduced_alignments(spark, d), path, order_by=["aln_id"])
+    rows = spark.read.parquet(path).select("aln_id", "read_name", F.col("_metadata.file_name").alias("file"))
+    ranges = rows.groupBy("file").agg(F.min("aln_id").alias("least"), F.max("aln_id").alias("most"))
+    overlaps = ranges.alias("a").join(ranges.alias("b"), F.expr("a.file < b.file and a.most >= b.least")).agg(F.count(F.lit(1)).alias("n_overlaps"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("aln_id").alias("sum_ids"), F.min("aln_id").alias("first_id"), F.max("aln_id").alias("last_id")).join(F.broadcast(overlaps))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -205,6 +268,7 @@ def queries() -> dict[str, Query]:
             intra_contacts, contact_map, contact_map_narrow, saturation_level, depletion_score, score_track, score_track_narrow,
             wide_mismatches, narrow_mismatches, corrected_pieces,
             weighted_edges, assign_nearest, group_contents, group_sizes, pajek_lines, kmeans_groups, force_layout,
+            enzyme_sites, fasta_files, sam_files, node_files, coordinate_files, group_files, reduced_files,
         )
     }
 
@@ -311,6 +375,8 @@ def oracle_sql() -> dict[str, str]:
         "mate_pairs": "select * from pairs",
         "edge_counts": "select * from edges",
         "reduced_alignments": "select * from reduced",
+        "node_files": "select node_id, name, site_count, length from nodes",
+        "reduced_files": "select count(*) as n_rows, cast(sum(aln_id) as bigint) as sum_ids, min(aln_id) as first_id, max(aln_id) as last_id, cast(0 as bigint) as n_overlaps from reduced",
         "filter_summary": "select (select count(*) from aln) as total_rows, (select count(*) from reduced) as kept_rows, (select count(*) from nodes) as n_nodes",
         "weighted_edges": "select * from weighted",
         "pajek_lines": """
@@ -338,6 +404,14 @@ union all select 3, row_number() over (order by src, dst) - 1, (dst + 1) || ' '
         | {
             "assign_nearest": of(_GROUPS, "select * from members"),
             "group_sizes": of(_GROUPS, "select group_id, count(*) as n_contigs from members group by group_id"),
+            "sam_files": raw.format("true"),
+            "fasta_files": f"select row_number() over (order by name) - 1 as contig_ord, name, length(seq) as length, md5(seq) as seq_md5 from ({fx.SEQUENCES}) s",
+            "coordinate_files": of(_GROUPS, "select * from coords"),
+            "enzyme_sites": f"""
+with parts as (select name, length(unnest(string_split(seq, 'GATC'))) as piece, unnest(range(len(string_split(seq, 'GATC')))) as ord, len(string_split(seq, 'GATC')) as n from ({fx.SEQUENCES}) s),
+places as (select name, sum(piece) over (partition by name order by ord) + 4 * ord as pos, ord, n from parts)
+select name, count(*) as n_sites, cast(min(pos) as bigint) as first_pos, cast(max(pos) as bigint) as last_pos, cast(sum(pos) as bigint) as sum_pos from places where ord < n - 1 group by name""",
+            "group_files": of(_GROUPS + "," + _FILTER, "select (select count(distinct group_id) from members) || 'g' || (group_id + 1) as group_label, name as contig, site_count as re_counts, length from members join nodes using (node_id)"),
             "group_contents": of(_GROUPS + "," + _FILTER, "select group_id, node_id, name, site_count, length from members join nodes using (node_id)"),
         }
     )

@@ -28,13 +28,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder all executors share: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` named.
+
+    Where neither is set, a temporary folder serves a local master; elsewhere
+    other machines would not see it, so that is an error.
+    """
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if found:
         return found.rstrip("/")
-    own = getattr(spark.sparkContext, "_own_shared_dir", None)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    own = getattr(sc, "_own_shared_dir", None)
     if own is None:
-        own = spark.sparkContext._own_shared_dir = "file://" + tempfile.mkdtemp(prefix="spark-")
+        own = sc._own_shared_dir = "file://" + tempfile.mkdtemp(prefix="spark-")
     return own
 
 
@@ -42,9 +49,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it again.
 
     This cuts the lineage: after the loss of an executor only files are read,
-    and every consumer sees the same rows.
+    and every consumer sees the same rows.  ``drop_stages`` removes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _staged(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_contactloom_staged"):
+        sc._contactloom_staged = []
+    return sc._contactloom_staged
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables that ``stage`` wrote in this application; call it when results are written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = _staged(spark)
+    dropped = 0
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped
