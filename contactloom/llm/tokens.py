@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -50,11 +51,15 @@ class WordEncoder:
 
     The words of texts in the Latin script are split here, by the file's own
     pattern; a text with any other character goes through the library whole,
-    so that its normalisation rules hold to the letter.
+    so that its normalisation rules hold to the letter.  A file that splits or
+    lower-cases otherwise is an error when it is loaded.
     """
 
+    PROBE = "It's THE probe's 4th--don't we'll É9_x (\"a.b\")...word,two;  e\u00e8\n12ab"
+
     # fixed values: the tokenizer file's pattern, for texts of the characters below
     SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+    MARKS = frozenset(".,;:!?)")
     # printable ASCII with white space, and the letters of Latin-1 that stand for themselves
     PLAIN = re.compile("[\\x09-\\x0d\\x20-\\x7e\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]*")
 
@@ -70,6 +75,9 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for piece, i in vocab.items():
             self.ends[i] = piece.endswith("</w>")
+        want = self.library.encode(self.PROBE, add_special_tokens=False).ids
+        if np.frombuffer(self([self.PROBE])[0], "<u4").tolist() != want:
+            raise ValueError("this tokenizer file does not split words as is done here")
 
     @classmethod
     @cache
@@ -95,9 +103,15 @@ class WordEncoder:
 
     def compose(self, strings: set[str]) -> dict[str, bytes]:
         """Ids of strings between white space from those of their words."""
-        split = {s: self.SPLIT.findall(s) for s in strings}
-        get = self.words.covering(set().union(*split.values()))
-        return {s: b"".join([get[w] for w in words]) for s, words in split.items()}
+        plain = {s for s in strings if s.isalpha()}
+        # a word and one mark, the most frequent of the others
+        marked = {s for s in strings - plain if s[-1] in self.MARKS and s[:-1].isalpha()}
+        split = {s: self.SPLIT.findall(s) for s in strings - plain - marked}
+        wanted = plain | {s[:-1] for s in marked} | {s[-1] for s in marked} | set(chain.from_iterable(split.values()))
+        get = self.words.covering(wanted)
+        out = {s: get[s] for s in plain} | {s: get[s[:-1]] + get[s[-1]] for s in marked}
+        out.update({s: b"".join([get[w] for w in words]) for s, words in split.items()})
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
