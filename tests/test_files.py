@@ -42,24 +42,26 @@ def test_nodes_edges_coords_round_trip(spark, rows, tmp_path):
 SAM = "@HD\tVN:1.6\n@SQ\tSN:c1\tLN:100\n@SQ\tSN:c2\tLN:50\nr1\t65\tc1\t11\t60\t4M\tc2\t6\t0\tACGT\tIIII\nr1\t129\tc2\t6\t60\t4M\tc1\t11\t0\tACGT\tIIII\nr2\t4\t*\t0\t0\t*\t=\t0\t0\t*\t*\n"
 
 
-def bam_bytes():
-    def record(name, flag, ref, pos, mapq, nref, npos, cigar, seq, qual):
-        codes = ["=ACMGRSVTWYHKDBN".index(c) for c in seq] + [0] * (len(seq) % 2)
-        packed = bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
-        body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(cigar), flag, len(seq), nref, npos, 0) + name.encode() + b"\0"
-        body += b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(op)) for n, op in cigar) + packed + bytes(ord(q) - 33 for q in qual)
-        return struct.pack("<i", len(body)) + body
+def block(x):
+    c = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = c.compress(x) + c.flush()
+    return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(x), len(x))
+
+
+def record(name, flag, ref, pos, mapq, nref, npos, cigar, seq, qual):
+    codes = ["=ACMGRSVTWYHKDBN".index(c) for c in seq] + [0] * (len(seq) % 2)
+    packed = bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
+    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(cigar), flag, len(seq), nref, npos, 0) + name.encode() + b"\0"
+    body += b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(op)) for n, op in cigar) + packed + bytes(ord(q) - 33 for q in qual)
+    return struct.pack("<i", len(body)) + body
 
+
+def bam_bytes():
     data = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", 2)
     for n, length in (("c1", 100), ("c2", 50)):
         data += struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", length)
     data += record("r1", 65, 0, 10, 60, 1, 5, [(4, "M")], "ACGT", "IIII") + record("r1", 129, 1, 5, 60, 0, 10, [(4, "M")], "ACGT", "IIII") + record("r2", 4, -1, -1, 0, -1, -1, [], "", "")
 
-    def block(x):
-        c = zlib.compressobj(6, zlib.DEFLATED, -15)
-        body = c.compress(x) + c.flush()
-        return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(x), len(x))
-
     # records reach across blocks
     return b"".join(block(data[k : k + 50]) for k in range(0, len(data), 50)) + block(b"")
 
@@ -74,6 +76,33 @@ def test_sam_and_bam_agree(spark, rows, tmp_path):
     assert rows(aln, "read_name", "ref_id", "pos", "next_ref_id", "next_pos")[-1] == ("r2", -1, -1, -1, -1)
 
 
+def test_bam_is_read_in_many_splits(spark, rows, tmp_path):
+    """One file in one split, in many, and in splits without any record's start."""
+    import random
+
+    rnd = random.Random(12)
+    data = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", 3)
+    for n in ("c1", "c2", "c3"):
+        data += struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 1 << 20)
+    for k in range(3000):
+        n = rnd.choice((20, 100, 150, 9000 if k % 500 == 7 else 80))
+        seq, qual = "".join(rnd.choices("ACGT", k=n)), "".join(chr(33 + q) for q in rnd.choices(range(40), k=n))
+        data += record(f"read{k}/{rnd.randrange(10**9)}", rnd.choice((65, 129, 321)), rnd.randrange(3), rnd.randrange(1 << 20), rnd.randrange(60), rnd.randrange(-1, 3), rnd.randrange(1 << 20), [(n, "M")], seq, qual)
+    (tmp_path / "many.bam").write_bytes(b"".join(block(data[k : k + 7000]) for k in range(0, len(data), 7000)) + block(b""))
+    key = "spark.sql.files.maxPartitionBytes"
+    before, found = spark.conf.get(key), []
+    try:
+        for size in ("128m", "150k", "6k"):
+            spark.conf.set(key, size)
+            refs, aln = readers.read_bam(spark, f"{tmp_path}/many.bam")
+            assert rows(refs) == [(0, "c1", 1 << 20), (1, "c2", 1 << 20), (2, "c3", 1 << 20)]
+            found.append((aln.rdd.getNumPartitions(), rows(aln)))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0][1] == found[1][1] == found[2][1] and len(found[0][1]) == 3000
+    assert found[0][0] < found[1][0] < found[2][0]
+
+
 def test_filter_and_partition_jobs(spark, rows, tmp_path):
     (tmp_path / "c.fa").write_text(">c1\n" + "A" * 40 + "GATC" + "A" * 56 + "\n>c2\n" + "A" * 20 + "GATC" + "A" * 26 + "\n")
     (tmp_path / "x.sam").write_text(SAM)
