@@ -48,3 +48,16 @@ def test_dense_ordinal_over_buckets_and_nulls(spark, rows):
     out = dense_ordinal(df, "n", [F.col("x")])
     assert rows(out, "n", "x") == [(0, None)] + [(k + 1, k) for k in range(100)]
     assert dense_ordinal(df.limit(0), "n", [F.col("x")]).count() == 0
+
+
+def test_any_window_is_enough_on_both_sides_of_the_flank(spark):
+    """Sites at 499 and 500 have their windows by different rules; both ends count."""
+    from contactloom.operators import pairs, sites
+
+    contigs = spark.createDataFrame([(0, "c", "A" * 499 + "GG" + "A" * 1499, 2000)], "contig_ord bigint, name string, seq string, length bigint")
+    found = sites.find_sites(contigs, "G")
+    windows = sites.site_windows(found, sites.count_sites(found), 1)
+    ends = {r["site_ord"]: r["win_end"] for r in windows.collect()}
+    assert ends[0] == 499 + 1 + 500 and ends[1] == 500 + 500
+    rows = spark.createDataFrame([(0, p) for p in (0, 999, 1000, 1001)], "node_id bigint, pos bigint")
+    assert sorted(r["pos"] for r in pairs.filter_near_site(rows, windows).collect()) == [0, 999, 1000]
