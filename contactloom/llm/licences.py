@@ -81,7 +81,8 @@ def licence_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rounded down; of a line's templates the most similar counts, on ties the
     first name.  A null or empty text has no matches; lines of fewer than two
     words have no bigrams.  Letters are compared in lower case, everything but
-    letters and digits parts words.
+    letters and digits parts words.  Repeated rows and null ids are rows like
+    others; an empty table gives none.  Only the two named columns are read.
     """
     table = _table(templates or TEMPLATES, threshold)
     text = F.regexp_replace(F.lower(F.coalesce(col(text_col).cast("string"), F.lit(""))), NOT_WORD, " ")
@@ -200,6 +201,9 @@ def licence_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A template is looked at only where the text has as many of its distinct
     pairs as the threshold asks for.  Windows grow with the text times a
     template's length; parting overlaps, with the notices of one text squared.
+    A null or empty text has no matches, repeated rows and null ids are rows
+    like others, an empty table gives none, and only the two named columns are
+    read.
     """
     if templates is None:
         templates = {k: TEMPLATES.get(k, []) + LONGER.get(k, []) for k in {*TEMPLATES, *LONGER}}
