@@ -84,12 +84,16 @@ class WordEncoder:
     def of(cls, file: str) -> WordEncoder:
         return cls(file)
 
+    def whole(self, text: str) -> np.ndarray:
+        """The library's ids, without the places in the text that it would otherwise track."""
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Encode new words, many in one call; a word's last piece carries the end mark."""
         todo, out = sorted(words), {}
         for at in range(0, len(todo), 2000):
             part = todo[at : at + 2000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = self.whole(" ".join(part))
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 start = 0
@@ -98,7 +102,7 @@ class WordEncoder:
                     start = c
             else:
                 for w in part:
-                    out[w] = np.array(self.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+                    out[w] = self.whole(w).tobytes()
         return out
 
     def compose(self, strings: set[str]) -> dict[str, bytes]:
@@ -117,4 +121,4 @@ class WordEncoder:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         split = [t.lower().split() if self.PLAIN.fullmatch(t) and not self.special.search(t) else None for t in texts]
         get = self.strings.covering(set().union(*(w for w in split if w is not None))).__getitem__
-        return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        return [self.whole(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
