@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contactloom.functions.text import resolve_motif
 from contactloom.operators import contact_map as cm
 from contactloom.operators import graph, mismatch, pairs, sites, split
-from contactloom.session import drop_stages
+from contactloom.session import drop_stages, staged_so_far
 from contactloom.sources import sinks
 from contactloom.sources.readers import read_bam, read_edges, read_fasta, read_nodes, read_sam
 
@@ -19,6 +19,7 @@ def read_alignments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, out: str, min_mapq: int = 40, flank: int = 500) -> None:
     """Write ``nodes`` (text), ``edges`` and ``reduced`` (Parquet) under ``out``."""
+    earlier = staged_so_far(spark)
     motif = resolve_motif(enzyme)
     found = sites.find_sites(read_fasta(spark, fasta, keep_empty=False), motif)
     nodes = sites.count_sites(found)
@@ -33,13 +34,14 @@ def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, ou
     mates = spark.read.parquet(f"{out}/pairs")
     sinks.write_table(pairs.count_edges(mates), f"{out}/edges")
     sinks.write_table(pairs.reduced_alignments(rows, mates), f"{out}/reduced", order_by=["aln_id"])
-    drop_stages(spark)
+    drop_stages(spark, earlier)
 
 
 def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, percent: float = 0.95, sensitive: float = 0.5, min_mapq: int = 1, wide: int = 25000, narrow: int = 1000, depletion: int = 100000) -> None:
     """Write ``mismatches`` (Parquet) and ``corrected`` (FASTA) under ``out``."""
     if wide < 2 * narrow or depletion < 2 * wide:
         raise ValueError("wide >= 2 * narrow and depletion >= 2 * wide are needed")
+    earlier = staged_so_far(spark)
     references, rows = read_alignments(spark, alignments)
     contacts = cm.intra_contacts(pairs.drop_secondary(rows), min_mapq)
     sinks.write_table(cm.bin_contacts(contacts, narrow), f"{out}/map")
@@ -56,11 +58,12 @@ def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, perc
     named = mismatch.narrow_mismatches(islands, narrow_track, narrow).join(references.select("ref_id", F.col("ref_name").alias("name")), "ref_id")
     sinks.write_table(named, f"{out}/mismatches")
     sinks.write_fasta(split.split_contigs(read_fasta(spark, fasta), spark.read.parquet(f"{out}/mismatches")), f"{out}/corrected")
-    drop_stages(spark)
+    drop_stages(spark, earlier)
 
 
 def run_partition(spark: SparkSession, nodes: str, edges: str, groups: int, out: str, change_per_node: float = 2.0, seed: int = 806, max_iter: int = 1000) -> None:
     """Write ``graph`` (Pajek), ``coords`` and ``members`` (Parquet) and ``groups`` (text) under ``out``."""
+    earlier = staged_so_far(spark)
     table = read_nodes(spark, nodes)
     links = read_edges(spark, edges) if edges.endswith(".edge") else spark.read.parquet(edges)
     weighted = graph.weight_edges(links, table)
@@ -70,4 +73,4 @@ def run_partition(spark: SparkSession, nodes: str, edges: str, groups: int, out:
     sinks.write_table(members, f"{out}/members")
     sinks.write_table(centers, f"{out}/centers")
     sinks.write_groups(graph.group_contents(members, table), f"{out}/groups")
-    drop_stages(spark)
+    drop_stages(spark, earlier)

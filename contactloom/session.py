@@ -65,12 +65,19 @@ def _staged(spark: SparkSession) -> list[str]:
     return sc._contactloom_staged
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the tables that ``stage`` wrote in this application; call it when results are written."""
+def staged_so_far(spark: SparkSession) -> int:
+    return len(_staged(spark))
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that ``stage`` wrote in this application, but for the first ``since``.
+
+    Call it when results are written, as they may still read them.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     paths = _staged(spark)
     dropped = 0
-    while paths:
+    while len(paths) > since:
         path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         dropped += path.getFileSystem(conf).delete(path, True)
     return dropped
