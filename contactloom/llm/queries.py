@@ -102,6 +102,28 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"), "n_shared")
 
 
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.hard_negatives import mine_negatives
+
+    return mine_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contactloom.llm.merkle import leaf_of, manifest
+
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    # the sum is a decimal, so the largest value has one too
+    found = leaf_of(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars").cast("decimal(20,0)") + 1, F.col("text"))
+    out = manifest(table(spark, sf_dir, "documents"), F.when(changed, found))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", F.size("steps").cast("bigint").alias("n_steps"), "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -114,6 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_personal_data": op10_personal_data,
+        "op11_mix_sources": op11_mix_sources,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 

@@ -98,5 +98,60 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id
 """
 
 
+OP11 = r"""
+with docs as (select doc_id, coalesce(source, '') as source, source is null as no_source, coalesce(text, '') as t, md5('806:' || coalesce(doc_id::varchar, '-') || ':' || coalesce(text, '')) as h from documents),
+lines as (select *, string_split(t, chr(10)) as ls from docs),
+sized as (select doc_id, source, no_source, cast(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as bigint) as size,
+  greatest(length(regexp_replace(t, '\P{L}+', '', 'g'))::double / greatest(length(t), 1) * (len(list_distinct(ls))::double / len(ls)), 0.01::double) as worth,
+  -ln((('0x' || substr(h, 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double) as drawn from lines),
+totals as (select no_source, source, sum(size)::bigint as source_size from sized group by all),
+sources as (select *, 1 + (row_number() over (order by no_source, source) - 1) % 3 as weight from totals),
+-- the sources that fill up first are at their bound; the others share what these leave
+filling as (select *, coalesce(sum(3 * source_size) over before, 0)::bigint as taken, sum(weight) over (order by 3 * source_size / weight::double, no_source, source rows between current row and unbounded following)::bigint as rest, sum(source_size) over ()::bigint as total,
+  row_number() over (order by 3 * source_size / weight::double, no_source, source) as k from sources window before as (order by 3 * source_size / weight::double, no_source, source rows between unbounded preceding and 1 preceding)),
+level as (select total - taken as left_over, rest, k from filling where 3 * source_size >= (total - taken)::double * weight / rest::double order by k limit 1),
+targets as (select f.no_source, f.source, f.source_size, case when f.k < l.k then (3 * f.source_size)::double else l.left_over::double * f.weight / l.rest::double end as target from filling f, level l),
+budgets as (select *, round(target)::bigint as budget, case when source_size > 0 then round(target)::bigint // source_size else 0 end as epochs from targets),
+sums as (select *, coalesce(sum(size) over (partition by no_source, source order by drawn / worth, doc_id nulls first rows between unbounded preceding and 1 preceding), 0)::bigint as upto from sized)
+select doc_id, case when not no_source then source end as source, size, source_size, target, epochs * size + greatest(0, least(size, budget - epochs * source_size - upto)) as taken from sums join budgets using (no_source, source)
+"""
+
+
+OP12 = """
+with usable as (select vec_id, row_number() over () as r, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+anchors as (select * from usable where vec_id % 50 = 0),
+scored as (select a.r as ar, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score from anchors a join usable b on a.r <> b.r),
+positives as (select * from scored where same qualify row_number() over (partition by ar order by score desc, vec_id nulls last, r) <= 5),
+ranked as (select p.anchor_id, p.vec_id as positive_id, row_number() over (partition by p.ar, p.r order by n.score desc, n.vec_id nulls last, n.r) as rank, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+  from positives p join scored n on n.ar = p.ar and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+"""
+
+
+OP13 = r"""
+with recursive crcs as (select *, doc_id::varchar as i, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295::bigint) as crc from documents),
+fields as (select doc_id, lang, crc, n_chars, [case when f is null then '-' else strlen(f) || ':' || f end for f in [i, source, lang, n_chars::varchar, (n_chars::hugeint + 1)::varchar, text]] as f from crcs),
+leaves as (select doc_id, lang, sha256(f[1] || f[2] || f[3] || f[4] || f[6]) as leaf, sha256(f[1] || f[2] || f[3] || case when crc % 7 = 0 then f[5] else f[4] end || f[6]) as found from fields),
+rows as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as n, dense_rank() over (order by lang nulls first) - 1 as tree from leaves),
+nodes as (select tree, n, 0 as level, idx, leaf as digest from rows
+  union all select tree, (n + 1) // 2, level + 1, idx // 2, sha256(string_agg(digest, '' order by idx)) from nodes where n > 1 group by tree, n, level, idx // 2),
+subroots as (select tree as idx, digest, count(*) over () as n from nodes where n = 1),
+upper_nodes as (select n, 0 as level, idx, digest from subroots
+  union all select (n + 1) // 2, level + 1, idx // 2, sha256(string_agg(digest, '' order by idx)) from upper_nodes where n > 1 group by n, level, idx // 2),
+steps as (select r.tree, r.idx, k.level, case when s.digest is null then 'n' when s.idx < r.idx >> k.level then 'l' else 'r' end || coalesce(s.digest, '') as step
+  from rows r join (select distinct tree, level from nodes where n > 1) k using (tree) left join nodes s on s.tree = r.tree and s.level = k.level and s.idx = xor(r.idx >> k.level, 1::bigint)),
+upper_steps as (select r.idx as tree, k.level, case when s.digest is null then 'n' when s.idx < r.idx >> k.level then 'l' else 'r' end || coalesce(s.digest, '') as step
+  from subroots r cross join (select distinct level from upper_nodes where n > 1) k left join upper_nodes s on s.level = k.level and s.idx = xor(r.idx >> k.level, 1::bigint)),
+lower_lists as (select tree, idx, list(step order by level) as steps from steps group by all),
+upper_lists as (select tree, list(step order by level) as steps from upper_steps group by all),
+paths as (select r.*, sr.digest as subroot, list_concat(coalesce(l.steps, []), coalesce(u.steps, [])) as steps from rows r join subroots sr on sr.idx = r.tree left join lower_lists l on l.tree = r.tree and l.idx = r.idx left join upper_lists u on u.tree = r.tree),
+top as (select digest as root from upper_nodes where n = 1)
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) as proof_sha256, len(steps) as n_steps,
+  list_reduce(list_prepend(found, steps), lambda acc, s: sha256(case s[1] when 'l' then s[2:] || acc when 'r' then acc || s[2:] else acc end)) as folded_root, folded_root = root as verified from paths, top
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3, "op4_exact_dedup": OP4, "op5_chat_windows": OP5, "op6_licence_scan": op6(), "op7_minhash_near_dedup": OP7}
+    return {"op3_quality_rules": OP3, "op4_exact_dedup": OP4, "op5_chat_windows": OP5, "op6_licence_scan": op6(), "op7_minhash_near_dedup": OP7, "op11_mix_sources": OP11, "op12_hard_negatives": OP12, "op13_merkle_manifest": OP13}
