@@ -15,7 +15,7 @@ from contactloom.functions.text import resolve_motif, right_trim
 from contactloom.operators import contact_map as cm
 from contactloom.operators import graph, mismatch, pairs, sites, split
 from contactloom.session import stage
-from contactloom.sources import readers, sinks
+from contactloom.sources import bam, edges, readers, sinks
 
 MOTIF = "en"
 WIDE, NARROW, DEPLETION = 2500, 100, 10000
@@ -231,6 +231,29 @@ def sam_files(spark, d):
     return readers.read_sam(spark, path)[1].select("read_name", "flag", "ref_id", "pos", "mapq", "next_ref_id", "next_pos")
 
 
+def _bam(spark, d, by_place):
+    path = _folder(spark, "bam")
+    bam.write_bam(fx.alignments(spark, d), fx.references(spark, d), path, by_place)
+    return path
+
+
+def bam_files(spark, d):
+    """Alignments as BAM files, and back, decoding the columns that the filter needs."""
+    return bam.read_bam(spark, _bam(spark, d, False), ("read_name", "flag", "ref_id", "pos", "mapq", "next_ref_id", "next_pos"))[1]
+
+
+def bam_region(spark, d):
+    """Good alignments in one region of a sorted BAM: stretches of other places are not read."""
+    columns = ("read_name", "flag", "pos", "next_ref_id", "next_pos")
+    return bam.read_bam(spark, _bam(spark, d, True), columns, {"ref_id": (7, 7), "pos": (500, 1499), "mapq": (40, None)})[1]
+
+
+def edge_files(spark, d):
+    path = _folder(spark, "edges")
+    edges.write_edges(edge_counts(spark, d), path)
+    return edges.read_edges(spark, path)
+
+
 def node_files(spark, d):
     path = _folder(spark, "nodes")
     sinks.write_nodes(_nodes(spark, d), path)
@@ -268,7 +291,7 @@ def queries() -> dict[str, Query]:
             intra_contacts, contact_map, contact_map_narrow, saturation_level, depletion_score, score_track, score_track_narrow,
             wide_mismatches, narrow_mismatches, corrected_pieces,
             weighted_edges, assign_nearest, group_contents, group_sizes, pajek_lines, kmeans_groups, force_layout,
-            enzyme_sites, fasta_files, sam_files, node_files, coordinate_files, group_files, reduced_files,
+            enzyme_sites, fasta_files, sam_files, bam_files, bam_region, edge_files, node_files, coordinate_files, group_files, reduced_files,
         )
     }
 
@@ -375,6 +398,7 @@ def oracle_sql() -> dict[str, str]:
         "mate_pairs": "select * from pairs",
         "edge_counts": "select * from edges",
         "reduced_alignments": "select * from reduced",
+        "edge_files": "select * from edges",
         "node_files": "select node_id, name, site_count, length from nodes",
         "reduced_files": "select count(*) as n_rows, cast(sum(aln_id) as bigint) as sum_ids, min(aln_id) as first_id, max(aln_id) as last_id, cast(0 as bigint) as n_overlaps from reduced",
         "filter_summary": "select (select count(*) from aln) as total_rows, (select count(*) from reduced) as kept_rows, (select count(*) from nodes) as n_nodes",
@@ -405,6 +429,8 @@ union all select 3, row_number() over (order by src, dst) - 1, (dst + 1) || ' '
             "assign_nearest": of(_GROUPS, "select * from members"),
             "group_sizes": of(_GROUPS, "select group_id, count(*) as n_contigs from members group by group_id"),
             "sam_files": raw.format("true"),
+            "bam_files": f"select read_name, flag, ref_id, pos, mapq, next_ref_id, next_pos from ({fx.ALIGNMENTS}) a",
+            "bam_region": f"select read_name, flag, pos, next_ref_id, next_pos from ({fx.ALIGNMENTS}) a where ref_id = 7 and pos between 500 and 1499 and mapq >= 40",
             "fasta_files": f"select row_number() over (order by name) - 1 as contig_ord, name, length(seq) as length, md5(seq) as seq_md5 from ({fx.SEQUENCES}) s",
             "coordinate_files": of(_GROUPS, "select * from coords"),
             "enzyme_sites": f"""

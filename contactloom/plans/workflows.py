@@ -13,8 +13,8 @@ from contactloom.sources import sinks
 from contactloom.sources.readers import read_bam, read_edges, read_fasta, read_nodes, read_sam
 
 
-def read_alignments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return read_bam(spark, path) if path.endswith(".bam") else read_sam(spark, path)
+def read_alignments(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    return read_bam(spark, path, columns) if path.endswith(".bam") else read_sam(spark, path)
 
 
 def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, out: str, min_mapq: int = 40, flank: int = 500) -> None:
@@ -42,7 +42,7 @@ def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, perc
     if wide < 2 * narrow or depletion < 2 * wide:
         raise ValueError("wide >= 2 * narrow and depletion >= 2 * wide are needed")
     earlier = staged_so_far(spark)
-    references, rows = read_alignments(spark, alignments)
+    references, rows = read_alignments(spark, alignments, ("flag", "ref_id", "pos", "mapq", "next_ref_id", "next_pos"))
     contacts = cm.intra_contacts(pairs.drop_secondary(rows), min_mapq)
     sinks.write_table(cm.bin_contacts(contacts, narrow), f"{out}/map")
     fine = spark.read.parquet(f"{out}/map")

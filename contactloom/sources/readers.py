@@ -1,22 +1,15 @@
-"""Readers: FASTA, SAM, BAM, node counts, edge records, layout coordinates."""
+"""Readers of text formats: FASTA, SAM, node counts, layout coordinates; BAM and edge records have modules of their own."""
 
 from __future__ import annotations
 
-import struct
-import zlib
-from collections.abc import Iterator
-from itertools import chain, groupby, islice
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions.text import right_trim
+from contactloom.sources.bam import read_bam
+from contactloom.sources.edges import read_edges
 
-ALIGNMENT = "read_name string, flag int, ref_id int, pos bigint, mapq int, next_ref_id int, next_pos bigint, tlen int, cigar string, seq string, qual string"
-NAMES = [x.split()[0] for x in ALIGNMENT.split(", ")]
+__all__ = ["read_bam", "read_coords", "read_edges", "read_fasta", "read_nodes", "read_sam"]
 
 
 def _located(rows: DataFrame) -> DataFrame:
@@ -83,210 +76,6 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return references, joined.select("read_name", "flag", absent("ref_id"), "pos", "mapq", absent("next_ref_id"), "next_pos", "tlen", "cigar", "seq", "qual")
 
 
-# ------------------------------------------------------------------------ BAM
-# fixed values: the first bytes of a compressed block; its length less one lies at byte 16
-BLOCK_MARK = b"\x1f\x8b\x08\x04"
-#: Records in a row that must look right where a part of a file is entered.
-SURE_RECORDS = 20
-
-
-def _bam_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Compressed blocks in file order: _file, _block (the split's start), _no, content.
-
-    The text reader splits files at the mark of a block, whatever their size
-    and storage; the bytes between marks are kept as they are.
-    """
-    rows = spark.read.option("lineSep", BLOCK_MARK.decode("latin-1")).option("encoding", "ISO-8859-1").text(paths)
-    return _located(rows).select("_file", "_block", "_no", F.col("value").cast("binary").alias("content"))
-
-
-def _inflated(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """The data of consecutive blocks that lost their mark; a mark by chance inside a block is put back."""
-    held = b""
-    for p in pieces:
-        if not held and not p:
-            continue  # before a file's first mark
-        held = held + BLOCK_MARK + p if held else BLOCK_MARK + p
-        if len(held) < 18 or len(held) < struct.unpack_from("<H", held, 16)[0] + 1:
-            continue
-        yield zlib.decompress(held, 31)
-        held = b""
-    if held:
-        raise ValueError("a compressed block is cut off or crosses a split by a chance mark")
-
-
-# fixed values: the letters of packed bases and of alignment steps
-BASES, STEPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-
-
-def _record(b: bytes) -> tuple:
-    ref, pos, name_len, mapq, _, steps, flag, length, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", b)
-    at = 32
-    name = b[at : at + name_len - 1].decode()
-    at += name_len
-    cigar = "".join(f"{x >> 4}{STEPS[x & 15]}" for x in struct.unpack_from(f"<{steps}I", b, at)) or "*"
-    at += 4 * steps
-    packed = b[at : at + (length + 1) // 2]
-    seq = "".join(BASES[x >> 4] + BASES[x & 15] for x in packed)[:length] or "*"
-    at += len(packed)
-    qual = b[at : at + length]
-    return name, flag, ref, pos, mapq, next_ref, next_pos, tlen, cigar, seq, "*" if not qual or qual[0] == 255 else "".join(chr(33 + q) for q in qual)
-
-
-def _header(data: bytes) -> tuple[list[tuple[int, str, int]], int] | None:
-    """References and the place of the first record; none if the data end before it."""
-    try:
-        if data[:4] != b"BAM\x01":
-            raise ValueError("not a BAM file")
-        at = 8 + struct.unpack_from("<i", data, 4)[0]
-        (count,) = struct.unpack_from("<i", data, at)
-        at, out = at + 4, []
-        for k in range(count):
-            (n,) = struct.unpack_from("<i", data, at)
-            name = data[at + 4 : at + 3 + n].decode()
-            out.append((k, name, struct.unpack_from("<i", data, at + 4 + n)[0]))
-            at += 8 + n
-        return out, at
-    except struct.error:
-        return None
-
-
-def _plausible(data: bytes, at: int, n_ref: int) -> int:
-    """Where the record at ``at`` ends if it looks like one, -1 if not, 0 if the data end before that is clear."""
-    if at + 36 > len(data):
-        return 0
-    size, ref, pos, name_len, _, _, steps, _, length, next_ref, next_pos, _ = struct.unpack_from("<iiiBBHHHiiii", data, at)
-    fits = name_len > 0 and length >= 0 and 32 + name_len + 4 * steps + (length + 1) // 2 + length <= size < 1 << 28
-    if not (fits and -1 <= ref < n_ref and -1 <= next_ref < n_ref and pos >= -1 and next_pos >= -1):
-        return -1
-    name = data[at + 36 : at + 36 + name_len]
-    if len(name) == name_len and (name[-1] or not all(32 < c < 127 for c in name[:-1])):
-        return -1
-    return at + 4 + size
-
-
-def _first_record(data: bytes, n_ref: int) -> int:
-    """The least place from which records follow each other, to the end or SURE_RECORDS of them; -1 if there is none."""
-    for start in range(len(data)):
-        at = start
-        for _ in range(SURE_RECORDS):
-            end = _plausible(data, at, n_ref)
-            if end <= 0 or end >= len(data):
-                break
-            at = end
-        if end >= 0 and (at > start or end > 0):
-            return start
-    return -1
-
-
-def _bam_references(batches):
-    """The header of the first file in a partition, from as many of its blocks as it takes."""
-    pieces = []
-    for b in batches:
-        pieces += b.column("content").to_pylist()
-        # the last block may be cut at the end of a batch, so all is read again
-        found = _header(b"".join(_whole(pieces)))
-        if found is not None:
-            ids, names, lengths = zip(*found[0], strict=True) if found[0] else ((), (), ())
-            yield pa.RecordBatch.from_pydict({"ref_id": pa.array(ids, pa.int32()), "ref_name": pa.array(names, pa.string()), "ref_length": pa.array(lengths, pa.int64())})
-            return
-
-
-def _whole(pieces: list[bytes]) -> Iterator[bytes]:
-    try:
-        yield from _inflated(iter(pieces))
-    except ValueError:
-        return
-
-
-def _bam_part(n_ref):
-    """Records of each split, and what of its data belongs to records that begin or end elsewhere.
-
-    Such ends are rows with a ``part`` (0 at a split's head, 1 at its tail) and
-    their bytes.
-    """
-
-    def rows(records, file=None, block=None, part=None, data=None):
-        cols = {n: [r[k] for r in records] if records else [None] for k, n in enumerate(NAMES)}
-        n = len(records) or 1
-        return pd.DataFrame(cols | {"_file": [file] * n, "_block": [block] * n, "part": [part] * n, "data": [data] * n})
-
-    def whole(held):
-        """Take the whole records off the front."""
-        out, at = [], 0
-        while at + 4 <= len(held) and at + 4 + (size := struct.unpack_from("<i", held, at)[0]) <= len(held):
-            out.append(_record(bytes(held[at + 4 : at + 4 + size])))
-            at += 4 + size
-        del held[:at]
-        return out
-
-    def start(held, block, last):
-        """Where the records begin; none while more data can tell better."""
-        if block == 0:
-            found = _header(bytes(held))
-            return None if found is None else found[1]
-        if len(held) < 1 << 16 and not last:
-            return None
-        at = _first_record(bytes(held), n_ref)
-        return at if at >= 0 else len(held) if last else None
-
-    def split(file, block, contents):
-        held, begun, out = bytearray(), False, []
-        for data in chain(_inflated(contents), (None,)):
-            held += data or b""
-            if not begun:
-                at = start(held, block, data is None)
-                if at is None:
-                    continue
-                if block:
-                    yield rows([], file, block, 0, bytes(held[:at]))
-                del held[:at]
-                begun = True
-            out += whole(held)
-            if out and (data is None or len(out) >= 10_000):
-                yield rows(out)
-                out = []
-        if held:
-            yield rows([], file, block, 1, bytes(held))
-
-    def run(batches):
-        blocks = ((f, k, c) for b in batches for f, k, c in zip(b["_file"], b["_block"], b["content"], strict=True))
-        for (file, block), same in groupby(blocks, lambda x: x[:2]):
-            yield from split(file, block, (bytes(c) for _, _, c in same))
-
-    return run
-
-
-def _bam_ends(parts: pd.DataFrame) -> pd.DataFrame:
-    """The records that lie across the splits of a file: its ends in order must be whole records."""
-    data = b"".join(bytes(x) for x in parts.sort_values(["_block", "part"])["data"])
-    out, at = [], 0
-    while at + 4 <= len(data) and at + 4 + (size := struct.unpack_from("<i", data, at)[0]) <= len(data):
-        out.append(_record(data[at + 4 : at + 4 + size]))
-        at += 4 + size
-    if at != len(data):
-        raise ValueError(f"records of {parts['_file'].iloc[0]} do not follow each other across its splits")
-    return pd.DataFrame(out, columns=NAMES)
-
-
-def read_bam(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """References and alignments of BAM files that share one dictionary.
-
-    A file is read in splits of any number.  A task finds the first record of
-    its split by the shape of those that follow, and hands on the bytes before
-    it and after its last whole record; these ends, one or two records for each
-    split, are put together by file, and must be whole records again, so a
-    wrong start is an error and never a wrong row.
-    """
-    blocks = _bam_blocks(spark, paths)
-    references = blocks.where("_block = 0").select("_block", "content").mapInArrow(_bam_references, "ref_id int, ref_name string, ref_length bigint").distinct()
-    n_ref = references.count()
-    kinds = f"{ALIGNMENT}, _file string, _block bigint, part int, data binary"
-    parts = blocks.select("_file", "_block", "content").mapInPandas(_bam_part(n_ref), kinds)
-    ends = parts.where("part is not null").select("_file", "_block", "part", "data").groupBy("_file").applyInPandas(_bam_ends, ALIGNMENT)
-    return references, parts.where("part is null").select(*NAMES).unionByName(ends)
-
-
 # -------------------------------------------------------------- small formats
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     """The node table back from its text: a count line, then name, sites and length."""
@@ -296,28 +85,6 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     return _numbered(body, "node_id").select("node_id", F.get(parts, F.lit(0)).alias("name"), F.get(parts, F.lit(1)).cast("bigint").alias("site_count"), F.get(parts, F.lit(2)).cast("bigint").alias("length"))
 
 
-RECORD = [("start", "<i4"), ("end", "<i4"), ("count", "<u8")]
-
-
-def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    """16-byte records of two 32-bit ids and a 64-bit count, as src <= dst."""
-
-    def decode(records):
-        while part := b"".join(islice(records, 65_536)):
-            e = np.frombuffer(part, RECORD)
-            yield from zip(np.minimum(e["start"], e["end"]).tolist(), np.maximum(e["start"], e["end"]).tolist(), e["count"].tolist(), strict=True)
-
-    return spark.createDataFrame(spark.sparkContext.binaryRecords(path, 16).mapPartitions(decode), "src bigint, dst bigint, contacts bigint")
-
-
-def encode_edges(rows: list[tuple[int, int, int]]) -> bytes:
-    """The records of (src, dst, contacts), the larger id first."""
-    a = np.array(rows, np.int64).reshape(-1, 3)
-    out = np.zeros(len(a), RECORD)
-    out["start"], out["end"], out["count"] = a[:, :2].max(axis=1), a[:, :2].min(axis=1), a[:, 2]
-    return out.tobytes()
-
-
 def read_coords(spark: SparkSession, path: str) -> DataFrame:
     """Layout coordinates: id (from 1), x, y with a header row."""
     rows = spark.read.csv(path, sep="\t", header=True, schema="id bigint, x double, y double")

@@ -1,9 +1,11 @@
 import struct
 import zlib
 
+import pytest
+
 from contactloom.operators.graph import group_contents
 from contactloom.plans import workflows
-from contactloom.sources import readers, sinks
+from contactloom.sources import bam, edges, readers, sinks
 
 
 def test_fasta(spark, rows, tmp_path):
@@ -23,9 +25,11 @@ def test_nodes_edges_coords_round_trip(spark, rows, tmp_path):
     text = "".join(p.read_text() for p in sorted((tmp_path / "nodes").glob("part-*")))
     assert text == "2\na\t2\t10\nb\t4\t20\n"
     assert rows(readers.read_nodes(spark, f"{tmp_path}/nodes")) == rows(nodes)
-    data = readers.encode_edges([(0, 1, 7), (1, 1, 3)])
-    assert data == struct.pack("<iiq", 1, 0, 7) + struct.pack("<iiq", 1, 1, 3)
-    (tmp_path / "x.edge").write_bytes(data)
+    edges.write_edges(spark.createDataFrame([(0, 1, 7), (1, 1, 3)], edges.EDGES).coalesce(1), f"{tmp_path}/edges")
+    (part,) = (tmp_path / "edges").iterdir()
+    assert part.read_bytes() == struct.pack("<iiq", 1, 0, 7) + struct.pack("<iiq", 1, 1, 3)
+    (tmp_path / "x.edge").write_bytes(part.read_bytes())
+    assert rows(readers.read_edges(spark, f"{tmp_path}/edges")) == [(0, 1, 7), (1, 1, 3)]
     assert rows(readers.read_edges(spark, f"{tmp_path}/x.edge")) == [(0, 1, 7), (1, 1, 3)]
     (tmp_path / "c.tsv").write_text("id\tx\ty\n1\t0.5\t2\n2\t-1\t3\n")
     assert rows(readers.read_coords(spark, f"{tmp_path}/c.tsv")) == [(0, 0.5, 2.0), (1, -1.0, 3.0)]
@@ -76,31 +80,93 @@ def test_sam_and_bam_agree(spark, rows, tmp_path):
     assert rows(aln, "read_name", "ref_id", "pos", "next_ref_id", "next_pos")[-1] == ("r2", -1, -1, -1, -1)
 
 
-def test_bam_is_read_in_many_splits(spark, rows, tmp_path):
-    """One file in one split, in many, and in splits without any record's start."""
+def made_bam(path, n=3000, step=7000):
+    """One file with short and long records, blocks that cut through them."""
     import random
 
     rnd = random.Random(12)
     data = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", 3)
-    for n in ("c1", "c2", "c3"):
-        data += struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 1 << 20)
-    for k in range(3000):
-        n = rnd.choice((20, 100, 150, 9000 if k % 500 == 7 else 80))
-        seq, qual = "".join(rnd.choices("ACGT", k=n)), "".join(chr(33 + q) for q in rnd.choices(range(40), k=n))
-        data += record(f"read{k}/{rnd.randrange(10**9)}", rnd.choice((65, 129, 321)), rnd.randrange(3), rnd.randrange(1 << 20), rnd.randrange(60), rnd.randrange(-1, 3), rnd.randrange(1 << 20), [(n, "M")], seq, qual)
-    (tmp_path / "many.bam").write_bytes(b"".join(block(data[k : k + 7000]) for k in range(0, len(data), 7000)) + block(b""))
-    key = "spark.sql.files.maxPartitionBytes"
-    before, found = spark.conf.get(key), []
-    try:
-        for size in ("128m", "150k", "6k"):
-            spark.conf.set(key, size)
-            refs, aln = readers.read_bam(spark, f"{tmp_path}/many.bam")
-            assert rows(refs) == [(0, "c1", 1 << 20), (1, "c2", 1 << 20), (2, "c3", 1 << 20)]
-            found.append((aln.rdd.getNumPartitions(), rows(aln)))
-    finally:
-        spark.conf.set(key, before)
-    assert found[0][1] == found[1][1] == found[2][1] and len(found[0][1]) == 3000
-    assert found[0][0] < found[1][0] < found[2][0]
+    for name in ("c1", "c2", "c3"):
+        data += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", 1 << 20)
+    want = []
+    for k in range(n):
+        size = rnd.choice((20, 0, 101, 90_000 if k % 500 == 7 else 80))
+        seq, qual = "".join(rnd.choices("ACGTN", k=size)), "".join(chr(33 + q) for q in rnd.choices(range(40), k=size))
+        r = (f"read{k}/{rnd.randrange(10**9)}", rnd.choice((65, 129, 321)), rnd.randrange(-1, 3), rnd.randrange(1 << 20), rnd.randrange(60), rnd.randrange(-1, 3), rnd.randrange(1 << 20))
+        steps = [(size, "M"), (3, "S")] if size else []
+        data += record(*r, steps, seq, qual)
+        want.append((*r, 0, "".join(f"{a}{b}" for a, b in steps) or "*", seq or "*", qual or "*"))
+    path.write_bytes(b"".join(block(data[k : k + step]) for k in range(0, len(data), step)) + block(b""))
+    return sorted(want)
+
+
+def test_bam_is_read_in_many_splits(spark, rows, tmp_path):
+    """One file in one split, in many, and in splits without any record's start."""
+    want = made_bam(tmp_path / "many.bam")
+    found = []
+    for size in (128 << 20, 150_000, 3_000):
+        refs, aln = readers.read_bam(spark, f"{tmp_path}/many.bam", split_bytes=size)
+        assert rows(refs) == [(0, "c1", 1 << 20), (1, "c2", 1 << 20), (2, "c3", 1 << 20)]
+        assert sorted(tuple(r) for r in aln.collect()) == want
+        found.append(aln.rdd.getNumPartitions())
+    assert found[0] < found[1] < found[2]
+
+
+def test_bam_columns_and_filters(spark, rows, tmp_path, monkeypatch):
+    want = made_bam(tmp_path / "many.bam", 800)
+    _, aln = readers.read_bam(spark, f"{tmp_path}/many.bam", columns=("pos", "ref_id", "mapq"), split_bytes=20_000)
+    assert aln.columns == ["ref_id", "pos", "mapq"]
+    assert rows(aln.where("ref_id in (0, 2) and mapq > 30")) == sorted((r[2], r[3], r[4]) for r in want if r[2] in (0, 2) and r[4] > 30)
+    assert rows(aln) == sorted((r[2], r[3], r[4]) for r in want)
+    _, some = readers.read_bam(spark, f"{tmp_path}/many.bam", ("read_name", "mapq"), {"ref_id": (0, None), "pos": (1000, 900_000), "mapq": (None, 30)})
+    assert rows(some) == sorted((r[0], r[4]) for r in want if r[2] >= 0 and 1000 <= r[3] <= 900_000 and r[4] <= 30)
+    for wrong in ({"columns": ("place",)}, {"where": {"seq": (1, 2)}}):
+        with pytest.raises(ValueError, match="no such columns"):
+            readers.read_bam(spark, f"{tmp_path}/many.bam", **wrong)
+
+    # what is not asked for is not made
+    def never(*a):
+        raise AssertionError
+
+    data = record("r1", 65, 0, 10, 60, 1, 5, [(4, "M")], "ACGT", "IIII")
+    for name in ("_gather", "_or_star", "_strings"):
+        monkeypatch.setattr(bam, name, never)
+    assert bam.decoded(data, [0], ("pos", "mapq"), {"mapq": (60, 60)}).to_pylist() == [{"pos": 10, "mapq": 60}]
+
+
+def test_bam_written_and_read_again(spark, rows, tmp_path):
+    want = made_bam(tmp_path / "a.bam", 600)
+    refs, aln = readers.read_bam(spark, f"{tmp_path}/a.bam", split_bytes=100_000)
+    bam.write_bam(aln, refs, f"{tmp_path}/out", by_place=True)
+    again, back = readers.read_bam(spark, f"{tmp_path}/out", split_bytes=20_000)
+    assert rows(again) == rows(refs)
+    assert sorted(tuple(r) for r in back.collect()) == want
+    with pytest.raises(FileExistsError):
+        bam.write_bam(aln, refs, f"{tmp_path}/out")
+    # stretches of other places are not read
+    for ref, pos in (((1, 1), (1000, 50_000)), ((-1, -1), (None, None)), ((None, 0), (None, None)), ((1, None), (5000, None)), ((2, 1), (None, None))):
+        _, part = readers.read_bam(spark, f"{tmp_path}/out", ("read_name",), {"ref_id": ref, "pos": pos}, 20_000)
+        inside = lambda v, r: (r[0] is None or r[0] <= v) and (r[1] is None or v <= r[1])
+        assert rows(part) == sorted((r[0],) for r in want if inside(r[2], ref) and inside(r[3], pos))
+        assert pos[1] is None or part.rdd.getNumPartitions() * 3 <= back.rdd.getNumPartitions()
+    # columns that are missing count as absent
+    bam.write_bam(aln.select("read_name", "ref_id", "pos"), refs, f"{tmp_path}/few")
+    assert rows(readers.read_bam(spark, f"{tmp_path}/few")[1], "read_name", "flag", "mapq", "seq", "next_pos") == sorted((r[0], 4, 0, "*", -1) for r in want)
+
+
+def test_empty_and_broken_bam(spark, rows, tmp_path):
+    (tmp_path / "e.bam").write_bytes(block(b"BAM\x01" + struct.pack("<ii", 0, 0)) + block(b""))
+    refs, aln = readers.read_bam(spark, f"{tmp_path}/e.bam")
+    assert rows(refs) == [] and rows(aln) == []
+    whole = bam_bytes()
+    (tmp_path / "cut.bam").write_bytes(whole[:-60])
+    with pytest.raises(Exception, match="follow|cut off"):
+        readers.read_bam(spark, f"{tmp_path}/cut.bam")[1].collect()
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two/a.bam").write_bytes(whole)
+    (tmp_path / "two/b.bam").write_bytes((tmp_path / "e.bam").read_bytes())
+    with pytest.raises(ValueError, match="different references"):
+        readers.read_bam(spark, f"{tmp_path}/two")
 
 
 def test_filter_and_partition_jobs(spark, rows, tmp_path):
