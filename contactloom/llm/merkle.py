@@ -53,17 +53,17 @@ def leaf_of(*columns: Column) -> Column:
     return F.sha2(F.concat(*[field(c) for c in columns]), 256)
 
 
-def _block_steps(key: tuple, nodes: pa.Table) -> pa.Table:
-    """A block of consecutive nodes and those above it, up to ``LEVELS`` levels: each with the step to its parent.
+def _block_steps(levels: int, key: tuple, nodes: pa.Table) -> pa.Table:
+    """A block of consecutive nodes and those above it, up to ``levels`` levels: each with the step to its parent.
 
     Only the topmost have a digest: the root, whose step is empty, or the node
     that the next pass goes on from, without a step.
     """
     tree, n, level, block = (k.as_py() for k in key)
     order = nodes.column("idx").to_numpy().argsort()
-    row, at = nodes.column("digest").take(pa.array(order)).to_pylist(), block << LEVELS
+    row, at = nodes.column("digest").take(pa.array(order)).to_pylist(), block << levels
     out: dict[str, list] = {"level": [], "idx": [], "digest": [], "seg": []}
-    for k in range(level, level + LEVELS):
+    for k in range(level, level + levels):
         if (n - 1) >> k == 0:
             step = [b""]
         else:
@@ -77,7 +77,7 @@ def _block_steps(key: tuple, nodes: pa.Table) -> pa.Table:
             break
         row, at = [hashlib.sha256("".join(row[i : i + 2]).encode()).hexdigest() for i in range(0, len(row), 2)], at >> 1
     else:
-        out["level"].append(level + LEVELS)
+        out["level"].append(level + levels)
         out["idx"].append(at)
         out["digest"] += row
         out["seg"].append(None)
@@ -85,12 +85,12 @@ def _block_steps(key: tuple, nodes: pa.Table) -> pa.Table:
     return pa.Table.from_pydict(same | out, pa.schema([("tree", pa.int64()), ("n", pa.int64()), ("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.string()), ("seg", pa.binary())]))
 
 
-def build(leaves: DataFrame) -> DataFrame:
+def build(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """All nodes (tree, n, level, idx, digest, seg) over leaves (tree, n, idx, digest), n the tree's leaves."""
     top, made = leaves.withColumn("level", F.lit(0)), []
     while not top.isEmpty():
-        blocks = top.select("tree", "n", "level", "idx", "digest").groupBy("tree", "n", "level", F.shiftright("idx", LEVELS).alias("block"))
-        nodes = stage(blocks.applyInArrow(_block_steps, "tree bigint, n bigint, level int, idx bigint, digest string, seg binary"), "nodes")
+        blocks = top.select("tree", "n", "level", "idx", "digest").groupBy("tree", "n", "level", F.shiftright("idx", levels).alias("block"))
+        nodes = stage(blocks.applyInArrow(lambda key, nodes: _block_steps(levels, key, nodes), "tree bigint, n bigint, level int, idx bigint, digest string, seg binary"), "nodes")
         made.append(nodes.where("seg is not null"))
         top = nodes.where("seg is null")
     return reduce(DataFrame.unionByName, made)
@@ -100,7 +100,7 @@ def roots(nodes: DataFrame) -> DataFrame:
     return nodes.where("digest is not null").select("tree", "digest")
 
 
-def proofs(nodes: DataFrame, depth: int) -> DataFrame:
+def proofs(nodes: DataFrame, depth: int, levels: int = LEVELS) -> DataFrame:
     """For every leaf (tree, idx) the steps to its tree's root, ``proof``, by pointer jumping.
 
     ``depth`` is the greatest depth of a tree; distances double from 1 to it.
@@ -108,9 +108,9 @@ def proofs(nodes: DataFrame, depth: int) -> DataFrame:
     table, far = nodes.select("tree", "n", "level", "idx", "seg"), 1
     while far < depth:
         # after this round a level is read again only if twice the distance divides it
-        ahead = table.where(F.col("level") % (2 * far) == far).select("tree", F.col("level").alias("to"), F.col("idx").alias("up"), F.col("seg").alias("more"), F.expr(f"shiftright(up << to, {LEVELS})").alias("first"), F.expr(f"shiftright(least((up + 1) << to, n) - 1, {LEVELS})").alias("last"))
+        ahead = table.where(F.col("level") % (2 * far) == far).select("tree", F.col("level").alias("to"), F.col("idx").alias("up"), F.col("seg").alias("more"), F.expr(f"shiftright(up << to, {levels})").alias("first"), F.expr(f"shiftright(least((up + 1) << to, n) - 1, {levels})").alias("last"))
         ahead = ahead.select("tree", "to", "up", "more", F.explode(F.sequence("first", "last")).alias("block"))
-        here = table.where(F.col("level") % (2 * far) == 0).withColumns({"to": F.col("level") + far, "up": F.shiftright("idx", far), "block": F.expr(f"shiftright(idx << level, {LEVELS})")})
+        here = table.where(F.col("level") % (2 * far) == 0).withColumns({"to": F.col("level") + far, "up": F.shiftright("idx", far), "block": F.expr(f"shiftright(idx << level, {levels})")})
         joined = here.join(ahead, ["tree", "to", "up", "block"], "left")
         table = stage(joined.select("tree", "n", "level", "idx", F.concat("seg", F.coalesce("more", F.lit(b""))).alias("seg")), "steps")
         far *= 2
@@ -130,7 +130,7 @@ def fold(leaf: Column, steps: Column) -> Column:
     return F.aggregate(steps, leaf, lambda acc, s: F.sha2(F.when(s["side"] == NONE, acc).when(s["side"] == LEFT, F.concat(s["digest"], acc)).otherwise(F.concat(acc, s["digest"])), 256))
 
 
-def manifest(docs: DataFrame, tampered: Column | None = None, covered: tuple[str, ...] = COVERED, id_col: str = "doc_id", group_col: str = "lang") -> DataFrame:
+def manifest(docs: DataFrame, tampered: Column | None = None, covered: tuple[str, ...] = COVERED, id_col: str = "doc_id", group_col: str = "lang", levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, steps, folded_root and verified of every row.
 
     ``tampered`` is the leaf of a row as it is found now, null where it is as
@@ -154,17 +154,17 @@ def manifest(docs: DataFrame, tampered: Column | None = None, covered: tuple[str
         none = F.lit(None).cast("string")
         return rows.select("doc_id", "leaf", none.alias("subroot"), none.alias("root"), none.alias("proof_sha256"), steps_of(F.lit(b"")).alias("steps"), none.alias("folded_root"), F.lit(None).cast("boolean").alias("verified"))
 
-    nodes = build(rows.select("tree", "n", "idx", F.col("leaf").alias("digest")))
-    own = proofs(nodes, (most - 1).bit_length())
+    nodes = build(rows.select("tree", "n", "idx", F.col("leaf").alias("digest")), levels)
+    own = proofs(nodes, (most - 1).bit_length(), levels)
     # the tree over the groups
     subroots = roots(nodes)
-    upper = build(subroots.select(F.lit(0).cast("bigint").alias("tree"), F.lit(count).cast("bigint").alias("n"), F.col("tree").alias("idx"), "digest"))
+    upper = build(subroots.select(F.lit(0).cast("bigint").alias("tree"), F.lit(count).cast("bigint").alias("n"), F.col("tree").alias("idx"), "digest"), levels)
     root = roots(upper).first()["digest"]
-    above = proofs(upper, (count - 1).bit_length()).select(F.col("idx").alias("tree"), F.col("proof").alias("above"))
+    above = proofs(upper, (count - 1).bit_length(), levels).select(F.col("idx").alias("tree"), F.col("proof").alias("above"))
     # what a whole group needs goes to each of its blocks, not to one task
-    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.shiftright(F.col("n") - 1, LEVELS)))
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.shiftright(F.col("n") - 1, levels)))
     shared = trees.select("tree", blocks.alias("block")).join(subroots.select("tree", F.col("digest").alias("subroot")).join(above, "tree"), "tree")
-    found = rows.drop("n").join(own, ["tree", "idx"]).withColumn("block", F.shiftright("idx", LEVELS)).join(shared, ["tree", "block"])
+    found = rows.drop("n").join(own, ["tree", "idx"]).withColumn("block", F.shiftright("idx", levels)).join(shared, ["tree", "block"])
     read = found.select("doc_id", "leaf", "found", "subroot", steps_of(F.concat("proof", "above")).alias("steps"))
     held = F.array_join(F.transform(F.filter("steps", lambda s: s["side"] != NONE), lambda s: s["digest"]), "")
     folded = read.select("doc_id", "leaf", "subroot", F.lit(root).alias("root"), F.sha2(held, 256).alias("proof_sha256"), "steps", fold(F.coalesce("found", "leaf"), F.col("steps")).alias("folded_root"))
