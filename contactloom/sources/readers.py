@@ -1,4 +1,4 @@
-"""Readers of text formats: FASTA, SAM, node counts, layout coordinates; BAM and edge records have modules of their own."""
+"""Readers of line formats: SAM, node counts, layout coordinates; FASTA, BAM and edge records have modules of their own."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from contactloom.functions.text import right_trim
 from contactloom.sources.bam import read_bam
 from contactloom.sources.edges import read_edges
+from contactloom.sources.fasta import read_chunks, read_fasta
 
-__all__ = ["read_bam", "read_coords", "read_edges", "read_fasta", "read_nodes", "read_sam"]
+__all__ = ["read_bam", "read_chunks", "read_coords", "read_edges", "read_fasta", "read_nodes", "read_sam"]
 
 
 def _located(rows: DataFrame) -> DataFrame:
@@ -31,32 +32,6 @@ def _numbered(rows: DataFrame, name: str) -> DataFrame:
     return joined.withColumn(name, F.col("_at") + F.col("_shift"))
 
 
-def read_fasta(spark: SparkSession, path: str, keep_empty: bool = True, first_token: bool = False) -> DataFrame:
-    """Contigs in file order: contig_ord, name, seq, length.
-
-    A record begins with ``>`` at a line start and its name is the rest of that
-    line; lines are trimmed at their ends and joined.  Text before the first
-    record is ignored.  ``keep_empty=False`` drops records without a sequence,
-    ``first_token`` ends names at their first white space.  No sequence is
-    shuffled.
-    """
-    rows = _located(spark.read.option("lineSep", "\n>").text(path))
-    # the separator takes the sign of all records but a file's first; the driver lists the files, so one row of each is little
-    first = rows.where("_block = 0").groupBy(F.col("_file").alias("_file0")).agg(F.min("_no").alias("_no0"))
-    rows = rows.join(F.broadcast(first), (F.col("_file") == F.col("_file0")) & (F.col("_no") == F.col("_no0")), "left")
-    opening = F.col("_no0").isNotNull()
-    rows = rows.where(~opening | F.col("value").startswith(">"))
-    body = F.when(opening, F.substring("value", 2, 2147483647)).otherwise(F.col("value"))
-    lines = F.transform(F.split(body, "\n"), right_trim)
-    name = F.get(lines, F.lit(0))
-    if first_token:
-        name = F.get(F.split(name, "[ \\t]"), F.lit(0))
-    made = rows.select("_file", "_block", name.alias("name"), F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("seq"))
-    if not keep_empty:
-        made = made.where("seq <> ''")
-    return _numbered(made, "contig_ord").select("contig_ord", "name", "seq", F.length("seq").cast("bigint").alias("length"))
-
-
 def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """References and alignments of SAM text; positions from 0, absent ones -1."""
     rows = _located(spark.read.text(path))
