@@ -219,6 +219,32 @@ def fasta_files(spark, d):
     return readers.read_fasta(spark, path).select("contig_ord", "name", "length", F.md5("seq").alias("seq_md5"))
 
 
+#: Bytes of a range and a motif that overlaps itself, so that matches and pieces lie across borders.
+RANGE, DOUBLE = 1 << 18, "AA"
+
+
+def _chunks(spark, d):
+    """The sequences as FASTA, read as chunks."""
+    path = _folder(spark, "fasta")
+    sinks.write_fasta(fx.sequences(spark, d).select("name", F.lit(0).cast("bigint").alias("piece_ord"), F.translate("seq", "C", "A").alias("seq")), path, "name")
+    return readers.read_chunks(spark, path, split_bytes=RANGE)
+
+
+def chunk_sites(spark, d):
+    """Sites of a motif that overlaps itself in sequences that are read as chunks."""
+    found = sites.find_sites_in_chunks(*_chunks(spark, d), DOUBLE)
+    return found.groupBy("name").agg(F.count(F.lit(1)).alias("n_sites"), F.max("site_ord").alias("last_ord"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"), F.sum("pos").alias("sum_pos"), F.sum(F.col("pos") * F.col("site_ord")).alias("sum_product"))
+
+
+def chunk_pieces(spark, d):
+    """Contigs cut at their mismatches, chunk by chunk; the digest alone puts a piece together."""
+    contigs, chunks = _chunks(spark, d)
+    names = fx.sequences(spark, d).select("ref_id", "name")
+    rows = split.split_chunks(contigs, chunks, narrow_mismatches(spark, d).join(names, "ref_id"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "seq"))), lambda x: x["seq"]), "").alias("seq")
+    return rows.groupBy("name", "piece_ord", "piece_name").agg(whole).select("name", "piece_ord", "piece_name", F.length("seq").cast("bigint").alias("length"), F.md5("seq").alias("seq_md5"))
+
+
 def sam_files(spark, d):
     """Alignments as SAM lines, and back; ends of lines are trimmed of nothing else."""
     path = _folder(spark, "sam")
@@ -291,7 +317,7 @@ def queries() -> dict[str, Query]:
             intra_contacts, contact_map, contact_map_narrow, saturation_level, depletion_score, score_track, score_track_narrow,
             wide_mismatches, narrow_mismatches, corrected_pieces,
             weighted_edges, assign_nearest, group_contents, group_sizes, pajek_lines, kmeans_groups, force_layout,
-            enzyme_sites, fasta_files, sam_files, bam_files, bam_region, edge_files, node_files, coordinate_files, group_files, reduced_files,
+            enzyme_sites, fasta_files, chunk_sites, chunk_pieces, sam_files, bam_files, bam_region, edge_files, node_files, coordinate_files, group_files, reduced_files,
         )
     }
 
@@ -419,6 +445,7 @@ union all select 3, row_number() over (order by src, dst) - 1, (dst + 1) || ' '
         "score_track_narrow": "select * from track_narrow",
         "wide_mismatches": 'select * from wide',
         "narrow_mismatches": "select * from final",
+        "chunk_pieces": "select name, piece_ord, piece_name, length(seq) as length, md5(replace(seq, 'C', 'A')) as seq_md5 from pieces",
         "corrected_pieces": "select name, piece_ord, piece_name, length(seq) as length, md5(seq) as seq_md5 from pieces",
     }
     return (
@@ -437,6 +464,11 @@ union all select 3, row_number() over (order by src, dst) - 1, (dst + 1) || ' '
 with parts as (select name, length(unnest(string_split(seq, 'GATC'))) as piece, unnest(range(len(string_split(seq, 'GATC')))) as ord, len(string_split(seq, 'GATC')) as n from ({fx.SEQUENCES}) s),
 places as (select name, sum(piece) over (partition by name order by ord) + 4 * ord as pos, ord, n from parts)
 select name, count(*) as n_sites, cast(min(pos) as bigint) as first_pos, cast(max(pos) as bigint) as last_pos, cast(sum(pos) as bigint) as sum_pos from places where ord < n - 1 group by name""",
+            "chunk_sites": f"""
+with seqs as (select name, replace(seq, 'C', 'A') as seq from ({fx.SEQUENCES}) s),
+parts as (select name, length(unnest(string_split(seq, '{DOUBLE}'))) as piece, unnest(range(len(string_split(seq, '{DOUBLE}')))) as ord, len(string_split(seq, '{DOUBLE}')) as n from seqs),
+places as (select name, sum(piece) over (partition by name order by ord) + 2 * ord as pos, ord, n from parts)
+select name, count(*) as n_sites, max(ord) as last_ord, cast(min(pos) as bigint) as first_pos, cast(max(pos) as bigint) as last_pos, cast(sum(pos) as bigint) as sum_pos, cast(sum(pos * ord) as bigint) as sum_product from places where ord < n - 1 group by name""",
             "group_files": of(_GROUPS + "," + _FILTER, "select (select count(distinct group_id) from members) || 'g' || (group_id + 1) as group_label, name as contig, site_count as re_counts, length from members join nodes using (node_id)"),
             "group_contents": of(_GROUPS + "," + _FILTER, "select group_id, node_id, name, site_count, length from members join nodes using (node_id)"),
         }

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.operators.ordinals import dense_ordinal
+from contactloom.session import ship_package, stage
 
 SMALL_CONTIG = 1000
 
@@ -24,6 +28,112 @@ def find_sites(contigs: DataFrame, motif: str) -> DataFrame:
     return rows.select("contig_ord", "name", "length", F.col("site_ord").cast("bigint").alias("site_ord"), pos.cast("bigint").alias("pos"))
 
 
+def _scanned(motif: str) -> Callable:
+    """For each chunk its size, its ends of a motif's length less one, and where the motif begins in it, overlaps too."""
+    edge = len(motif) - 1
+
+    def run(batches):
+        for b in batches:
+            found, seqs, starts = [], b.column("seq").to_pylist(), b.column("start").to_pylist()
+            for start, seq in zip(starts, seqs, strict=True):
+                places, at = [], seq.find(motif)
+                while at >= 0:
+                    places.append(start + at)
+                    at = seq.find(motif, at + 1)
+                found.append(places)
+            ends = [(s[:edge], s[max(len(s) - edge, 0) :] if edge else "") for s in seqs]
+            yield pa.RecordBatch.from_pydict({
+                "contig_ord": b.column("contig_ord"), "start": b.column("start"), "size": pa.array([len(s) for s in seqs], pa.int64()),
+                "head": pa.array([h for h, _ in ends], pa.string()), "tail": pa.array([t for _, t in ends], pa.string()), "places": pa.array(found, pa.list_(pa.int64())),
+            })
+
+    return run
+
+
+def _leftmost(places: list[int], free: int, step: int, known: dict[int, int] | None = None) -> tuple[list[int], int]:
+    """Matches from the left that do not overlap, the first at ``free`` or later, and where the last ends.
+
+    ``known`` has the end of all from a match on, once that is known.
+    """
+    taken = []
+    for p in places:
+        if p >= free:
+            if known and p in known:
+                return taken, known[p]
+            taken.append(p)
+            free = p + step
+    return taken, free
+
+
+def _transitions(step: int) -> Callable:
+    """How many bases after a chunk's end are covered by a match, for each number of bases covered at its start."""
+
+    def run(batches):
+        for b in batches:
+            made = []
+            for start, size, places in zip(*(b.column(c).to_pylist() for c in ("start", "size", "places")), strict=True):
+                taken, end = _leftmost(places, start, step)
+                known = dict.fromkeys(taken, end)
+                ends = [end, *(_leftmost(places, start + d, step, known)[1] for d in range(1, step))]
+                made.append([max(0, e - start - size) for e in ends])
+            yield pa.RecordBatch.from_pydict({"contig_ord": b.column("contig_ord"), "start": b.column("start"), "next": pa.array(made, pa.list_(pa.int32()))})
+
+    return run
+
+
+def _entered(rows: pa.Table) -> pa.Table:
+    """The bases covered at the start of each chunk of a contig: its transitions applied one after the other."""
+    rows, covered, out = rows.sort_by("start"), 0, []
+    for after in rows.column("next").to_pylist():
+        out.append(covered)
+        covered = after[covered]
+    return pa.Table.from_pydict({"contig_ord": rows.column("contig_ord"), "start": rows.column("start"), "covered": pa.array(out, pa.int32())})
+
+
+def _chosen(step: int) -> Callable:
+    def run(batches):
+        for b in batches:
+            made = [_leftmost(places, start + covered, step)[0] for start, covered, places in zip(*(b.column(c).to_pylist() for c in ("start", "covered", "places")), strict=True)]
+            yield pa.RecordBatch.from_pydict({"contig_ord": b.column("contig_ord"), "start": b.column("start"), "places": pa.array(made, pa.list_(pa.int64()))})
+
+    return run
+
+
+def find_sites_in_chunks(contigs: DataFrame, chunks: DataFrame, motif: str) -> DataFrame:
+    """As ``find_sites``, of contigs (contig_ord, name, length) whose sequence is in chunks (contig_ord, start, seq).
+
+    Chunks are searched where they are.  Matches across their borders are found
+    in the ends of neighbours, short strings that are gathered per contig.  A
+    motif that can overlap itself is matched from the left over the whole
+    contig: for each chunk there is a table from the bases covered at its start
+    to those covered after its end; applied in order they say where the
+    matching goes on in each chunk.  What is gathered per contig is a row of a
+    few numbers for each chunk.
+    """
+    ship_package(contigs.sparkSession)
+    step = len(motif)
+    scanned = stage(chunks.select("contig_ord", "start", "seq").mapInArrow(_scanned(motif), "contig_ord bigint, start bigint, size bigint, head string, tail string, places array<bigint>"), "scanned")
+    in_order = Window.partitionBy("contig_ord").orderBy("start")
+    found = scanned.select("contig_ord", "start", "size", "places")
+    if step > 1:
+        after = F.array_join(F.collect_list("head").over(in_order.rowsBetween(1, step - 1)), "")
+        pairs = scanned.select("contig_ord", "start", "size", "tail", F.concat("tail", F.substring(after, 1, step - 1)).alias("both"))
+        n = F.length("tail")
+        here = F.filter(F.sequence(F.lit(0), n - 1), lambda k: F.substring(F.col("both"), k + 1, F.lit(step)) == motif)
+        across = pairs.where(n > 0).select("contig_ord", "start", F.transform(here, lambda k: F.col("start") + F.col("size") - n + k).alias("more")).where(F.size("more") > 0)
+        found = found.join(across, ["contig_ord", "start"], "left").select("contig_ord", "start", "size", F.concat("places", F.coalesce("more", F.expr("array()").cast("array<bigint>"))).alias("places"))
+    if any(motif[k:] == motif[:-k] for k in range(1, step)):
+        found = stage(found, "matches")
+        steps = found.mapInArrow(_transitions(step), "contig_ord bigint, start bigint, next array<int>")
+        entered = steps.groupBy("contig_ord").applyInArrow(_entered, "contig_ord bigint, start bigint, covered int")
+        found = found.join(entered, ["contig_ord", "start"]).mapInArrow(_chosen(step), "contig_ord bigint, start bigint, places array<bigint>")
+    found = stage(found.select("contig_ord", "start", "places").where(F.size("places") > 0), "sites")
+    before = F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = found.select("contig_ord", "start", F.size("places").alias("n")).withColumn("before", before).join(contigs.select("contig_ord", "name", "length"), "contig_ord")
+    each = counted.join(found, ["contig_ord", "start"]).select("contig_ord", "name", "length", "before", F.posexplode("places").alias("k", "pos"))
+    return each.select("contig_ord", "name", "length", (F.col("before") + F.col("k")).cast("bigint").alias("site_ord"), "pos")
+
+
 def count_sites(sites: DataFrame) -> DataFrame:
     """Nodes: contigs with a site, numbered in contig order."""
     counted = sites.groupBy("contig_ord", "name", "length").agg(F.count(F.lit(1)).alias("site_count"))

@@ -10,7 +10,7 @@ from contactloom.operators import contact_map as cm
 from contactloom.operators import graph, mismatch, pairs, sites, split
 from contactloom.session import drop_stages, staged_so_far
 from contactloom.sources import sinks
-from contactloom.sources.readers import read_bam, read_edges, read_fasta, read_nodes, read_sam
+from contactloom.sources.readers import read_bam, read_chunks, read_edges, read_nodes, read_sam
 
 
 def read_alignments(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -21,7 +21,7 @@ def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, ou
     """Write ``nodes`` (text), ``edges`` and ``reduced`` (Parquet) under ``out``."""
     earlier = staged_so_far(spark)
     motif = resolve_motif(enzyme)
-    found = sites.find_sites(read_fasta(spark, fasta, keep_empty=False), motif)
+    found = sites.find_sites_in_chunks(*read_chunks(spark, fasta, keep_empty=False), motif)
     nodes = sites.count_sites(found)
     sinks.write_nodes(nodes, f"{out}/nodes")
     references, rows = read_alignments(spark, alignments)
@@ -57,7 +57,7 @@ def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, perc
     narrow_track = cm.crop_track(cm.depletion_score(fine, cm.saturation_level(fine, percent), narrow, wide), narrow, wide)
     named = mismatch.narrow_mismatches(islands, narrow_track, narrow).join(references.select("ref_id", F.col("ref_name").alias("name")), "ref_id")
     sinks.write_table(named, f"{out}/mismatches")
-    sinks.write_fasta(split.split_contigs(read_fasta(spark, fasta), spark.read.parquet(f"{out}/mismatches")), f"{out}/corrected")
+    sinks.write_chunks(split.split_chunks(*read_chunks(spark, fasta), spark.read.parquet(f"{out}/mismatches")), f"{out}/corrected")
     drop_stages(spark, earlier)
 
 

@@ -15,6 +15,16 @@ def write_fasta(pieces: DataFrame, path: str, name_col: str = "piece_name") -> N
     lines.orderBy("name", "piece_ord").select("value").write.text(path)
 
 
+def write_chunks(parts: DataFrame, path: str) -> None:
+    """Records whose sequence is in rows (name, piece_ord, piece_name, at, seq), a line for each row.
+
+    A record lies in one file; a task writes it row by row.
+    """
+    rows = parts.repartitionByRange("name", "piece_ord").sortWithinPartitions("name", "piece_ord", "at")
+    head = F.when(F.col("at") == 0, F.concat(F.lit(">"), "piece_name", F.lit("\n"))).otherwise("")
+    rows.select(F.concat(head, F.col("seq")).alias("value")).write.text(path)
+
+
 def node_lines(nodes: DataFrame) -> DataFrame:
     head = nodes.agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("ord"), "value")
     rows = nodes.select(F.lit(1).alias("section"), F.col("node_id").alias("ord"), F.concat_ws("\t", "name", F.col("site_count").cast("string"), F.col("length").cast("string")).alias("value"))
