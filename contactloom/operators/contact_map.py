@@ -47,13 +47,33 @@ def saturation_level(contact_map: DataFrame, percent: float = 0.95) -> DataFrame
     return per.select("ref_id", truncated_e5(F.when(F.col("total") == 1, F.col("least").cast("double")).otherwise(level)).alias("sat_e5"))
 
 
+#: Bins of a tile of the running sums over a contig.
+TILE_BINS = 4096
+
+
 def depletion_score(contact_map: DataFrame, saturation: DataFrame, size: int, depletion: int) -> DataFrame:
-    """Each cell adds its count, at most the saturation, to every bin strictly between its ends."""
+    """Each cell adds its count, at most the saturation, to every bin strictly between its ends.
+
+    A cell is two events, where its value begins and where it ends; the score
+    is their running sum, within tiles and over the sums of tiles.  So at most
+    two rows of a cell are shuffled, whatever its length, after those of one
+    place have been summed.
+    """
     gap = F.col("bin_e") - F.col("bin_s")
     cells = contact_map.where((gap >= 2 * size) & (gap <= depletion)).join(saturation, "ref_id")
     value = F.least(F.col("cnt") * 100000, F.col("sat_e5"))
-    spread = cells.select("ref_id", value.alias("v"), F.explode(F.sequence(F.col("bin_s") + size, F.col("bin_e") - size, F.lit(size).cast("bigint"))).alias("pos"))
-    return spread.groupBy("ref_id", "pos").agg(F.sum("v").alias("score_e5"))
+    event = lambda pos, sign: F.struct(pos.alias("pos"), (value * sign).alias("v"), F.lit(sign).cast("bigint").alias("n"))
+    events = cells.select("ref_id", F.explode(F.array(event(F.col("bin_s") + size, 1), event(F.col("bin_e"), -1))).alias("e"))
+    events = events.groupBy("ref_id", "e.pos").agg(F.sum("e.v").alias("v"), F.sum("e.n").alias("n")).withColumn("tile", F.floor(F.col("pos") / (size * TILE_BINS)))
+
+    by_tile = Window.partitionBy("ref_id").orderBy("tile")
+    earlier = by_tile.rowsBetween(Window.unboundedPreceding, -1)
+    tiles = events.groupBy("ref_id", "tile").agg(F.sum("v").alias("v"), F.sum("n").alias("n"), F.min("pos").alias("first"))
+    tiles = tiles.select("ref_id", "tile", F.coalesce(F.sum("v").over(earlier), F.lit(0)).alias("v0"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.lead("first").over(by_tile).alias("next"))
+    inside = Window.partitionBy("ref_id", "tile").orderBy("pos")
+    runs = events.join(tiles, ["ref_id", "tile"]).select("ref_id", "pos", (F.col("v0") + F.sum("v").over(inside)).alias("score_e5"), (F.col("n0") + F.sum("n").over(inside)).alias("cells"), F.coalesce(F.lead("pos").over(inside), F.col("next")).alias("until"))
+    # where no cell reaches there is no score
+    return runs.where("cells > 0").select("ref_id", F.explode(F.sequence("pos", F.col("until") - size, F.lit(size).cast("bigint"))).alias("pos"), "score_e5")
 
 
 def crop_track(score: DataFrame, size: int, depletion: int) -> DataFrame:

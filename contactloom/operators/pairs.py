@@ -47,17 +47,31 @@ def filter_known_refs(alignments: DataFrame, ref_map: DataFrame) -> DataFrame:
     return alignments.join(own, "ref_id").join(mate, "next_ref_id")
 
 
+def covered_tiles(windows: DataFrame) -> DataFrame:
+    """The union of each node's windows: w_node, w_tile, ``spans``, disjoint in order, one row per tile."""
+    tile = lambda c: F.floor(F.col(c) / TILE)
+    each = windows.select("node_id", "win_start", "win_end", F.explode(F.sequence(tile("win_start"), tile("win_end"))).alias("w_tile"))
+    clipped = F.struct(F.greatest(F.col("win_start"), F.col("w_tile") * TILE).alias("a"), F.least(F.col("win_end"), F.col("w_tile") * TILE + TILE - 1).alias("b"))
+    # equal clippings, above all whole tiles, meet before the shuffle
+    spans = each.groupBy(F.col("node_id").alias("w_node"), "w_tile").agg(F.sort_array(F.collect_set(clipped)).alias("s"))
+    last = lambda done: F.element_at(done, -1)
+    merged = F.aggregate(
+        F.slice("s", F.lit(2), F.size("s")),
+        F.slice("s", F.lit(1), F.lit(1)),
+        lambda done, x: F.when(x["a"] <= last(done)["b"] + 1, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last(done)["a"].alias("a"), F.greatest(last(done)["b"], x["b"]).alias("b"))))).otherwise(F.concat(done, F.array(x))),
+    )
+    return spans.select("w_node", "w_tile", merged.alias("spans"))
+
+
 def filter_near_site(alignments: DataFrame, windows: DataFrame) -> DataFrame:
     """Rows whose position lies in a window of their node.
 
-    A range semi-join by tiles: a window stands in every tile it touches, a
-    position in one, so the join is on equal keys.
+    A range semi-join by tiles: a position meets the one row of its node and
+    tile, which has the union of the windows there.
     """
-    tile = lambda c: F.floor(F.col(c) / TILE)
-    tiled = windows.select("node_id", "win_start", "win_end", F.explode(F.sequence(tile("win_start"), tile("win_end"))).alias("tile"))
-    w = tiled.select(F.col("node_id").alias("w_node"), F.col("tile").alias("w_tile"), "win_start", "win_end")
-    inside = (F.col("node_id") == F.col("w_node")) & (tile("pos") == F.col("w_tile")) & (F.col("pos") >= F.col("win_start")) & (F.col("pos") <= F.col("win_end"))
-    return alignments.join(w, inside, "left_semi")
+    pos = F.col("pos")
+    inside = (F.col("node_id") == F.col("w_node")) & (F.floor(pos / TILE) == F.col("w_tile")) & F.exists("spans", lambda x: (pos >= x["a"]) & (pos <= x["b"]))
+    return alignments.join(covered_tiles(windows), inside, "left_semi")
 
 
 def pair_mates(qualified: DataFrame) -> DataFrame:

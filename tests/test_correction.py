@@ -169,3 +169,22 @@ def test_distances_at_the_limits(spark, rows):
     cells = spark.createDataFrame([(1, 0, e, 1) for e in (10, 20, 50, 60)], "ref_id int, bin_s bigint, bin_e bigint, cnt bigint")
     sat = spark.createDataFrame([(1, 100000)], "ref_id int, sat_e5 bigint")
     assert rows(cm.depletion_score(cells, sat, 10, 50)) == [(1, 10, 200000), (1, 20, 100000), (1, 30, 100000), (1, 40, 100000)]
+
+
+def test_scores_over_many_tiles(spark, rows, monkeypatch):
+    """Running sums over tiles of a few bins, with gaps of several tiles, equal the sum bin by bin."""
+    monkeypatch.setattr(cm, "TILE_BINS", 3)
+    rnd = random.Random(17)
+    cells = {}
+    for _ in range(300):
+        c, s = rnd.randrange(3), 10 * rnd.choice((rnd.randrange(30), 200 + rnd.randrange(10)))
+        cells[c, s, s + 10 * rnd.randrange(0, 14)] = rnd.randrange(1, 9)
+    table = spark.createDataFrame([(*k, n) for k, n in cells.items()], "ref_id int, bin_s bigint, bin_e bigint, cnt bigint")
+    level = {0: 350_000, 1: 0, 2: 10**9}
+    want = {}
+    for (c, s, e), n in cells.items():
+        if 20 <= e - s <= 100:
+            for p in range(s + 10, e, 10):
+                want[c, p] = want.get((c, p), 0) + min(n * 100_000, level[c])
+    got = cm.depletion_score(table, spark.createDataFrame(list(level.items()), "ref_id int, sat_e5 bigint"), 10, 100)
+    assert rows(got, "ref_id", "pos", "score_e5") == sorted((*k, v) for k, v in want.items())

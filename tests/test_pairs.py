@@ -62,3 +62,21 @@ def test_coordinate_order(spark, rows):
     got = [tuple(r)[1:] for r in pairs.coordinate_sort(df).orderBy("aln_id").collect()]
     assert [g for g in got if g[2] >= 0] == [w for w in want if w[2] >= 0]
     assert all(g[2] < 0 for g in got[len([w for w in want if w[2] >= 0]) :])
+
+
+def test_windows_become_disjoint_spans(spark, rows):
+    """Positions of random overlapping windows, and one row per tile with spans apart from each other."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(2)
+    windows = [(rnd.randrange(3), a, a + rnd.randrange(0, 2500)) for a in (rnd.randrange(20_000) for _ in range(60))]
+    w = spark.createDataFrame(windows, "node_id bigint, win_start bigint, win_end bigint")
+    tiles = pairs.covered_tiles(w)
+    assert tiles.groupBy("w_node", "w_tile").count().where("count > 1").count() == 0
+    for _, _, spans in rows(tiles):
+        assert all(x["b"] + 1 < y["a"] for x, y in zip(spans, spans[1:], strict=False))
+    places = spark.range(3).select(F.col("id").alias("node_id"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23_000).cast("bigint"))).alias("pos"))
+    want = {(n, p) for n, a, b in windows for p in range(a, b + 1)}
+    assert set(rows(pairs.filter_near_site(places, w))) == want
