@@ -28,10 +28,9 @@ CHARS = 98
 MARGIN = 8
 #: Bound of a transition's score.
 MOST_TRANSITION = 1.0
-#: Log odds from which a span stays.
-LEAST_ODDS = 5.0
-#: Log odds for each of its characters that it needs besides.
-EACH_ODDS = 0.5
+#: Log odds from which a span stays, and for each of its characters, by kind: an address's form is tested besides.
+LEAST_ODDS = (0.0, 5.0, 5.0, 5.0, 5.0)
+EACH_ODDS = (0.0, 0.5, 0.5, 0.5, 0.5)
 
 
 def encode(text: str) -> np.ndarray:
@@ -83,10 +82,10 @@ def _private(rng: np.random.Generator, kind: str) -> tuple[str, str, str]:
     if kind == "email":
         parts = [plain() for _ in range(int(rng.integers(1, 3)))]
         host, end = [plain() + _digits(rng, int(rng.integers(0, 3)))], str(pick(ENDINGS)).split(".")
-        if rng.integers(0, 2):
+        if rng.integers(0, 3) == 0:
             local = str(pick([".", "_", "", "-", "+"])).join(parts) + _digits(rng, int(rng.integers(0, 4)))
             return "", f"{local}@{'.'.join(host + end)}", ""
-        at, dot = pick([(" at ", " dot "), (" AT ", " DOT "), (" [at] ", " [dot] "), ("[at]", "[dot]"), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", " . "), ("(at)", "."), (" [at] ", "."), (" at ", " dot ")])
+        at, dot = pick([(" at ", " dot "), (" AT ", " DOT "), ("{at}", "{dot}"), (" AT ", " DOT "), (" {at} ", "."), (" [at] ", " [dot] "), ("[at]", "[dot]"), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", " . "), ("(at)", "."), (" [at] ", "."), (" at ", " dot ")])
         return "", dot.join(parts) + at + dot.join(host + end), ""
     if kind == "ip":
         if rng.integers(0, 4):
@@ -105,7 +104,10 @@ def _private(rng: np.random.Generator, kind: str) -> tuple[str, str, str]:
     name = pick(SECRET_NAMES)
     name = pick([name, name.upper(), name.capitalize()])
     quote = pick(['"', '"', "'", ""])
-    value = pick([_letters(rng, int(pick([32, 40, 40, 40, 64])), HEX), _letters(rng, int(rng.integers(16, 48)), MIXED), pick(["sk_live_", "ghp_", "AKIA", "xoxb-"]) + _letters(rng, int(rng.integers(16, 36)), MIXED)])
+    if rng.integers(0, 8) == 0:
+        # a signed token: three parts of letters and digits
+        return pick(["Bearer ", f"{name} = {quote}", f"{name}: {quote}"]), "eyJ" + ".".join(_letters(rng, int(rng.integers(12, 40)), MIXED + "_-") for _ in range(3)), quote
+    value = pick([_letters(rng, int(pick([32, 40, 40, 40, 64, 101, 128])), HEX), _letters(rng, int(rng.integers(16, 48)), MIXED), pick(["sk_live_", "ghp_", "AKIA", "xoxb-"]) + _letters(rng, int(rng.integers(16, 36)), MIXED)])
     if value[-1] in HEX and rng.integers(0, 8) == 0:
         value = value.upper()
     return f"{name}{pick([' = ', '=', ': ', ':', ' is '])}{quote}", value, quote
@@ -163,7 +165,8 @@ def labelled_windows(rows: int, seed: int) -> tuple[np.ndarray, np.ndarray, list
             else:
                 s = _public(rng) if kind < 9 else _word(rng)
                 if rng.integers(0, 15) == 0:
-                    s = [" ", ". ", ".\n", ", "][rng.integers(0, 4)].join([s] * int(rng.integers(2, 30)))
+                    s = s if rng.integers(0, 3) else ["at", "dot", "to", "At"][rng.integers(0, 4)]
+                    s = [" ", " ", ". ", ".\n", ", "][rng.integers(0, 5)].join([s] * int(rng.integers(2, 30)))
                 mine = [0] * len(s)
             gap = marks + (" " if rng.integers(0, 6) else [". ", ". ", ", ", ", ", "\n", ": ", "; ", " - ", " | ", ".\n"][rng.integers(0, 10)])
             piece = before + s + after + gap
@@ -330,12 +333,12 @@ def loss_and_gradient(p: dict, codes: np.ndarray, tags: np.ndarray) -> tuple[flo
 
 
 @cache
-def trained(steps: int = 700, batch: int = 128, seed: int = 11) -> dict[str, np.ndarray]:
+def trained(steps: int = 500, batch: int = 128, seed: int = 11, windows: int = 7000) -> dict[str, np.ndarray]:
     """Weights after Adam on generated windows; the same on every machine up to rounding."""
     p = initial(seed)
     m = {k: np.zeros_like(v) for k, v in p.items()}
     v2 = {k: np.zeros_like(v) for k, v in p.items()}
-    xs, ys, _ = labelled_windows(12000, seed)
+    xs, ys, _ = labelled_windows(windows, seed)
     rng = np.random.default_rng(seed)
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(xs), batch)
@@ -449,12 +452,12 @@ def scores(p: dict, codes: list[np.ndarray]) -> list[np.ndarray]:
     return [o[MARGIN:-MARGIN] for o in out]
 
 
-def tag_texts(p: dict, texts: list[str], least: float = LEAST_ODDS) -> list[list[tuple[int, int, int]]]:
+def tag_texts(p: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """Spans (kind, start, end) of whole texts.
 
     One best path is decoded through each text; what is surely outside parts
     it into stretches that do not depend on each other.  A span stays when its
-    tags beat being outside by ``least`` in log odds, and by EACH_ODDS for
+    tags beat being outside by LEAST_ODDS of its kind, and by EACH_ODDS for
     each of its characters.
     """
     index, pieces = [], []
@@ -469,6 +472,6 @@ def tag_texts(p: dict, texts: list[str], least: float = LEAST_ODDS) -> list[list
         for kind, x, y in spans_of(tags):
             own = tags[x:y]
             odds = (e[np.arange(x, y), own] - e[x:y, 0]).sum() + t[0, own[0]] + t[own[:-1], own[1:]].sum() + t[own[-1], 0] - t[0, 0] * (y - x + 1)
-            if odds >= least and odds >= EACH_ODDS * (y - x):
+            if odds >= max(LEAST_ODDS[kind], EACH_ODDS[kind] * (y - x)):
                 out[r].append((kind, a + x, a + y))
     return out
