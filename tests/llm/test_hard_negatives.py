@@ -80,7 +80,7 @@ def test_large_components_are_exact_or_an_error(spark):
     rows = [(0, [big, 1.0], 1), (1, [big, 0.5], 1), (2, [big * 0.75, 0.25], 2), (3, [big * 0.5, 1.0], 3)]
     assert run(spark, rows) == model(rows) != []
     with pytest.raises(Exception, match="beyond 64 bits"):
-        run(spark, [(0, [1e30], 1), (1, [1e30], 1)])
+        run(spark, [(0, [1e30], 0), (1, [1e30], 1)])
 
 
 def test_few_pairs_are_scored(spark, monkeypatch):

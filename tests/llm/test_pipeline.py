@@ -14,7 +14,7 @@ def duck():
     if not os.path.isdir(SF):
         pytest.skip("no test tables")
     c = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "embeddings"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return c
 
