@@ -22,9 +22,9 @@ from contactloom.session import ship_package
 
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """``d``, the whole row; ``i``, its id; ``h``, a hash of its text; and ``more`` columns that a stage reads."""
+    """``d``, the whole row; ``i``, its id; ``h``, 128 bits of its text's hash; and ``more`` columns that a stage reads."""
     row = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d"))
-    return row.select("d", F.col("d.doc_id").alias("i"), F.xxhash64(F.coalesce("d.text", F.lit(""))).alias("h"), *[F.col(f"d.{c}").alias(c) for c in more])
+    return row.select("d", F.col("d.doc_id").alias("i"), F.md5(F.coalesce("d.text", F.lit("")).cast("binary")).alias("h"), *[F.col(f"d.{c}").alias(c) for c in more])
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
@@ -69,17 +69,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the row with the least id, null ids last; of rows that repeat id and text one.
 
-    Groups are found by text, whatever its ids; texts without words, null ones
-    too, are in no group and stay.
+    Rows are numbered, so that a group is found by its rows, whatever their
+    ids; texts without words, null ones too, are in no group and stay.  Texts
+    may have any length.
     """
     ship_package(spark)
-    rows = _keyed(docs, "text")
-    group = near_duplicates(rows, "h").select(F.col("h").alias("g"), "component_id", "n_shingles").distinct()
-    grouped = stage(rows.select("i", "h").join(group, F.col("h") == F.col("g")).select("i", "h", "component_id", "n_shingles"), "groups")
-    least = F.min(F.struct(F.col("i").isNull().alias("none"), "i", "h")).alias("best")
-    best = grouped.where("n_shingles > 0").groupBy("component_id").agg(least).select("best.i", "best.h")
-    wordless = grouped.where("n_shingles = 0").select("i", "h")
-    return _staying(rows, best, once=True).unionByName(_staying(rows, wordless))
+    numbered = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d")).withColumn("r", F.monotonically_increasing_id())
+    rows = stage(numbered, "numbered")
+    group = near_duplicates(rows.select("r", F.col("d.text").alias("text")), "r")
+    named = group.where("n_shingles > 0").join(rows.select("r", F.col("d.doc_id").alias("i")), "r")
+    best = named.groupBy("component_id").agg(F.min(F.struct(F.col("i").isNull().alias("none"), "i", "r")).alias("best")).select("best.r")
+    stays = best.unionByName(group.where("n_shingles = 0").select("r"))
+    return rows.join(stays, "r", "left_semi").select("d.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
