@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactloom import fixtures as fx
 from contactloom.functions.text import resolve_motif, right_trim
 from contactloom.operators import contact_map as cm
-from contactloom.operators import graph, mismatch, pairs, sites, split
+from contactloom.operators import graph, mismatch, pairs, quadtree, sites, split
 from contactloom.session import stage
 from contactloom.sources import bam, edges, readers, sinks
 
@@ -191,6 +191,12 @@ def kmeans_groups(spark, d):
     return graph.kmeans_groups(fx.coordinates(spark, d), 10)[0]
 
 
+def layout_cells(spark, d):
+    """The tree of cells that a round of the layout goes by, over the coordinates."""
+    nodes = fx.coordinates(spark, d).withColumn("mass", F.lit(1.0))
+    return quadtree.tree_cells(quadtree.places(nodes, quadtree.square(nodes)[0]), quadtree.LEAF).select("level", "cx", "cy", "n")
+
+
 def force_layout(spark, d):
     # the stop rule ends it; the bound is for safety only
     return graph.force_layout(*_graph(spark, d), max_iter=10_000)
@@ -304,7 +310,9 @@ def reduced_files(spark, d):
     sinks.write_table(reduced_alignments(spark, d), path, order_by=["aln_id"])
     rows = spark.read.parquet(path).select("aln_id", "read_name", F.col("_metadata.file_name").alias("file"))
     ranges = rows.groupBy("file").agg(F.min("aln_id").alias("least"), F.max("aln_id").alias("most"))
-    overlaps = ranges.alias("a").join(ranges.alias("b"), F.expr("a.file < b.file and a.most >= b.least")).agg(F.count(F.lit(1)).alias("n_overlaps"))
+    # the names of part files are in the order of their partitions, one row per file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    overlaps = ranges.withColumn("upto", F.max("most").over(before)).agg(F.count_if(F.col("upto") >= F.col("least")).alias("n_overlaps"))
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("aln_id").alias("sum_ids"), F.min("aln_id").alias("first_id"), F.max("aln_id").alias("last_id")).join(F.broadcast(overlaps))
 
 
@@ -316,7 +324,7 @@ def queries() -> dict[str, Query]:
             near_site_alignments, mate_pairs, edge_counts, reduced_alignments, filter_summary,
             intra_contacts, contact_map, contact_map_narrow, saturation_level, depletion_score, score_track, score_track_narrow,
             wide_mismatches, narrow_mismatches, corrected_pieces,
-            weighted_edges, assign_nearest, group_contents, group_sizes, pajek_lines, kmeans_groups, force_layout,
+            weighted_edges, assign_nearest, group_contents, group_sizes, pajek_lines, kmeans_groups, layout_cells, force_layout,
             enzyme_sites, fasta_files, chunk_sites, chunk_pieces, sam_files, bam_files, bam_region, edge_files, node_files, coordinate_files, group_files, reduced_files,
         )
     }
@@ -346,7 +354,8 @@ firsts as (select *, first_value(aln_id) over w as fa, first_value(ref_id) over
 pairs as materialized (select read_name, fa as aln_id_a, min(aln_id) as aln_id_b, fn as node_a, arg_min(node_id, aln_id) as node_b from firsts
           where aln_id > fa and fr = next_ref_id and fnr = ref_id and fp = next_pos and fnp = pos group by read_name, fa, fn),
 edges as (select least(node_a, node_b) as src, greatest(node_a, node_b) as dst, count(*) as contacts from pairs group by all),
-reduced as (select * from aln where aln_id in (select aln_id_a from pairs union select aln_id_b from pairs)),
+paired as materialized (select unnest([aln_id_a, aln_id_b]) as aln_id from pairs),
+reduced as materialized (select aln.* from aln join paired using (aln_id)),
 weighted as (select src, dst, contacts / ((a.site_count + b.site_count) / 2.0) as weight from edges join nodes a on a.node_id = src join nodes b on b.node_id = dst)
 """
 
@@ -408,6 +417,25 @@ members as (select group_id, node_id from dist qualify row_number() over (partit
 """
 
 
+def _kmeans(k: int = 10, seed: int = 806) -> str:
+    """First centres and rounds of k-means as steps over lists of centres."""
+    return f"""
+points as (select vec_id as node_id, cast(floor(cast(embedding[1] as double) * {graph.UNITS}) as bigint) as x, cast(floor(cast(embedding[2] as double) * {graph.UNITS}) as bigint) as y from embeddings),
+drawn as (select *, md5('{seed}:' || node_id) as h from points order by h, node_id limit {graph.CANDIDATES * k}),
+candidates as (select list({{'id': node_id, 'x': x, 'y': y}} order by h, node_id) as s from drawn),
+firsts as (select list_reduce(list_prepend(s[1:1], list_transform(range(1, {k}), lambda i: s[1:0])), lambda c, z: list_concat(c, list_transform(
+    list_sort(list_transform(s, lambda p: {{'far': -list_min(list_transform(c, lambda q: (p.x - q.x)::double * (p.x - q.x)::double + (p.y - q.y)::double * (p.y - q.y)::double)), 'p': p}}))[1:1], lambda b: b.p))) as c from candidates),
+rounds as (select 0 as i, list_transform(c, lambda q: {{'x': q.x, 'y': q.y}}) as c, false as still from firsts
+  union all
+  select i + 1, list_transform(range(len(c)), lambda g: coalesce(list_filter(m, lambda e: e.g = g)[1].c, c[g + 1])), list_transform(range(len(c)), lambda g: coalesce(list_filter(m, lambda e: e.g = g)[1].c, c[g + 1])) = c from (
+    select i, c, list({{'g': g, 'c': {{'x': cx, 'y': cy}}}}) as m from (
+      select i, c, g, ((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*))::bigint as cx, ((sum(y) - (sum(y) % count(*) + count(*)) % count(*)) // count(*))::bigint as cy from (
+        select i, c, x, y, list_sort(list_transform(range(len(c)), lambda g: {{'d2': (x - c[g + 1].x)::double * (x - c[g + 1].x)::double + (y - c[g + 1].y)::double * (y - c[g + 1].y)::double, 'g': g}}))[1].g as g
+        from rounds, points where not still and i < 100) near group by i, c, g) sums group by i, c) maps),
+last as (select c from rounds order by i desc limit 1)
+select cast(list_sort(list_transform(range(len(c)), lambda g: {{'d2': (x - c[g + 1].x)::double * (x - c[g + 1].x)::double + (y - c[g + 1].y)::double * (y - c[g + 1].y)::double, 'g': g}}))[1].g as int) as group_id, node_id from points, last"""
+
+
 def oracle_sql() -> dict[str, str]:
     def of(ctes: str, select: str) -> str:
         return f"with {ctes.strip()}\n{select}"
@@ -453,6 +481,12 @@ union all select 3, row_number() over (order by src, dst) - 1, (dst + 1) || ' '
         | {"drop_secondary": raw.format("flag & 256 = 0"), "filter_mapq": raw.format("mapq >= 40")}
         | {k: of(_CORRECT, v) for k, v in second.items()}
         | {
+            "kmeans_groups": "with recursive" + _kmeans(),
+            "layout_cells": of(_GROUPS, f"""
+, box as (select min(x) as x0, min(y) as y0, greatest(max(x) - min(x), max(y) - min(y), 1e-6::double) as side from coords),
+placed as (select least(floor((x - x0) / side * {1 << quadtree.DEPTH}::double)::bigint, {(1 << quadtree.DEPTH) - 1}) as px, least(floor((y - y0) / side * {1 << quadtree.DEPTH}::double)::bigint, {(1 << quadtree.DEPTH) - 1}) as py from coords, box),
+cells as (select l::int as level, px // (1 << ({quadtree.DEPTH} - l))::bigint as cx, py // (1 << ({quadtree.DEPTH} - l))::bigint as cy, count(*) as n from placed, range({quadtree.DEPTH + 1}) t(l) group by all)
+select * from cells c where level = 0 or exists (select 1 from cells a where a.level = c.level - 1 and a.cx = c.cx // 2 and a.cy = c.cy // 2 and a.n > {quadtree.LEAF})""".strip()),
             "assign_nearest": of(_GROUPS, "select * from members"),
             "group_sizes": of(_GROUPS, "select group_id, count(*) as n_contigs from members group by group_id"),
             "sam_files": raw.format("true"),

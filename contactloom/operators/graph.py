@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import logging
+import math
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from contactloom.operators.quadtree import quadtree, repulsion
 from contactloom.session import stage
 
 log = logging.getLogger(__name__)
 
-#: Cells per side of the grid that stands for far nodes.
-CELLS = 24
-#: Strength of the repulsion and of the pull to the middle.
-REPULSION, GRAVITY = 10.0, 0.5
+#: Strength of the pull to the middle.
+GRAVITY = 0.5
 
 
 def weight_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -36,15 +34,52 @@ def assign_nearest(coords: DataFrame, centers: DataFrame) -> DataFrame:
     return coords.join(F.broadcast(listed)).select(near["group_id"].cast("int").alias("group_id"), "node_id")
 
 
-def kmeans_groups(coords: DataFrame, k: int, seed: int = 806) -> tuple[DataFrame, DataFrame]:
-    """Group members (group_id, node_id) and centres (group_id, x, y)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+#: Units of a coordinate in the sums of k-means, and candidates for first centres per group.
+UNITS, CANDIDATES = 1_000_000, 64
 
-    rows = VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(coords)
-    model = KMeans(k=k, seed=seed, featuresCol="v", predictionCol="group_id").fit(rows)
-    centers = coords.sparkSession.createDataFrame([(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())], "group_id int, x double, y double")
-    return model.transform(rows).select("group_id", "node_id"), centers
+
+def _first_centers(points: DataFrame, k: int, seed: int) -> list[tuple[int, int]]:
+    """Of the candidates of least hash the first, then always the one farthest from those chosen."""
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("node_id").cast("string")).cast("binary"))
+    rows = points.orderBy(drawn, "node_id").limit(CANDIDATES * k).collect()
+    chosen: list[tuple[int, int]] = []
+    least = [math.inf] * len(rows)
+    while rows and len(chosen) < k:
+        at = 0 if not chosen else min(range(len(rows)), key=lambda i: (-least[i], rows[i]["node_id"]))
+        if chosen and least[at] == 0:
+            break
+        cx, cy = rows[at]["x"], rows[at]["y"]
+        chosen.append((cx, cy))
+        least = [min(d, float(r["x"] - cx) ** 2 + float(r["y"] - cy) ** 2) for d, r in zip(least, rows, strict=True)]
+    return chosen
+
+
+def kmeans_groups(coords: DataFrame, k: int, seed: int = 806, max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Group members (group_id, node_id) and centres (group_id, x, y).
+
+    Lloyd's rounds until no centre moves.  Coordinates are whole millionths,
+    so that sums do not depend on the order of rows and every run gives the
+    same groups.  Centres start from a bounded sample of nodes that a hash
+    draws, each the farthest from those before it; they are fewer than ``k``
+    where nodes lie at fewer places.  Only the centres, k rows, reach the driver
+    and all tasks.
+    """
+    spark = coords.sparkSession
+    unit = lambda c: F.floor(F.col(c) * UNITS).cast("bigint").alias(c)
+    points = stage(coords.select("node_id", unit("x"), unit("y")), "points")
+    centers = _first_centers(points, k, seed)
+    nearest = None
+    for _ in range(max_iter if centers else 0):
+        far = lambda c, at: (F.col(c) - F.lit(at)).cast("double") * (F.col(c) - F.lit(at)).cast("double")
+        nearest = F.array_min(F.array(*[F.struct((far("x", cx) + far("y", cy)).alias("d2"), F.lit(g).alias("g")) for g, (cx, cy) in enumerate(centers)]))["g"]
+        whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).alias(c)
+        sums = points.groupBy(nearest.alias("g")).agg(whole("x"), whole("y"), F.count(F.lit(1)).alias("n")).collect()
+        moved = dict(enumerate(centers)) | {r["g"]: (int(r["x"]) // r["n"], int(r["y"]) // r["n"]) for r in sums}
+        if list(moved.values()) == centers:
+            break
+        centers = list(moved.values())
+    found = spark.createDataFrame([(g, cx / UNITS, cy / UNITS) for g, (cx, cy) in enumerate(centers)], "group_id int, x double, y double")
+    return points.select((F.lit(None) if nearest is None else nearest).cast("int").alias("group_id"), "node_id"), found
 
 
 def group_contents(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -60,59 +95,47 @@ def _start(node, seed: int):
     return unit(1), unit(2)
 
 
-def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, change_per_node: float = 2.0, max_iter: int = 1000) -> DataFrame:
+def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, change_per_node: float = 2.0, max_iter: int = 1000, start: DataFrame | None = None) -> DataFrame:
     """A force-directed layout in the plane: node_id, x, y.
 
     Edges attract by weight times distance, nodes repel by the product of their
     masses (degree plus one) over the distance, and gravity draws each to the
-    middle by its mass times the distance.  For the repulsion the nodes are
-    summed up in a grid of CELLS x CELLS cells, the only thing that reaches all
-    tasks.  The speed follows the published rule: the graph's is the ratio of
-    traction (forces that go on) to swing (forces that turn), growing by half a
-    round at most, and a node that swings is slower.  The layout ends when a
-    node moves less than ``change_per_node`` on average.  The log says after
-    how many rounds, and warns where ``max_iter`` ended it before.  The forces
-    of every round are written to the shared folder, so its lineage is one file
-    scan.
+    middle by its mass times the distance.  The repulsion comes from a tree of
+    cells (``quadtree``).  The speed follows the published rule: the graph's is
+    the ratio of traction (forces that go on) to swing (forces that turn),
+    growing by half a round at most, and a node that swings is slower.  The
+    layout ends when a node moves less than ``change_per_node`` on average.
+    The log says after how many rounds, and warns where ``max_iter`` ended it
+    before.  The forces of every round are written to the shared folder, so its
+    lineage is one file scan.  ``start`` (node_id, x, y) are places to go on
+    from; nodes without one begin where a hash puts them.
     """
     links = weighted_edges.where("src <> dst")
     ends = links.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b"), "weight"), F.struct(F.col("dst").alias("a"), F.col("src").alias("b"), "weight"))).alias("e")).select("e.a", "e.b", "e.weight")
     ends = stage(ends, "ends")
     degree = ends.groupBy(F.col("a").alias("node_id")).agg(F.count(F.lit(1)).alias("degree"))
     x, y = _start(F.col("node_id"), seed)
-    state = nodes.select("node_id").distinct().join(degree, "node_id", "left")
-    state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), x.alias("x"), y.alias("y"), F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy")), "layout")
-    forced = StructType(state.schema.fields + StructType.fromDDL("gx double, gy double").fields)
-    box, speed, moved = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first(), 1.0, None
+    state = nodes.select("node_id").distinct().join(degree, "node_id", "left").withColumns({"x": x, "y": y})
+    if start is not None:
+        earlier = start.select("node_id", F.col("x").alias("x0"), F.col("y").alias("y0"))
+        state = state.join(earlier, "node_id", "left").withColumns({"x": F.coalesce("x0", "x"), "y": F.coalesce("y0", "y")})
+    state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), "x", "y", F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy")), "layout")
+    speed, moved = 1.0, None
     for k in range(max_iter):
-        if box[0] is None:
+        tree = quadtree(state)
+        if tree is None:
             return state.select("node_id", "x", "y")
-        w, h = (box[1] - box[0]) / CELLS + 1e-9, (box[3] - box[2]) / CELLS + 1e-9
-        cell = [F.least(F.floor((F.col("x") - box[0]) / w), F.lit(CELLS - 1)), F.least(F.floor((F.col("y") - box[2]) / h), F.lit(CELLS - 1))]
-        sums = state.groupBy(cell[0].alias("cx"), cell[1].alias("cy")).agg(F.sum("mass").alias("m"), F.sum(F.col("mass") * F.col("x")).alias("mx"), F.sum(F.col("mass") * F.col("y")).alias("my"))
-        far = sums.select("m", F.expr("mx / m").alias("x"), F.expr("my / m").alias("y")).toPandas().to_numpy()
         other = state.select(F.col("node_id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
         pull = ends.join(other, "b").groupBy(F.col("a").alias("node_id")).agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("bx")).alias("wx"), F.sum(F.col("weight") * F.col("by")).alias("wy"))
-        joined = state.join(pull, "node_id", "left").select("node_id", "mass", "x", "y", "fx", "fy", F.coalesce(F.col("wx") - F.col("w") * F.col("x"), F.lit(0.0)).alias("px"), F.coalesce(F.col("wy") - F.col("w") * F.col("y"), F.lit(0.0)).alias("py"))
-
-        def forces(batches, far=far):
-            for b in batches:
-                x, y, mass = b["x"].to_numpy(), b["y"].to_numpy(), b["mass"].to_numpy()
-                fx, fy = (b[p].to_numpy() - GRAVITY * mass * at for p, at in (("px", x), ("py", y)))
-                for m, cx, cy in far:
-                    # a node's own cell holds the node; close by, the push is limited
-                    dx, dy = x - cx, y - cy
-                    push = REPULSION * m * mass / (dx * dx + dy * dy + 1.0)
-                    fx, fy = fx + push * dx, fy + push * dy
-                yield pd.DataFrame({"node_id": b["node_id"], "mass": mass, "x": x, "y": y, "fx": fx, "fy": fy, "gx": b["fx"], "gy": b["fy"]})
-
-        new = stage(joined.mapInPandas(forces, forced), "layout")
+        pushed = repulsion(state, tree).join(pull, "node_id", "left")
+        force = lambda c: F.coalesce(F.col(f"w{c}") - F.col("w") * F.col(c), F.lit(0.0)) - F.lit(GRAVITY) * F.col("mass") * F.col(c) + F.col(f"r{c}")
+        new = stage(pushed.select("node_id", "mass", "x", "y", force("x").alias("fx"), force("y").alias("fy"), F.col("fx").alias("gx"), F.col("fy").alias("gy")), "layout")
         swing, traction = F.hypot(F.col("fx") - F.col("gx"), F.col("fy") - F.col("gy")), F.hypot(F.col("fx") + F.col("gx"), F.col("fy") + F.col("gy")) / 2
         total = new.agg(F.sum(F.col("mass") * swing), F.sum(F.col("mass") * traction)).first()
         speed = min(total[1] / max(total[0], 1e-9), 1.5 * speed if k else 1.0)
         step = F.lit(speed) / (1 + F.sqrt(F.lit(speed) * swing))
         state = new.select("node_id", "mass", (F.col("x") + F.col("fx") * step).alias("x"), (F.col("y") + F.col("fy") * step).alias("y"), "fx", "fy", (F.hypot("fx", "fy") * step).alias("moved"))
-        *box, moved = state.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.avg("moved")).first()
+        moved = state.agg(F.avg("moved")).first()[0]
         state = state.drop("moved")
         # the first round only has forces, none to compare them with
         if k and moved < change_per_node:
