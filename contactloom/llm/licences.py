@@ -49,16 +49,28 @@ LONGER = {
         "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
     ],
     "BSD": [_BSD_2 + _AS_IS, _BSD_3 + _AS_IS],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0 - August 17th, 2003"],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "This work is released under CC0 1.0 Universal, Public Domain Dedication"],
     "GPL-1.0": ["This work is licensed under the GNU General Public License, version 1."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GPL.format("program", ";", "", ";", 2), "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
     "GPL-3.0": [_GPL.format("program", ":", "", ",", 3), "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
     "ISC": [TEMPLATES["ISC"][0] + ", provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
     "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", _GPL.format("library", ";", "Lesser ", ";", "2.1"), "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GPL.format("program", ":", "Lesser ", ",", 3), "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
-    "MIT": [TEMPLATES["MIT"][2] + " (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "MIT": ["The MIT License (MIT)", TEMPLATES["MIT"][2] + " (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
     "MPL-1.1": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1."],
     "MPL-2.0": [TEMPLATES["MPL-2.0"][0] + " If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
 } | {f"CC-{k}-{v}": [f"This work is licensed under a Creative Commons {name} {v} {kind} License.", f"Licensed under CC {k} {v}."] for k, name in _CC.items() for v, kind in (("3.0", "Unported"), ("4.0", "International"))}
+#: Identifiers of a family that differ from its name.
+IDENTIFIERS = {"BSD": ("BSD-2-Clause", "BSD-3-Clause")}
+
+def every_template() -> dict[str, list[str]]:
+    """All notices of each family, with the tag line of its identifiers."""
+    names = sorted({*TEMPLATES, *LONGER})
+    return {k: TEMPLATES.get(k, []) + LONGER.get(k, []) + [f"SPDX-License-Identifier: {x}" for x in IDENTIFIERS.get(k, (k,))] for k in names}
+
+
 NOT_WORD = "[^\\p{L}\\p{N}\\n]+"
 
 
@@ -205,16 +217,17 @@ def licence_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     like others, an empty table gives none, and only the two named columns are
     read.
     """
-    if templates is None:
-        templates = {k: TEMPLATES.get(k, []) + LONGER.get(k, []) for k in {*TEMPLATES, *LONGER}}
-    table = _table(templates, threshold)
+    table = _table(templates or every_template(), threshold)
     pairs = sorted({x for _, b, _ in table for x in b})
+    firsts, seconds = (sorted({x.split()[k] for x in pairs}) for k in (0, 1))
     rows = _rows(table, threshold)
     split = lambda x: F.array_remove(F.split(x, " "), "")
     empty = F.array().cast("array<struct<line:bigint,licence:string,permille:bigint>>")
 
     def pair_hits(w: Column) -> Column:
-        found = F.transform(w, lambda x, k: _let(F.concat(x, F.lit(" "), F.get(w, k + 1)), lambda g: F.when(g.isin(pairs), F.struct(k.alias("p"), g.alias("b")))))
+        # most words begin no pair, so that few pairs are put together
+        paired = lambda x, k: _let(F.concat(x, F.lit(" "), F.get(w, k + 1)), lambda g: F.when(g.isin(pairs), F.struct(k.alias("p"), g.alias("b"))))
+        found = F.transform(w, lambda x, k: F.when(x.isin(firsts) & F.get(w, k + 1).isin(seconds), paired(x, k)))
         return F.filter(found, lambda x: x.isNotNull())
 
     def parted(c: Column) -> Column:

@@ -1,10 +1,11 @@
+import math
 import random
 import re
 import textwrap
 
 import pytest
 
-from contactloom.llm.licences import LONGER, TEMPLATES, bigrams_of, licence_lines, licence_notices
+from contactloom.llm.licences import LONGER, TEMPLATES, bigrams_of, every_template, licence_lines, licence_notices
 
 
 def model(text, threshold=0.8):
@@ -74,3 +75,79 @@ def test_notices_keep_all_lines_and_their_places(documents, edge_pairs):
     assert got[100] == [(2, "MIT", 1000), (at, "CC-BY-4.0", 1000), (at, "CC-BY-NC-4.0", 1000)]
     assert got[101] == [(k, "MIT", 1000) for k in range(40)]
     assert all(not got[i] for i, _ in pairs if i not in (100, 101))
+
+
+def window_model(text, templates, threshold=0.8):
+    """Every window between two word pairs of a template, then the best of those that touch."""
+    words, line_of = [], []
+    for k, line in enumerate((text or "").lower().split("\n")):
+        found = [w for w in re.split(r"[\W_]+", line) if w]
+        words += found
+        line_of += [k] * len(found)
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+    ratio, windows, looked = threshold / (2 - threshold), [], False
+    for name, ts in templates.items():
+        for t in dict.fromkeys(ts):
+            b = bigrams_of(t)
+            own, size = set(b), len(b)
+            if len(own & set(pairs)) < math.ceil(ratio * size - 1e-9):
+                continue
+            looked = True
+            reach = math.floor(size / ratio + 1e-9) + len([w for w in re.split(r"[\W_]+", t.lower()) if w]) - 1 - size
+            at = [p for p, x in enumerate(pairs) if x in own]
+            for p in at:
+                best = (0, 0, 0)
+                for e in at:
+                    if p <= e < p + reach:
+                        inside = [x for x in pairs[p : e + 1] if x in own]
+                        shared = len(set(inside))
+                        m = 2000 * shared // (max(e - p + 1 - (len(inside) - shared), size) + size)
+                        best = max(best, (m, shared, -e))
+                if best[0] >= 1000 * threshold and len([x for x in at if p <= x < p + reach]) >= math.ceil(ratio * size - 1e-9):
+                    windows.append((-best[1], -best[0], name, p, -best[2]))
+    chosen = []
+    for w in sorted(windows):
+        if not any(w[3] <= c[4] + 1 and c[3] <= w[4] + 1 for c in chosen):
+            chosen.append(w)
+    spans = [(line_of[c[3]], c[2], -c[1], line_of[c[4] + 1]) for c in chosen]
+    lines = []
+    if looked:
+        for k, line in enumerate((text or "").lower().split("\n")):
+            a, best = set(bigrams_of(line)), None
+            for name, ts in sorted(templates.items()):
+                for t in ts:
+                    b = set(bigrams_of(t))
+                    s = 2000 * len(a & b) // (len(a) + len(b))
+                    if a and s >= 1000 * threshold and (best is None or s > best[1]):
+                        best = (name, s)
+            if best and not any(x[0] <= k <= x[3] for x in spans):
+                lines.append((k, *best))
+    return sorted([s[:3] for s in spans] + lines)
+
+
+def test_windows_against_every_window(documents):
+    """Notices with words changed, left out, repeated and wrapped, in other words, one after another."""
+    rnd = random.Random(21)
+    templates = every_template()
+    short = [t for ts in templates.values() for t in ts if len(t.split()) < 45]
+    texts = []
+    for _ in range(120):
+        words = []
+        for _ in range(rnd.randrange(1, 5)):
+            w = rnd.choice(short).split()
+            for _ in range(rnd.randrange(0, 5)):
+                k = rnd.randrange(len(w))
+                w[k : k + rnd.randrange(0, 2)] = rnd.choice([["foo"], [], [w[k], w[k]], ["the", "license"]]) or ["x"]
+            words += w + rnd.choices("some other words of a text the License under".split(), k=rnd.randrange(0, 9))
+        texts.append("".join(w + rnd.choice((" ", " ", " ", "\n")) for w in words))
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in licence_notices(documents(list(enumerate(texts)))).collect()}
+    want = {k: window_model(t, templates) for k, t in enumerate(texts)}
+    assert got == want
+    assert sum(map(len, want.values())) > 120
+
+
+def test_identifiers_and_public_domain(documents):
+    cases = [(k, f"// SPDX-License-Identifier: {x}\nint main") for k, x in (("MIT", "MIT"), ("ISC", "ISC"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-3.0", "GPL-3.0-or-later"), ("LGPL-2.1", "LGPL-2.1"), ("BSD", "BSD-3-Clause"), ("Apache-2.0", "Apache-2.0"), ("CC0-1.0", "CC0-1.0"), ("Unlicense", "Unlicense"), ("BSL-1.0", "BSL-1.0"), ("MPL-2.0", "MPL-2.0"), ("CC-BY-NC-SA-4.0", "CC-BY-NC-SA-4.0"))]
+    cases += [("MIT", "The MIT License (MIT)"), ("CC0-1.0", textwrap.fill(LONGER["CC0-1.0"][0], 40)), ("Unlicense", textwrap.fill(LONGER["Unlicense"][1], 70)), ("BSL-1.0", "x Distributed under the Boost Software License, Version 1.0. y")]
+    got = {r["doc_id"]: {m["licence"] for m in r["matches"]} for r in licence_notices(documents([(k, t) for k, (_, t) in enumerate(cases)])).collect()}
+    assert got == {k: {name} for k, (name, _) in enumerate(cases)}
