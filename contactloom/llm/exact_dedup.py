@@ -8,13 +8,15 @@ others are compared chunk by chunk while their sorted partition streams by.
 
 Plan: one scan for fingerprints (small rows are written), one aggregation, a
 second scan that ships only the texts whose fingerprint occurs more than once
-(a Bloom filter of fixed size keeps the others out of the shuffle).  Hot
-fingerprints are salted; each salted task leaves one text per distinct content
-for a second comparison.
+(a Bloom filter of fixed size keeps the others out of the shuffle).  Rows of
+hot fingerprints are salted by their place, whatever their ids, into as many
+parts as the largest group's root; each part leaves one text per distinct
+content for a second comparison.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,8 +32,6 @@ BASES = (1103515249, 1540483483)
 CHUNK = 1 << 15
 #: Copies of one fingerprint that one task compares; larger groups are salted.
 GROUP_ROWS = 1000
-#: Parts into which such a group is cut.
-SALTS = 256
 
 
 @cache
@@ -173,9 +173,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     repeated = spark.sparkContext.broadcast(Bloom.build(twice, "h1", "h2", bloom_bits))
     large = spark.sparkContext.broadcast(Bloom.build(twice.where(F.col("cnt") > GROUP_ROWS), "h1", "h2", bloom_bits))
-    # a salt spreads the copies of a hot key, equal ids stay together
+    # a salt spreads the copies of a hot key; parts are as many as the rows of one
     key = [*fp, "salt"]
-    salted = src.withColumn("salt", F.pmod(F.xxhash64("i"), F.lit(SALTS)).cast("int"))
+    salts = math.isqrt(twice.agg(F.coalesce(F.max("cnt"), F.lit(1))).first()[0] - 1) + 1
+    salted = src.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
     texts = salted.mapInArrow(_candidates(repeated, large), f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean")
     ordered = texts.repartition(*key).sortWithinPartitions(*key, "i")
     members = stage(ordered.mapInArrow(_classes, f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean, c int, again boolean"), "members")
@@ -189,7 +190,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(*fp, F.col("s0").alias("salt"), F.col("c0").alias("c"), F.col("c").alias("class"))
     )
     local = local.join(across, [*key, "c"], "left").withColumn("class", F.coalesce("class", "c"))
-    total = local.groupBy(*fp, "class").agg(F.sum("g").alias("g"), F.max("k").alias("k"))
-    group = local.select(*key, "c", "class").join(total, [*fp, "class"]).select(*key, "c", "g", "k")
-    many = members.drop("t").join(group, [*key, "c"]).select("i", *xs, "k", "g", (F.col("i").eqNullSafe(F.col("k")) & ~F.col("again")).alias("s"))
+    # of the parts that hold the largest id the first keeps it
+    total = local.groupBy(*fp, "class").agg(F.sum("g").alias("g"), F.max(F.struct("k", (-F.col("salt")).alias("s"))).alias("best"))
+    group = local.select(*key, "c", "class").join(total, [*fp, "class"]).select(*key, "c", "g", F.col("best.k").alias("k"), (F.col("salt") == -F.col("best.s")).alias("first"))
+    many = members.drop("t").join(group, [*key, "c"]).select("i", *xs, "k", "g", (F.col("i").eqNullSafe(F.col("k")) & F.col("first") & ~F.col("again")).alias("s"))
     return single.unionByName(many).select(F.col("i").alias(id_col), *[F.col(x).alias(n) for x, n in carried], F.col("k").alias("keep_id"), F.col("g").alias("group_size"), F.col("s").alias("kept"))

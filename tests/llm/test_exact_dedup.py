@@ -35,7 +35,9 @@ def test_against_grouping(documents, edge_pairs, monkeypatch, group_rows):
     """With a small bound the salted comparison of hot groups is used."""
     monkeypatch.setattr(ed, "GROUP_ROWS", group_rows)
     rnd = random.Random(1)
-    pairs = edge_pairs + [(100 + k, f"text number {rnd.randrange(60)} " * rnd.randrange(3)) for k in range(400)] + [(1000 + k, "hot") for k in range(200)]
+    pairs = edge_pairs + [(100 + k, f"text number {rnd.randrange(60)} " * rnd.randrange(3)) for k in range(400)] + [(1000 + k, "hot") for k in range(200)] + [(None, "hot")] * 40
+    # ids that all are null, and one id that rows repeat
+    pairs += [(None, "no id")] * 90 + [(7000, "one id")] * 90 + [(k % 3 or None, "few ids") for k in range(90)]
     assert result(documents(pairs, clash=True)) == model(pairs)
 
 
