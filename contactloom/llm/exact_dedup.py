@@ -158,8 +158,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Returns one row per input row: ``id_col``, the ``carry`` columns,
     ``keep_id``, ``group_size``, ``kept``.  A null text counts as empty.  Of
     rows that repeat both the id and the text one stays.  Null ids lose against
-    any other id; a group of null ids keeps one of them.  Only the named
-    columns are read, so other columns may have any name.
+    any other id; a group of null ids keeps one of them.  A huge text is hashed
+    and compared a few chunks at a time.  An empty table gives none.  Only the
+    named columns are read, so other columns may have any name.
     """
     spark = docs.sparkSession
     carried = [(f"x{k}", name) for k, name in enumerate(carry)]

@@ -282,9 +282,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     5-word shingles; a component's id is its least document id.  Texts without
     words, null ones too, are linked with nothing.  Full sets are compared by
     64-bit hashes of their shingles.  Ids are integers; rows that share an id
-    must share the text (the pipeline's stage gives a hash of the text as id),
-    repeated rows are kept alike.  A null id is its own component.  An empty
-    table gives none.  Only the two named columns are read.
+    must share the text (the pipeline's stage numbers its rows), repeated rows
+    are kept alike.  A null id is its own component.  An empty table gives none.
+    Of a text of any length all shingles are read.  Only the two named columns
+    are read.
     """
     src = docs.select(col(id_col).cast("bigint").alias("i"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
     rows = stage(src.mapInArrow(_described, "i bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, sig binary"), "described")

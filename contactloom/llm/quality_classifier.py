@@ -75,8 +75,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Without two kinds of labels the evidence is a half for all and everything
     stays.  Null texts count as empty, null hosts and paths are groups of
     their own; repeated rows are judged alike and counted each; a probability
-    at the threshold keeps; an empty table gives none.  Only the named columns
-    are read.
+    at the threshold keeps; an empty table gives none.  A text of any length is
+    counted whole.  Only the named columns are read.
     """
     path = col(path_col) if isinstance(path_col, str) else path_col
     carried = [(f"x{k}", name) for k, name in enumerate(carry)]

@@ -156,8 +156,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words in repeated windows, and the method's with a ratio beyond the limits
     of its language and source; a ratio at a limit passes.  A null text has no
     words; null languages and sources are groups of their own; repeated rows
-    are judged alike and counted each; an empty table gives none.  Only the
-    named columns are read.
+    are judged alike and counted each; an empty table gives none.  A text of any
+    length is counted whole, within its row.  Only the named columns are read.
     """
     rows = docs.select(col(id_col).alias("i"), col(lang_col).alias("g1"), col(source_col).alias("g2"), col(text_col).alias("t"))
     rows = stage(base_counts(rows, "t"), "counts")

@@ -375,8 +375,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text counts as empty.  Rows are named by 128 bits of their id and
     text, so null and repeated ids are no special case; repeated rows are
     elsewhere to one another, so from ``length`` bytes on they lose everything.
-    Ties need no rule, as every copy is cut.  An empty table gives none.  Only
-    the two named columns are read.  Strings are judged on the input.
+    Ties need no rule, as every copy is cut.  An empty table gives none.  Texts
+    may have any length up to a row's.  Only the two named columns are read.  Strings are judged on the input.
     """
     if not GRAM < length <= MOST:
         raise ValueError(f"length must be over {GRAM} and at most {MOST}")

@@ -69,7 +69,8 @@ def sentencepiece_round_trip(docs: DataFrame, model_file: str, id_col: str = "do
     Returns ``id_col``, ``ids`` (array<int>, without begin or end ids) and
     ``decoded``, a row per input row; a null text counts as empty and has no
     ids.  Repeated rows and null ids are rows like others, an empty table gives
-    none.  Only the two named columns are read.
+    none.  A text of any length is encoded whole, word by word.  Only the two
+    named columns are read.
     """
 
     def run(batches):
