@@ -48,7 +48,8 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier keeps; rows with the same id and text share a verdict.
 
     Null texts are judged as empty, null ids as rows of their own; without
-    usable labels everything stays; an empty table stays empty.
+    usable labels everything stays; an empty table stays empty.  Texts may have
+    any length, and other columns any name.
     """
     ship_package(spark)
     rows = _keyed(docs, "text", "source", "lang")
@@ -59,7 +60,8 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id, null ids last; of rows that repeat id and text one.
 
-    A null text equals an empty one.
+    A null text equals an empty one; an empty table stays empty.  Texts may have
+    any length, and other columns any name.
     """
     ship_package(spark)
     rows = _keyed(docs, "text")
@@ -70,8 +72,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of every group of near copies the row with the least id, null ids last; of rows that repeat id and text one.
 
     Rows are numbered, so that a group is found by its rows, whatever their
-    ids; texts without words, null ones too, are in no group and stay.  Texts
-    may have any length.
+    ids; texts without words, null ones too, are in no group and stay.  An empty
+    table stays empty, texts may have any length, and other columns any name.
     """
     ship_package(spark)
     numbered = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("d")).withColumn("r", F.monotonically_increasing_id())
@@ -87,7 +89,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; ``n_chars`` follows where the text changed.
 
     Every row stays, repeated ones and those with null ids or texts too; a null
-    text stays null, and an empty table empty.
+    text stays null, and an empty table empty.  Texts of any length are read
+    whole; other columns may have any name.
     """
     ship_package(spark)
     out = personal_data(_keyed(docs, "text"), "i", carry=("d",))
@@ -102,7 +105,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts are the piece of the end id alone; null and repeated
     ids give pieces of their own; equal lengths are interchangeable, so ties
-    need no rule; an empty table packs into nothing.
+    need no rule; an empty table packs into nothing.  A text of any length is cut
+    into pieces; other columns may have any name.
     """
     ship_package(spark)
     return pack(token_pieces(docs, tokenizer_path("word_bpe_49k.json")))
