@@ -69,15 +69,18 @@ def staged_so_far(spark: SparkSession) -> int:
     return len(_staged(spark))
 
 
-def drop_stages(spark: SparkSession, since: int = 0) -> int:
-    """Delete the tables that ``stage`` wrote in this application, but for the first ``since``.
+def drop_stages(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables that ``stage`` wrote in this application, but for the first ``since`` and the last ``keep``.
 
     Call it when results are written, as they may still read them.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     paths = _staged(spark)
+    end = len(paths) - keep
+    old = paths[since:end] if end > since else []
+    del paths[since : since + len(old)]
     dropped = 0
-    while len(paths) > since:
-        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+    for name in old:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         dropped += path.getFileSystem(conf).delete(path, True)
     return dropped

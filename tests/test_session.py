@@ -15,6 +15,15 @@ def test_stages_are_written_and_dropped(spark):
         spark.read.parquet(path).count()
 
 
+def test_the_last_tables_can_stay(spark):
+    earlier = session.staged_so_far(spark)
+    _, _, last = (session.stage(spark.range(n), "some") for n in (1, 2, 3))
+    assert session.drop_stages(spark, earlier, keep=1) == 2
+    assert last.count() == 3 and session.staged_so_far(spark) == earlier + 1
+    assert session.drop_stages(spark, earlier, keep=5) == 0 and last.count() == 3
+    assert session.drop_stages(spark, earlier) == 1
+
+
 def test_a_cluster_needs_a_shared_folder():
     def spark(master, conf=None, named=None):
         return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda _: conf), getCheckpointDir=lambda: named))
