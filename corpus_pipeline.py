@@ -18,7 +18,7 @@ from contactloom.llm.pii import personal_data, redacted
 from contactloom.llm.quality_classifier import classify_quality
 from contactloom.llm.queries import tokenizer_path
 from contactloom.llm.tables import col, stage
-from contactloom.session import ship_package
+from contactloom.session import drop_stages, ship_package, staged_so_far
 
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -125,9 +125,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after another; what a stage has left behind goes when its result is written."""
+    docs, earlier = spark.read.parquet(f"{sf_dir}/documents.parquet"), staged_so_far(spark)
     for k, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stage(docs, name.replace(" ", "-"))
+            drop_stages(spark, earlier, keep=1)
     return docs
