@@ -69,3 +69,25 @@ def test_layout_query_runs_to_its_stop_rule(spark, rows, monkeypatch, caplog):
     mean = lambda p: sum(dist(a, b) for a, b in p) / len(p)
     inside, between = mean([(a, b) for a in range(10) for b in range(a)]), mean([(a, b) for a in range(10) for b in range(10, 20)])
     assert 4 * inside < between
+
+
+def test_layout_goes_on_from_a_table(spark, rows):
+    nodes = spark.createDataFrame([(k,) for k in range(6)], "node_id bigint")
+    edges = spark.createDataFrame([(0, 1, 1.0), (2, 3, 2.0)], "src bigint, dst bigint, weight double")
+    start = spark.createDataFrame([(k, float(k), -2.5 * k) for k in range(4)] + [(99, 0.0, 0.0)], "node_id bigint, x double, y double")
+    fresh, placed = rows(graph.force_layout(nodes, edges, max_iter=0)), rows(graph.force_layout(nodes, edges, max_iter=0, start=start))
+    assert placed == rows(start)[:4] + fresh[4:]
+
+
+def test_kmeans_does_not_depend_on_the_order_of_rows(spark, rows):
+    rnd = random.Random(8)
+    points = [(k, rnd.gauss(0, 50), rnd.gauss(0, 50)) for k in range(500)] + [(500 + k, 1e7, -3e7) for k in range(3)]
+    found = []
+    for parts in (1, 7):
+        rnd.shuffle(points)
+        members, centers = graph.kmeans_groups(spark.createDataFrame(points, "node_id bigint, x double, y double").repartition(parts), 7)
+        found.append((rows(members, "node_id", "group_id"), rows(centers)))
+    assert found[0] == found[1]
+    few = spark.createDataFrame([(1, 2.0, 2.0), (2, 2.0, 2.0)], "node_id bigint, x double, y double")
+    assert rows(graph.kmeans_groups(few, 3)[0], "node_id", "group_id") == [(1, 0), (2, 0)]
+    assert rows(graph.kmeans_groups(few.limit(0), 3)[0]) == []

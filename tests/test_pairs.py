@@ -80,3 +80,12 @@ def test_windows_become_disjoint_spans(spark, rows):
     places = spark.range(3).select(F.col("id").alias("node_id"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(23_000).cast("bigint"))).alias("pos"))
     want = {(n, p) for n, a, b in windows for p in range(a, b + 1)}
     assert set(rows(pairs.filter_near_site(places, w))) == want
+
+
+def test_row_numbers_take_one_shuffle(spark):
+    """What reads the sorted rows has no exchange of them, only the broadcast of one row per partition."""
+    df = spark.range(1000).selectExpr("concat('r', id) as read_name", "0 as flag", "cast(id % 7 as int) - 1 as ref_id", "id % 50 as pos", "60 as mapq", "-1 as next_ref_id", "cast(-1 as bigint) as next_pos")
+    out = pairs.coordinate_sort(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+    assert sorted(r[0] for r in out.select("aln_id").collect()) == list(range(1000))
