@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactloom.functions.text import right_trim
 from contactloom.sources.bam import read_bam
 from contactloom.sources.edges import read_edges
 from contactloom.sources.fasta import read_chunks, read_fasta
