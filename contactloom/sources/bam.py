@@ -427,8 +427,12 @@ def read_bam(spark: SparkSession, paths: str | list[str], columns: tuple[str, ..
 
 
 # ------------------------------------------------------------------------ writing
+# fixed value: bytes of data of a block, so that it fits also where nothing can be compressed
+BLOCK = 65_280
+
+
 def _compressed(data: bytes) -> bytes:
-    """A block of at most 65,280 bytes of data."""
+    """A block of at most BLOCK bytes of data."""
     c = zlib.compressobj(1, zlib.DEFLATED, -15)
     body = c.compress(data) + c.flush()
     return BLOCK_MARK + b"\0\0\0\0\0\xff\x06\0" + BLOCK_KIND + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
@@ -487,12 +491,18 @@ class BamWriter(DataSourceArrowWriter):
             held = bytearray(self._head())
             for b in batches:
                 held += encoded(b)
-                whole = len(held) - len(held) % 65_280
-                out.write(b"".join(_compressed(bytes(held[k : k + 65_280])) for k in range(0, whole, 65_280)))
+                whole = len(held) - len(held) % BLOCK
+                self._blocks(out, held, whole)
                 del held[:whole]
-            out.write((_compressed(bytes(held)) if held else b"") + END_BLOCK)
+            # a task without rows has the whole header left
+            self._blocks(out, held, len(held))
+            out.write(END_BLOCK)
         return Written(name)
 
+    def _blocks(self, out, held: bytearray, upto: int) -> None:
+        for k in range(0, upto, BLOCK):
+            out.write(_compressed(bytes(held[k : min(k + BLOCK, upto)])))
+
     def commit(self, messages: list) -> None:
         self.parts.commit([m.name for m in messages if m is not None])
 

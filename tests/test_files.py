@@ -216,3 +216,12 @@ def test_fixed_decimals_are_those_of_the_exact_value(spark):
     got = spark.createDataFrame([(struct.pack("<d", v).hex(), v) for v in values], "k string, v double").select("v", fixed_15(F.col("v")).alias("s")).collect()
     assert len(got) == len(values)
     assert [(r["v"], r["s"]) for r in got if r["s"] != "%.15f" % r["v"]] == []
+
+
+def test_bam_header_of_tasks_without_rows_fits_its_blocks(spark, rows, tmp_path):
+    names = [zlib.crc32(str(k).encode()) for k in range(9000)]
+    refs = spark.createDataFrame([(k, f"r{n}", n >> 8) for k, n in enumerate(names)], "ref_id int, ref_name string, ref_length bigint")
+    one = spark.createDataFrame([("a", 0, 8999, 5)], "read_name string, flag int, ref_id int, pos bigint").repartition(3)
+    bam.write_bam(one, refs, f"{tmp_path}/few")
+    brefs, got = readers.read_bam(spark, f"{tmp_path}/few", split_bytes=4096)
+    assert rows(brefs) == rows(refs) and rows(got, "read_name", "ref_id", "pos") == [("a", 8999, 5)]
