@@ -21,9 +21,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
@@ -93,25 +95,6 @@ def _first_block(file, start: int, size: int) -> int:
     return size
 
 
-def _header(data: bytes) -> tuple[str, list[tuple[str, int]], int] | None:
-    """The header's text, names and lengths of references, and where records begin; none if the data end before it."""
-    if data[:4] != MAGIC[: len(data[:4])]:
-        raise ValueError("not a BAM file")
-    try:
-        (n,) = struct.unpack_from("<i", data, 4)
-        text, at = data[8 : 8 + n].rstrip(b"\0").decode(), 8 + n
-        (count,) = struct.unpack_from("<i", data, at)
-        at, refs = at + 4, []
-        for _ in range(count):
-            (n,) = struct.unpack_from("<i", data, at)
-            (length,) = struct.unpack_from("<i", data, at + 4 + n)
-            refs.append((data[at + 4 : at + 3 + n].decode(), length))
-            at += 8 + n
-        return (text, refs, at) if at <= len(data) else None
-    except struct.error:
-        return None
-
-
 def _plausible(data: bytes, at: int, n_ref: int) -> int:
     """Where the record at ``at`` ends if it looks like one, -1 if not, 0 if the data end before that is clear."""
     if at + 36 > len(data):
@@ -166,20 +149,61 @@ class Stretch:
         return offset, place - at
 
 
+class Header:
+    """A file's header, each of its bytes looked at once: its text, the bytes of its references, their number, and where records begin."""
+
+    def __init__(self, path: str, size: int):
+        with opened(path) as f:
+            s = self.read = Stretch(f, 0, size)
+            self.path = path
+            self._upto(8)
+            if s.data[:4] != MAGIC:
+                raise ValueError("not a BAM file")
+            (n,) = struct.unpack_from("<i", s.data, 4)
+            self._upto(12 + n)
+            self.text = s.data[8 : 8 + n].rstrip(b"\0").decode()
+            (self.count,) = struct.unpack_from("<i", s.data, 8 + n)
+            self.start = at = 12 + n
+            lengths, unpack = s.data, struct.Struct("<i").unpack_from
+            for _ in range(self.count):
+                if at + 4 > len(lengths):
+                    self._upto(at + 4)
+                at += 8 + unpack(lengths, at)[0]
+            self._upto(at)
+            self.references = bytes(s.data[self.start : at])
+            self.block, self.at = s.block_of(at)
+
+    def _upto(self, n: int) -> None:
+        while len(self.read.data) < n:
+            if not self.read.grow():
+                raise ValueError(f"{self.path}: the header is cut off")
+
+    def listed(self) -> Iterator[tuple[str, int]]:
+        """Names and lengths of the references."""
+        at, unpack = 0, struct.Struct("<i").unpack_from
+        for _ in range(self.count):
+            (n,) = unpack(self.references, at)
+            yield self.references[at + 4 : at + 3 + n].decode(), unpack(self.references, at + 4 + n)[0]
+            at += 8 + n
+
+
 # ------------------------------------------------------------------------ index
-def _first_of(row: tuple[str, int, int, int], n_ref: int) -> tuple[int, int, int, int] | None:
-    """Block, place, reference and position of the first record that begins in a range; none if no record does."""
+def _first_of(row: tuple[str, int, int, int], n_ref: int, block: int, at: int) -> tuple[int, int, int, int] | None:
+    """Block, place, reference and position of the first record that begins in a range; none if no record does.
+
+    ``block`` and ``at`` are the first record's; ranges up to there that do not
+    begin the file have none of their own.
+    """
     path, size, start, end = row
+    if 0 < start <= block:
+        return None
     with opened(path) as f:
-        at = _first_block(f, start, size) if start else 0
-        if at >= end:
+        first = _first_block(f, start, size) if start else block
+        if first >= (end if start else size):
             return None
-        s = Stretch(f, at, size)
+        s = Stretch(f, first, size)
         if start == 0:
-            while (found := _header(s.data)) is None:
-                if not s.grow():
-                    raise ValueError(f"{path}: the header is cut off")
-            place = found[2]
+            place = at
         else:
             place = 0
             while True:
@@ -206,49 +230,54 @@ def _first_of(row: tuple[str, int, int, int], n_ref: int) -> tuple[int, int, int
         return block, at, *struct.unpack_from("<ii", s.data, place + 4)
 
 
-def _references(batches):
-    """Order, name and length of each reference, a file's header text and a hash of its references."""
+def _heads(batches):
+    """Of each file the number of its references, a hash of them, whether it is sorted, and where its first record begins."""
     for b in batches:
+        out = []
         for path, size in zip(b.column("path").to_pylist(), b.column("size").to_pylist(), strict=True):
-            with opened(path) as f:
-                s = Stretch(f, 0, size)
-                while (found := _header(s.data)) is None:
-                    if not s.grow():
-                        raise ValueError(f"{path}: the header is cut off")
-            text, refs, _ = found
-            n = len(refs)
-            head = re.search("^@HD.*", text, re.M)
+            h = Header(path, size)
+            head = re.search("^@HD.*", h.text, re.M)
             by_place = bool(head) and "SO:coordinate" in head[0].split("\t")
-            mark = zlib.crc32(repr(refs).encode())
-            yield pa.RecordBatch.from_pydict({
-                "path": pa.array([path] * (n + 1), pa.string()), "ref_id": pa.array([*range(n), None], pa.int32()), "ref_name": pa.array([*(r[0] for r in refs), None], pa.string()),
-                "ref_length": pa.array([*(r[1] for r in refs), None], pa.int64()), "n_ref": pa.array([n] * (n + 1), pa.int32()), "mark": pa.array([mark] * (n + 1), pa.int64()), "by_place": pa.array([by_place] * (n + 1)),
-            })
+            out.append((path, h.count, zlib.crc32(h.references), by_place, h.block, h.at))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), HEADS.types, strict=True)], schema=HEADS) if out else pa.RecordBatch.from_pylist([], HEADS)
+
+
+HEADS = pa.schema([("path", pa.string()), ("n_ref", pa.int32()), ("mark", pa.int64()), ("by_place", pa.bool_()), ("first_block", pa.int64()), ("first_at", pa.int64())])
+LISTED = pa.schema([("ref_id", pa.int32()), ("ref_name", pa.string()), ("ref_length", pa.int64())])
+
+
+def _references(batches):
+    """The references of files, in their order."""
+    for b in batches:
+        for path, size in zip(b.column("path").to_pylist(), b.column("size").to_pylist(), strict=True):
+            rows = enumerate(Header(path, size).listed())
+            while some := list(islice(rows, 1 << 16)):
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([r[0] for _, r in some], pa.string()), pa.array([r[1] for _, r in some], pa.int64())], schema=LISTED)
 
 
 def index_bam(spark: SparkSession, paths: str | list[str], split_bytes: int = SPLIT) -> tuple[DataFrame, DataFrame]:
     """The references, and a row for each stretch of records: (path, size, by_place, block, at, ref_id, pos), in file order within a path."""
     ship_package(spark)
     files = listed(spark, paths)
-    many = spark.createDataFrame(files, "path string, size bigint").repartition(max(1, min(len(files), 1000)))
-    heads = stage(many.mapInArrow(_references, "path string, ref_id int, ref_name string, ref_length bigint, n_ref int, mark bigint, by_place boolean"), "heads")
-    kinds = heads.where("ref_id is null").agg(F.count_distinct("mark"), F.max("n_ref")).first()
+    kind = "path string, size bigint"
+    many = spark.createDataFrame(files, kind).repartition(max(1, min(len(files), 1000)))
+    heads = stage(many.mapInArrow(_heads, "path string, n_ref int, mark bigint, by_place boolean, first_block bigint, first_at bigint"), "heads")
+    kinds = heads.agg(F.count_distinct("mark", "n_ref"), F.max("n_ref")).first()
     if kinds[0] > 1:
         raise ValueError("the files have different references")
     n_ref = kinds[1] or 0
     ranges = splits(files, split_bytes)
-    rows = spark.createDataFrame(ranges, "path string, size bigint, start bigint, `end` bigint").repartition(max(1, len(ranges)), "path", "start")
+    rows = spark.createDataFrame(ranges, "path string, size bigint, start bigint, `end` bigint").join(heads, "path").repartition(max(1, len(ranges)), "path", "start")
 
     def found(batches):
         for b in batches:
-            each = [(r, _first_of((r["path"], r["size"], r["start"], r["end"]), n_ref)) for r in b.to_pylist()]
+            each = [(r, _first_of((r["path"], r["size"], r["start"], r["end"]), n_ref, r["first_block"], r["first_at"])) for r in b.to_pylist()]
             each = [(r, p) for r, p in each if p is not None]
-            made = {"path": [r["path"] for r, _ in each], "size": [r["size"] for r, _ in each]} | {n: [p[k] for _, p in each] for k, n in enumerate(("block", "at", "ref_id", "pos"))}
-            yield pa.RecordBatch.from_pydict({n: pa.array(v, pa.string() if n == "path" else pa.int64()) for n, v in made.items()})
+            made = {n: [r[n] for r, _ in each] for n in ("path", "size", "by_place")} | {n: [p[k] for _, p in each] for k, n in enumerate(("block", "at", "ref_id", "pos"))}
+            yield pa.RecordBatch.from_pydict({n: pa.array(v, pa.string() if n == "path" else pa.bool_() if n == "by_place" else pa.int64()) for n, v in made.items()})
 
-    index = rows.mapInArrow(found, "path string, size bigint, block bigint, at bigint, ref_id bigint, pos bigint")
-    index = index.join(heads.where("ref_id is null").select("path", "by_place"), "path")
-    references = heads.where(F.col("ref_id").isNotNull() & (F.col("path") == F.lit(files[0][0] if files else ""))).select("ref_id", "ref_name", "ref_length")
+    index = rows.mapInArrow(found, "path string, size bigint, by_place boolean, block bigint, at bigint, ref_id bigint, pos bigint")
+    references = spark.createDataFrame(files[:1], kind).mapInArrow(_references, "ref_id int, ref_name string, ref_length bigint")
     return references, stage(index, "index")
 
 
@@ -446,23 +475,51 @@ def _packed_seq(seq: str) -> bytes:
     return (codes[::2] << 4 | codes[1::2]).astype(np.uint8).tobytes()
 
 
-def encoded(b: pa.RecordBatch) -> bytes:
-    """The records of a batch; absent columns are those of an unaligned read."""
-    n, cols = b.num_rows, {c: b.column(c) for c in b.schema.names}
-    text = {c: cols[c].to_pylist() if c in cols else ["*"] * n for c in ("read_name", "cigar", "seq", "qual")}
-    names = [x.encode() + b"\0" for x in text["read_name"]]
+def _tails(cols: dict, n: int) -> tuple[list[bytes], list[int], list[int]]:
+    """Steps, bases and qualities of each record, the number of its steps and of its bases."""
+    text = {c: cols[c].to_pylist() if c in cols else ["*"] * n for c in ("cigar", "seq", "qual")}
     cigars = [[(int(k) << 4 | STEPS.index(s)) for k, s in re.findall(r"(\d+)([MIDNSHP=X])", x)] for x in text["cigar"]]
     seqs = [b"" if s == "*" else _packed_seq(s) for s in text["seq"]]
     lengths = [0 if s == "*" else len(s) for s in text["seq"]]
     quals = [b"\xff" * k if q == "*" else bytes(x - 33 for x in q.encode()) for q, k in zip(text["qual"], lengths, strict=True)]
-    tails = [x + struct.pack(f"<{len(c)}I", *c) + s + q for x, c, s, q in zip(names, cigars, seqs, quals, strict=True)]
+    return [struct.pack(f"<{len(c)}I", *c) + s + q for c, s, q in zip(cigars, seqs, quals, strict=True)], [len(c) for c in cigars], lengths
+
+
+def _joined(*columns) -> bytes:
+    """The bytes of columns, row by row."""
+    made = pc.binary_join_element_wise(*[pa.scalar(c, pa.large_binary()) if isinstance(c, bytes) else c.cast(pa.large_binary()) for c in columns], pa.scalar(b"", pa.large_binary()))
+    return b"".join(_bytes_of(x) for x in (made.chunks if isinstance(made, pa.ChunkedArray) else [made]))
+
+
+def _bytes_of(a: pa.Array) -> bytes:
+    if not len(a) or a.buffers()[2] is None:
+        return b""
+    ends = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1]
+    return a.buffers()[2][int(ends[0]) : int(ends[-1])].to_pybytes()
+
+
+def _numbers(a: np.ndarray) -> pa.Array:
+    """The bytes of each element."""
+    return pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(np.arange(len(a) + 1, dtype=np.int64) * a.itemsize), pa.py_buffer(np.ascontiguousarray(a).tobytes())])
+
+
+def encoded(b: pa.RecordBatch) -> bytes:
+    """The records of a batch; absent columns are those of an unaligned read."""
+    n, cols = b.num_rows, {c: b.column(c) for c in b.schema.names}
+    names = (cols["read_name"] if "read_name" in cols else pa.array(["*"] * n, pa.string())).cast(pa.large_binary())
+    if names.null_count:
+        raise ValueError("a record has no name")
     fixed = np.zeros(n, FIXED)
     for c, absent in (("ref_id", -1), ("pos", -1), ("mapq", 0), ("flag", 4), ("next_ref_id", -1), ("next_pos", -1), ("tlen", 0)):
         fixed[c] = cols[c].to_numpy(zero_copy_only=False) if c in cols else absent
-    fixed["name_len"], fixed["steps"], fixed["length"] = [len(x) for x in names], [len(c) for c in cigars], lengths
-    fixed["size"] = np.array([len(t) for t in tails], np.int64) + FIXED.itemsize - 4
-    heads = fixed.tobytes()
-    return b"".join(x for k, t in enumerate(tails) for x in (heads[k * FIXED.itemsize : (k + 1) * FIXED.itemsize], t))
+    name_len, tails, size = pc.binary_length(names).to_numpy(zero_copy_only=False) + 1, [], 0
+    if {"cigar", "seq", "qual"} & cols.keys():
+        each, fixed["steps"], fixed["length"] = _tails(cols, n)
+        tails, size = [pa.array(each, pa.large_binary())], np.array([len(t) for t in each], np.int64)
+    if (name_len > 255).any():
+        raise ValueError("a read name has over 254 bytes")
+    fixed["name_len"], fixed["size"] = name_len, FIXED.itemsize - 4 + name_len + size
+    return _joined(_numbers(fixed), names, b"\0", *tails)
 
 
 class Written(WriterCommitMessage):
@@ -478,9 +535,11 @@ class BamWriter(DataSourceArrowWriter):
         import pyarrow.dataset as ds
 
         store, path = located(self.references)
-        refs = sorted((r["ref_id"], r["ref_name"], r["ref_length"]) for r in ds.dataset(path, filesystem=store, format="parquet").to_table().to_pylist())
-        text = f"@HD\tVN:1.6\tSO:{'coordinate' if self.by_place else 'unsorted'}\n".encode() + b"".join(f"@SQ\tSN:{n}\tLN:{k}\n".encode() for _, n, k in refs)
-        names = b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for _, n, k in refs)
+        refs = ds.dataset(path, filesystem=store, format="parquet").to_table().sort_by("ref_id").combine_chunks()
+        name, length = refs.column("ref_name").cast(pa.large_binary()), refs.column("ref_length")
+        text = f"@HD\tVN:1.6\tSO:{'coordinate' if self.by_place else 'unsorted'}\n".encode() + _joined(b"@SQ\tSN:", name, b"\tLN:", length.cast(pa.large_string()), b"\n")
+        sizes = _numbers((pc.binary_length(name).to_numpy() + 1).astype("<i4")), _numbers(length.to_numpy().astype("<i4"))
+        names = _joined(pa.chunked_array([sizes[0]]), name, b"\0", pa.chunked_array([sizes[1]]))
         return MAGIC + struct.pack("<i", len(text)) + text + struct.pack("<i", len(refs)) + names
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
@@ -519,7 +578,7 @@ def write_bam(alignments: DataFrame, references: DataFrame, path: str, by_place:
     spark = alignments.sparkSession
     ship_package(spark)
     new_folder(spark, path)
-    refs = stage(references.select("ref_id", "ref_name", F.col("ref_length").cast("bigint").alias("ref_length")).coalesce(1), "references")
+    refs = stage(references.select("ref_id", "ref_name", F.col("ref_length").cast("bigint").alias("ref_length")), "references")
     rows = alignments.select(*[F.col(c).cast(kind).alias(c) for c, kind in ALIGNMENT.items() if c in alignments.columns])
     if by_place:
         order = [F.when(F.col("ref_id") < 0, LAST).otherwise(F.col("ref_id")).alias("_r"), F.col("pos"), F.col("read_name"), F.col("flag")]

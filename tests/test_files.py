@@ -1,4 +1,5 @@
 import struct
+import time
 import zlib
 
 import pytest
@@ -225,3 +226,14 @@ def test_bam_header_of_tasks_without_rows_fits_its_blocks(spark, rows, tmp_path)
     bam.write_bam(one, refs, f"{tmp_path}/few")
     brefs, got = readers.read_bam(spark, f"{tmp_path}/few", split_bytes=4096)
     assert rows(brefs) == rows(refs) and rows(got, "read_name", "ref_id", "pos") == [("a", 8999, 5)]
+
+
+def test_bam_header_is_parsed_once(tmp_path):
+    """A header over very many blocks takes time in proportion to its size."""
+    refs = [(f"contig{k}", k) for k in range(60_000)]
+    data = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", len(refs)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for n, k in refs)
+    (tmp_path / "x.bam").write_bytes(b"".join(block(data[k : k + 600]) for k in range(0, len(data), 600)) + block(b""))
+    size, began = (tmp_path / "x.bam").stat().st_size, time.process_time()
+    h = bam.Header(f"file://{tmp_path}/x.bam", size)
+    assert list(h.listed()) == refs and (h.count, h.block, h.at) == (60_000, size, 0)
+    assert time.process_time() - began < 5
