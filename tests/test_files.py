@@ -237,3 +237,15 @@ def test_bam_header_is_parsed_once(tmp_path):
     h = bam.Header(f"file://{tmp_path}/x.bam", size)
     assert list(h.listed()) == refs and (h.count, h.block, h.at) == (60_000, size, 0)
     assert time.process_time() - began < 5
+
+
+def test_sam_lines_are_not_gathered_in_one_file(spark, monkeypatch, tmp_path):
+    from contactloom import catalog
+
+    monkeypatch.setattr(catalog, "_folder", lambda *_: f"{tmp_path}/sam")
+    catalog.sam_files(spark, "/root/testdata/sf0.001")
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "sam").glob("part-*"))]
+    heads, body = ([k for k, p in enumerate(parts) if any(x.startswith("@") == head for x in p)] for head in (True, False))
+    assert max(heads) < min(body) and len(body) > 1
+    names = [x.split("\t")[1] for k in heads for x in parts[k]]
+    assert names == [f"SN:doc{k}" for k in range(len(names))]
