@@ -61,3 +61,36 @@ def test_any_window_is_enough_on_both_sides_of_the_flank(spark):
     assert ends[0] == 499 + 1 + 500 and ends[1] == 500 + 500
     rows = spark.createDataFrame([(0, p) for p in (0, 999, 1000, 1001)], "node_id bigint, pos bigint")
     assert sorted(r["pos"] for r in pairs.filter_near_site(rows, windows).collect()) == [0, 999, 1000]
+
+
+def test_sequences_and_sites_are_made_by_many_tasks(spark):
+    """Ids of a few bytes become long sequences: they are not made in one task."""
+    from pyspark.sql import functions as F
+
+    from contactloom import fixtures
+
+    made = fixtures.sequences(spark, "/root/testdata/sf0.01").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert made > spark.sparkContext.defaultParallelism
+
+
+def test_sites_are_searched_where_sequences_are(spark):
+    found = sites.find_sites(contigs(spark, "xGATCx"), "GATC")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leftmost_against_a_plain_loop():
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    for _ in range(500):
+        step, free, places = rnd.randint(1, 5), rnd.randint(0, 30), sorted(rnd.sample(range(400), rnd.randint(0, 200)))
+        want, after = [], free
+        for p in places:
+            if p >= after:
+                want.append(p)
+                after = p + step
+        got, end = sites._leftmost(np.array(places, np.int64), free, step)
+        assert got.tolist() == want and end == after
+    assert sites._hits("aéenü😀en", "en").tolist() == [2, 6] and sites._hits("en", "enx").tolist() == []
