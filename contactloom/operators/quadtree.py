@@ -9,8 +9,9 @@ others are opened, and of leaves that are near the nodes act one by one.
 Counts and sums of cells are an aggregation.  The tree goes to all tasks: its
 leaves grow with the number of nodes beyond LEAVES, so it has at most a bounded
 number of cells on each level, however many nodes there are and wherever they
-lie.  The nodes of near leaves are joined to the leaf that they act on; a leaf
-and its near ones are a group of bounded size.  Nodes that lie together even on
+lie.  Leaves are taken in blocks of a few, in the order of their places.  The
+nodes of near leaves are joined once to each block that they act on; a block
+and its near leaves are a group of bounded size.  Nodes that lie together even on
 the last level act as one, so they are no large group either.
 """
 
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Levels below the square, nodes of a leaf at least, and leaves from which on leaves have more.
 DEPTH, LEAF, LEAVES = 20, 16, 20_000
+#: Leaves, neighbours mostly, whose forces are found together.
+BLOCK = 64
 #: Side of a cell over its distance below which it acts as one.
 OPENING = 0.5
 #: Strength of the repulsion; close by it is limited.
@@ -73,20 +76,32 @@ class Tree:
 
     def around(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Cells that act on a leaf as one, and leaves whose nodes act one by one."""
-        own = self.leaves[number]
+        (_, far), (_, near) = self.around_all(np.array([number]))
+        return far, near
+
+    def around_all(self, numbers: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """As ``around`` for many leaves, level by level: which of them, in order, and the cell that acts on it."""
+        own = self.leaves[numbers]
         low = self.corner[own]
-        high = low + self.side(own)
-        far, near, open_ = [], [], np.array([0])
-        while len(open_):
-            gap = np.maximum(np.maximum(low - self.centre[open_], self.centre[open_] - high), 0.0)
-            apart = self.side(open_) < OPENING * np.sqrt((gap * gap).sum(axis=1))
-            ends = self.children[open_].max(axis=1) < 0
-            one = apart | (ends & ~self.single[open_])
-            far.append(open_[one])
-            near.append(open_[ends & ~one])
-            below = self.children[open_[~one & ~ends]].ravel()
-            open_ = below[below >= 0]
-        return np.concatenate(far), np.concatenate(near)
+        high = low + self.side(own)[:, None]
+        far, near = [], []
+        on, cell = np.arange(len(numbers)), np.zeros(len(numbers), np.int64)
+        while len(cell):
+            gap = np.maximum(np.maximum(low[on] - self.centre[cell], self.centre[cell] - high[on]), 0.0)
+            apart = self.side(cell) < OPENING * np.sqrt((gap * gap).sum(axis=1))
+            ends = self.children[cell].max(axis=1) < 0
+            one = apart | (ends & ~self.single[cell])
+            far.append((on[one], cell[one]))
+            near.append((on[ends & ~one], cell[ends & ~one]))
+            below, on = self.children[cell[~one & ~ends]].ravel(), np.repeat(on[~one & ~ends], 4)
+            on, cell = on[below >= 0], below[below >= 0]
+
+        def sorted_pairs(found):
+            on, cell = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+            order = on.argsort(kind="stable")
+            return on[order], cell[order]
+
+        return sorted_pairs(far), sorted_pairs(near)
 
 
 def _interleaved(px: np.ndarray, py: np.ndarray) -> np.ndarray:
@@ -149,30 +164,42 @@ def repulsion(nodes: DataFrame, tree: Tree) -> DataFrame:
             at = [np.minimum(np.floor((b.column(c).to_numpy() - low) / side * (1 << DEPTH)), (1 << DEPTH) - 1).astype(np.int64) for c, low in (("x", x0), ("y", y0))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(t.leaf_of(*at), pa.int64())], names=[*b.schema.names, "leaf"])
 
-    def near(batches):
-        t = sent.value
+    def numbers(t: Tree) -> np.ndarray:
         place = np.full(len(t.level), -1, np.int64)
         place[t.leaves] = np.arange(len(t.leaves))
+        return place
+
+    def near(batches):
+        t = sent.value
+        place = numbers(t)
         for b in batches:
-            on, by = [], []
-            for k in b.column("id").to_pylist():
-                found = place[t.around(k)[1]]
-                on.append(np.full(len(found), k))
-                by.append(found)
-            yield pa.RecordBatch.from_pydict({"leaf": pa.array(np.concatenate(by), pa.int64()), "on": pa.array(np.concatenate(on), pa.int64())})
+            ids = b.column("id").to_numpy()
+            for k in range(0, len(ids), 1000):
+                some = ids[k : k + 1000]
+                on, cell = t.around_all(some)[1]
+                both = np.unique(np.stack([place[cell], some[on] // BLOCK], axis=1), axis=0)
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array(both[:, 0].copy(), pa.int64()), "on": pa.array(both[:, 1].copy(), pa.int64())})
 
     def forces(key, here: pa.Table, others: pa.Table) -> pa.Table:
-        t, arrays = sent.value, lambda v: (np.stack([v.column("x").to_numpy(), v.column("y").to_numpy()], axis=1), v.column("mass").to_numpy())
-        at, mass = arrays(here)
-        if here.num_rows:
-            far = t.around(key[0].as_py())[0]
-            push = _pushes(at, mass, t.centre[far], t.mass[far]) + _pushes(at, mass, *arrays(others))
-        else:
-            push = np.zeros((0, 2))
+        t, arrays = sent.value, lambda v: (np.stack([v.column("x").to_numpy(), v.column("y").to_numpy()], axis=1), v.column("mass").to_numpy(), v.column("leaf").to_numpy())
+        here, others = here.sort_by("leaf"), others.sort_by("leaf")
+        (at, mass, leaf), (by, weight, by_leaf) = arrays(here), arrays(others)
+        push = np.zeros((here.num_rows, 2))
+        leaves, first = np.unique(leaf, return_index=True)
+        (far_on, far), (near_on, near) = t.around_all(leaves)
+        near = numbers(t)[near]
+        upto = np.arange(len(leaves) + 1)
+        ends, far_ends, near_ends = np.r_[first, len(leaf)], np.searchsorted(far_on, upto), np.searchsorted(near_on, upto)
+        low, high = np.searchsorted(by_leaf, near, "left"), np.searchsorted(by_leaf, near, "right")
+        for k in range(len(leaves)):
+            own, cells, some = slice(ends[k], ends[k + 1]), far[far_ends[k] : far_ends[k + 1]], range(near_ends[k], near_ends[k + 1])
+            one_by_one = np.concatenate([np.zeros(0, np.int64), *(np.arange(low[i], high[i]) for i in some)])
+            push[own] = _pushes(at[own], mass[own], np.concatenate([t.centre[cells], by[one_by_one]]), np.concatenate([t.mass[cells], weight[one_by_one]]))
         return pa.Table.from_arrays([*(here.column(c) for c in columns), pa.array(push[:, 0].copy()), pa.array(push[:, 1].copy())], names=[*columns, "rx", "ry"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema.fields)
     mine = nodes.mapInArrow(placed, f"{kinds}, leaf bigint")
     pairs = spark.range(len(tree.leaves)).mapInArrow(near, "leaf bigint, on bigint")
-    others = mine.select("leaf", "mass", "x", "y").join(pairs, "leaf").select(F.col("on").alias("at"), F.col("mass").alias("mass"), F.col("x").alias("x"), F.col("y").alias("y"))
-    return mine.groupBy("leaf").cogroup(others.groupBy("at")).applyInArrow(forces, f"{kinds}, rx double, ry double")
+    others = mine.select("leaf", "mass", "x", "y").join(pairs.distinct(), "leaf").select(F.col("on").alias("block"), *[F.col(c).alias(c) for c in ("leaf", "mass", "x", "y")])
+    here = mine.withColumn("block", F.floor(F.col("leaf") / BLOCK).cast("bigint"))
+    return here.groupBy("block").cogroup(others.groupBy("block")).applyInArrow(forces, f"{kinds}, rx double, ry double")

@@ -52,3 +52,23 @@ def test_larger_leaves_are_as_near(spark, monkeypatch):
     rows = points(600)
     want = all_pairs(rows)
     assert np.linalg.norm(computed(spark, rows) - want, axis=1).mean() < 0.02 * np.linalg.norm(want, axis=1).mean()
+
+
+def test_leaves_together_are_surrounded_as_each_alone(spark):
+    """Many leaves are opened at once, and find what a walk from the root finds for each."""
+    tree = qt.quadtree(spark.createDataFrame(points(1500), "node_id bigint, mass double, x double, y double"))
+    (far_on, far), (near_on, near) = tree.around_all(np.arange(len(tree.leaves)))
+    for k, own in enumerate(tree.leaves):
+        low = tree.corner[own]
+        high = low + tree.side(own)
+        want_far, want_near, held = set(), set(), [0]
+        while held:
+            c = held.pop()
+            gap = np.maximum(np.maximum(low - tree.centre[c], tree.centre[c] - high), 0.0)
+            below = [b for b in tree.children[c] if b >= 0]
+            if tree.side(c) < qt.OPENING * np.hypot(*gap) or (not below and not tree.single[c]):
+                want_far.add(c)
+            elif not below:
+                want_near.add(c)
+            held += below if c not in want_far else []
+        assert set(far[far_on == k]) == want_far and set(near[near_on == k]) == want_near
