@@ -52,9 +52,9 @@ def run_correct(spark: SparkSession, fasta: str, alignments: str, out: str, perc
     else:
         coarse = cm.bin_contacts(contacts, wide)
     level = cm.saturation_level(coarse, percent)
-    track = cm.crop_track(cm.depletion_score(coarse, level, wide, depletion), wide, depletion)
+    track = cm.score_track(coarse, level, wide, depletion)
     islands = mismatch.wide_mismatches(track, cm.threshold_e5(level, wide, depletion, sensitive), wide)
-    narrow_track = cm.crop_track(cm.depletion_score(fine, cm.saturation_level(fine, percent), narrow, wide), narrow, wide)
+    narrow_track = cm.score_track(fine, cm.saturation_level(fine, percent), narrow, wide)
     named = mismatch.narrow_mismatches(islands, narrow_track, narrow).join(references.select("ref_id", F.col("ref_name").alias("name")), "ref_id")
     sinks.write_table(named, f"{out}/mismatches")
     sinks.write_chunks(split.split_chunks(*read_chunks(spark, fasta), spark.read.parquet(f"{out}/mismatches")), f"{out}/corrected")

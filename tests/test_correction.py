@@ -4,6 +4,7 @@ import pytest
 
 from contactloom.operators import contact_map as cm
 from contactloom.operators import mismatch, split
+from contactloom.session import stage
 
 
 def contacts_frame(spark, rows):
@@ -188,3 +189,37 @@ def test_scores_over_many_tiles(spark, rows, monkeypatch):
                 want[c, p] = want.get((c, p), 0) + min(n * 100_000, level[c])
     got = cm.depletion_score(table, spark.createDataFrame(list(level.items()), "ref_id int, sat_e5 bigint"), 10, 100)
     assert rows(got, "ref_id", "pos", "score_e5") == sorted((*k, v) for k, v in want.items())
+
+
+def test_track_in_one_shuffle_equals_the_cropped_scores(spark, rows, monkeypatch):
+    """Tiles of few bins, contigs with gaps of many tiles, cells over several tiles, contigs without a grid."""
+    monkeypatch.setattr(cm, "TILE_BINS", 3)
+    rnd = random.Random(8)
+    data = [(ref, 10 * a, 10 * (a + rnd.randrange(-2, 14)), rnd.randrange(1, 9)) for ref in range(12) for a in [rnd.choice([0, 40, 300]) + rnd.randrange(25) for _ in range(rnd.randrange(1, 25))]]
+    table = spark.createDataFrame(list({d[:3]: d for d in data}.values()), "ref_id int, bin_s bigint, bin_e bigint, cnt bigint")
+    level = spark.createDataFrame([(ref, 100_000 * (1 + ref % 6)) for ref in range(11)], "ref_id int, sat_e5 bigint")
+    for depletion in (20, 50, 100, 105):
+        want = rows(cm.crop_track(cm.depletion_score(table, level, 10, depletion), 10, depletion))
+        got = cm.score_track(table, level, 10, depletion)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == want and want
+        if depletion % 10 == 0:
+            assert plan.count("Exchange hashpartitioning") == 1 and plan.count("SortMergeJoin") == 0
+
+
+def test_islands_meet_the_track_once(spark, rows, monkeypatch):
+    """The grid is not built in the few tasks of a small table of contigs, and one join reads the track."""
+    plans = {}
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(mismatch, "stage", seen)
+    islands = spark.createDataFrame([(1, 100, 300), (1, 9000, 9600)], "ref_id int, start bigint, end bigint")
+    track = spark.createDataFrame([(1, p, abs(p - 9300)) for p in range(50, 20_000, 50)], "ref_id int, pos bigint, score_e5 bigint")
+    assert rows(mismatch.narrow_mismatches(islands, track, 50)) == [(1, 9300, 9350)]
+    assert sum("track-" in line for line in plans["points"].splitlines()) == 1
+    assert not any("track-" in line for line in plans["picks"].splitlines())
+    crop = cm.crop_track(spark.createDataFrame([(1, p, 1) for p in range(0, 900, 10)], "ref_id int, pos bigint, score_e5 bigint"), 10, 30)
+    assert "REPARTITION_BY_NUM" in crop._jdf.queryExecution().executedPlan().toString()
