@@ -28,8 +28,7 @@ def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, ou
     # each later step reads this table, whose row numbers are fixed once written
     sinks.write_table(pairs.coordinate_sort(pairs.drop_secondary(rows)), f"{out}/sorted", order_by=["aln_id"])
     rows = spark.read.parquet(f"{out}/sorted")
-    known = pairs.filter_known_refs(pairs.filter_mapq(rows, min_mapq), pairs.map_refs_to_nodes(references, nodes))
-    near = pairs.filter_near_site(known, sites.site_windows(found, nodes, len(motif), flank))
+    near = pairs.near_sites(pairs.filter_mapq(rows, min_mapq), pairs.map_refs_to_nodes(references, nodes), nodes, lambda own: sites.site_windows(found, own, len(motif), flank))
     sinks.write_table(pairs.pair_mates(near), f"{out}/pairs")
     mates = spark.read.parquet(f"{out}/pairs")
     sinks.write_table(pairs.count_edges(mates), f"{out}/edges")

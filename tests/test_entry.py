@@ -46,3 +46,9 @@ def test_entry(spark, duck):
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_queries_without_sql_run(spark, duck, name):
     assert entry.queries()[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("name", ["mate_pairs"])
+def test_steps_after_the_site_filter_do_not_read_all_alignments(spark, duck, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "near-" in plan and "ordered-" not in plan

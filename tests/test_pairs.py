@@ -89,3 +89,46 @@ def test_row_numbers_take_one_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
     assert sorted(r[0] for r in out.select("aln_id").collect()) == list(range(1000))
+
+
+def test_coordinate_order_of_odd_places(spark):
+    """Nulls, negative and very large references and positions: the number that leads the sort never parts from the order."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(4)
+    refs, places = [None, -(2**31), -5, -1, 0, 1, 2**31 - 1], [None, -(2**40), -2, -1, 0, 1, 2**30 - 3, 2**30 - 2, 2**30 - 1, 2**30, 2**40]
+    data = [(f"r{k}", rnd.choice([0, 16]), rnd.choice(refs), rnd.choice(places), 0, 0, 0) for k in range(600)]
+    df = spark.createDataFrame(data, "read_name string, flag int, ref_id int, pos bigint, mapq int, next_ref_id int, next_pos bigint")
+    unmapped = F.when(F.col("ref_id") < 0, 1).otherwise(0)
+    want = [r[0] for r in df.orderBy(unmapped, "ref_id", "pos", F.col("flag").bitwiseAND(F.lit(16)), "read_name").select("read_name").collect()]
+    assert [r["read_name"] for r in pairs.coordinate_sort(df).orderBy("aln_id").collect()] == want
+
+
+def test_sort_carries_two_columns_more(spark, monkeypatch):
+    """Columns that the order names are not shuffled twice."""
+    from contactloom.operators import ordinals
+
+    plans, stage = [], ordinals.stage
+    monkeypatch.setattr(ordinals, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stage(df, name))
+    df = spark.createDataFrame([("a", 0, 0, 1, 9, 0, 2), ("b", 16, -1, 1, 9, 0, 2)], "read_name string, flag int, ref_id int, pos bigint, mapq int, next_ref_id int, next_pos bigint")
+    assert pairs.coordinate_sort(df).count() == 2
+    assert {k for k in range(9) if f"_o{k}#" in plans[0]} == {0, 3}
+
+
+def test_only_nodes_with_alignments_get_windows(spark, rows):
+    refs = spark.createDataFrame([(k, f"c{k}", k) for k in range(50)] + [(50, "none", None)], "ref_id int, ref_name string, node_id bigint")
+    nodes = spark.range(50).selectExpr("id as node_id", "id as contig_ord")
+    data = [(0, "a", 0, 3, 10, 60, 7, 20, 3, 7), (1, "b", 0, 3, 99, 60, 7, 20, 3, 7), (2, "c", 0, 50, 10, 60, 7, 20, 0, 7), (3, "d", 0, 7, 20, 60, 3, 10, 7, 3)]
+    df = spark.createDataFrame(data, ALN).drop("node_id", "next_node_id")
+    asked = []
+
+    def windows(own):
+        asked.extend(r["node_id"] for r in own.collect())
+        return own.selectExpr("node_id", "cast(5 as bigint) as win_start", "cast(30 as bigint) as win_end")
+
+    near = pairs.near_sites(df, refs, nodes, windows)
+    assert sorted(asked) == [3, 7]
+    assert rows(near, "aln_id", "node_id", "next_node_id") == [(0, 3, 7), (3, 7, 3)]
+    # what follows reads these rows only, once for each step, with no join of the sorted ones left in its plan
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "near-" in plan and "Join" not in plan
