@@ -32,7 +32,7 @@ def run_filter(spark: SparkSession, fasta: str, alignments: str, enzyme: str, ou
     sinks.write_table(pairs.pair_mates(near), f"{out}/pairs")
     mates = spark.read.parquet(f"{out}/pairs")
     sinks.write_table(pairs.count_edges(mates), f"{out}/edges")
-    sinks.write_table(pairs.reduced_alignments(rows, mates), f"{out}/reduced", order_by=["aln_id"])
+    sinks.write_table(pairs.reduced_alignments(near.select(*rows.columns), mates), f"{out}/reduced", order_by=["aln_id"])
     drop_stages(spark, earlier)
 
 
