@@ -48,7 +48,7 @@ def test_queries_without_sql_run(spark, duck, name):
     assert entry.queries()[name](spark, SF).count() > 0
 
 
-@pytest.mark.parametrize("name", ["mate_pairs", "reduced_alignments"])
+@pytest.mark.parametrize("name", ["mate_pairs", "edge_counts", "reduced_alignments"])
 def test_steps_after_the_site_filter_do_not_read_all_alignments(spark, duck, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "near-" in plan and "ordered-" not in plan
