@@ -52,3 +52,9 @@ def test_queries_without_sql_run(spark, duck, name):
 def test_steps_after_the_site_filter_do_not_read_all_alignments(spark, duck, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "near-" in plan and "ordered-" not in plan
+
+
+def test_summary_reads_all_alignments_once(spark, duck):
+    """For their count; the other table with numbers is that of the nodes."""
+    plan = entry.queries()["filter_summary"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line and "ordered-" in line for line in plan.splitlines()) == 2
