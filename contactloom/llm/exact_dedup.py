@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.llm.tables import Bloom, col, field_type, stage
+from contactloom.llm.tables import Bloom, col, field_type, leaving_little, stage
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515249, 1540483483)
@@ -168,7 +168,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     src = docs.select(col(id_col).alias("i"), *[col(n).alias(x) for x, n in carried], F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
     kinds = ", ".join([f"i {field_type(docs, id_col)}", *[f"{x} {field_type(docs, n)}" for x, n in carried]])
     fp = ["h1", "h2", "n"]
-    rows = stage(src.mapInArrow(_with_hashes, f"{kinds}, h1 bigint, h2 bigint, n bigint"), "fingerprints")
+    rows = stage(src.mapInArrow(leaving_little(_with_hashes), f"{kinds}, h1 bigint, h2 bigint, n bigint"), "fingerprints")
     twice = stage(rows.groupBy(*fp).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "repeated")
     single = rows.join(twice, fp, "left_anti").select("i", *xs, F.col("i").alias("k"), F.lit(1).cast("bigint").alias("g"), F.lit(True).alias("s"))
 
@@ -178,9 +178,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = [*fp, "salt"]
     salts = math.isqrt(twice.agg(F.coalesce(F.max("cnt"), F.lit(1))).first()[0] - 1) + 1
     salted = src.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
-    texts = salted.mapInArrow(_candidates(repeated, large), f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean")
+    texts = salted.mapInArrow(leaving_little(_candidates(repeated, large)), f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean")
     ordered = texts.repartition(*key).sortWithinPartitions(*key, "i")
-    members = stage(ordered.mapInArrow(_classes, f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean, c int, again boolean"), "members")
+    members = stage(ordered.mapInArrow(leaving_little(_classes), f"{kinds}, t string, salt int, h1 bigint, h2 bigint, n bigint, hot boolean, c int, again boolean"), "members")
 
     # the inner join drops what the filter let through in vain
     local = members.groupBy(*key, "c").agg(F.count(F.lit(1)).alias("g"), F.max("i").alias("k")).join(twice, fp)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from contactloom.llm.components import connected_components
 from contactloom.llm.exact_dedup import binary_views
-from contactloom.llm.tables import Bloom, col, field_type, stage
+from contactloom.llm.tables import Bloom, col, field_type, leaving_little, stage
 
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
@@ -63,6 +63,10 @@ class _WordHashes(dict):
 _known = _WordHashes()
 
 
+def _forget() -> None:
+    _known.clear()
+
+
 def shingle_set(data: bytes, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word windows of a text in UTF-8.
 
@@ -265,14 +269,14 @@ def _texts_of(ids: DataFrame, src: DataFrame) -> DataFrame:
     """(i, t) of the listed ids, without shuffling the texts of most others."""
     halves = [F.pmod(F.xxhash64("i"), F.lit(2147483647)).alias("h1"), F.pmod(F.xxhash64(F.lit(1), "i"), F.lit(2147483647)).alias("h2")]
     bloom = src.sparkSession.sparkContext.broadcast(Bloom.build(ids.select("i").distinct().select(*halves), "h1", "h2"))
-    return src.select("i", "t", *halves).mapInArrow(_listed(bloom), "i bigint, t string").dropDuplicates(["i"])
+    return src.select("i", "t", *halves).mapInArrow(leaving_little(_listed(bloom)), "i bigint, t string").dropDuplicates(["i"])
 
 
 def _confirm(pairs: DataFrame, src: DataFrame, percent: int) -> DataFrame:
     """Check pairs of ids on their texts."""
     one = _texts_of(pairs.select(F.col("a").alias("i")).union(pairs.select(F.col("b").alias("i"))), src)
     full = pairs.join(one.select(F.col("i").alias("b"), F.col("t").alias("y")), "b").join(one.select(F.col("i").alias("a"), F.col("t").alias("x")), "a")
-    return full.select("a", "b", "x", "y").sortWithinPartitions("a").mapInArrow(_confirmed(percent), "a bigint, b bigint")
+    return full.select("a", "b", "x", "y").sortWithinPartitions("a").mapInArrow(leaving_little(_confirmed(percent), _forget), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -288,7 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are read.
     """
     src = docs.select(col(id_col).cast("bigint").alias("i"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
-    rows = stage(src.mapInArrow(_described, "i bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, sig binary"), "described")
+    rows = stage(src.mapInArrow(leaving_little(_described, _forget), "i bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>, sig binary"), "described")
     real = rows.where("n > 0 and i is not null")
     classes = real.groupBy("s1", "s2").agg(F.min("i").alias("i"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = stage(classes, "classes")
@@ -320,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = links
     if needed.limit(1).count():
         with_text = needed.join(_texts_of(needed, texts), "i").select(*group, "block", "c", "n", "i", "sig", "t")
-        found = links.unionByName(with_text.repartition(*group).sortWithinPartitions(*group).mapInArrow(_resolved(percent), "a bigint, b bigint"))
+        found = links.unionByName(with_text.repartition(*group).sortWithinPartitions(*group).mapInArrow(leaving_little(_resolved(percent), _forget), "a bigint, b bigint"))
     final = connected_components(found).withColumnRenamed("node", "i")
     by_set = classes.select("s1", "s2", "i").join(final, "i", "left").select("s1", "s2", F.coalesce("component", "i").alias("c"))
     out = rows.select("i", "n", "s1", "s2").join(by_set, ["s1", "s2"], "left")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from contactloom.llm.tables import col, field_type, stage
+from contactloom.llm.tables import col, field_type, leaving_little, stage
 from contactloom.llm.tokens import WordEncoder
 
 #: Buckets into which the pieces of one length are cut for ranking: so many at least, and one for so many pieces.
@@ -227,7 +227,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_pydict(out)
 
     src = docs.select(col(id_col).alias("i"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
-    out = src.mapInArrow(run, f"i {field_type(docs, id_col)}, piece int, start bigint, length bigint, crc bigint" + ", ids array<int>" * keep_ids)
+    out = src.mapInArrow(leaving_little(run, lambda: WordEncoder.of(tokenizer_file).rest()), f"i {field_type(docs, id_col)}, piece int, start bigint, length bigint, crc bigint" + ", ids array<int>" * keep_ids)
     return out.select(F.col("i").alias(id_col), "piece", "start", "length", F.col("crc").alias("ids_crc32"), *["ids"] * keep_ids)
 
 

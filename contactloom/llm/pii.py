@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from contactloom.llm import pii_tagger
 from contactloom.llm.pii_tagger import KINDS
-from contactloom.llm.tables import col
+from contactloom.llm.tables import col, leaving_little
 from contactloom.session import shared_dir
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -183,7 +183,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     carried = [(f"x{k}", name) for k, name in enumerate(carry)]
     src = docs.select(col(id_col).alias("i"), *[col(n).alias(x) for x, n in carried], F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
     spans = StructType.fromDDL(f"base {SPANS}, spans {SPANS}").fields
-    out = src.mapInArrow(run, StructType([f for f in src.schema.fields if f.name != "t"] + spans))
+    out = src.mapInArrow(leaving_little(run), StructType([f for f in src.schema.fields if f.name != "t"] + spans))
     return out.select(F.col("i").alias(id_col), *[F.col(x).alias(n) for x, n in carried], F.col("base").alias("base_spans"), "spans")
 
 

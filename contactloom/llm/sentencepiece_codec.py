@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.llm.tables import col, field_type
+from contactloom.llm.tables import col, field_type, leaving_little
 from contactloom.llm.tokens import Remembered
 
 MARK = "▁"
@@ -85,4 +85,4 @@ def sentencepiece_round_trip(docs: DataFrame, model_file: str, id_col: str = "do
                 yield pa.RecordBatch.from_pydict({"i": part.column("i"), "ids": pa.ListArray.from_arrays(pa.array(offsets), values), "decoded": pa.array(decoded, pa.string())})
 
     src = docs.select(col(id_col).alias("i"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("t"))
-    return src.mapInArrow(run, f"i {field_type(docs, id_col)}, ids array<int>, decoded string").withColumnRenamed("i", id_col)
+    return src.mapInArrow(leaving_little(run, lambda: ChunkTable.of(model_file).known.rest()), f"i {field_type(docs, id_col)}, ids array<int>, decoded string").withColumnRenamed("i", id_col)

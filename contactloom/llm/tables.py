@@ -1,7 +1,10 @@
-"""Shared helpers: column selection and fixed-size Bloom filters."""
+"""Shared helpers: column selection, memory of idle workers and fixed-size Bloom filters."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contactloom.session import stage
 
-__all__ = ["Bloom", "col", "field_type", "stage"]
+__all__ = ["Bloom", "col", "field_type", "leaving_little", "stage"]
 
 
 def col(name: str) -> Column:
@@ -21,6 +24,31 @@ def field_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def give_back() -> None:
+    """Return freed memory to the machine, which Arrow and the C library otherwise keep for later."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def leaving_little(run: Callable, *forget: Callable[[], None]) -> Callable:
+    """``run`` over batches; at a task's end the worker calls ``forget`` and gives memory back.
+
+    Spark keeps a worker for the next tasks, beside a JVM that fills its heap
+    meanwhile, so what an idle worker holds counts in every stage.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for f in forget:
+                f()
+            give_back()
+
+    return task
+
+
 #: 64-bit cells of a filter that travel as one value.
 BLOCK_CELLS = 1024
 

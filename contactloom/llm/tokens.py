@@ -2,7 +2,8 @@
 
 Both tokenizers used here never merge across certain boundaries, so a text's
 ids are the concatenation of its words' ids.  Each Python worker keeps a
-bounded table of encoded words for the tasks it runs.
+bounded table of encoded words for the tasks it runs; between tasks it holds
+the younger half of it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from itertools import chain
 import numpy as np
 
 #: Words of a generation; a worker remembers two of them.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 
 class Remembered:
@@ -45,6 +46,10 @@ class Remembered:
             self.young.update(self.make(fresh))
         return self.young
 
+    def rest(self) -> None:
+        """Forget the old generation, as a worker does that waits for its next task."""
+        self.old = {}
+
 
 class WordEncoder:
     """Ids of whole texts by a ``tokenizers`` file whose pre-tokenizer keeps words apart.
@@ -84,6 +89,10 @@ class WordEncoder:
     def of(cls, file: str) -> WordEncoder:
         return cls(file)
 
+    def rest(self) -> None:
+        self.words.rest()
+        self.strings.rest()
+
     def whole(self, text: str) -> np.ndarray:
         """The library's ids, without the places in the text that it would otherwise track."""
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")

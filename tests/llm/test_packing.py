@@ -8,6 +8,7 @@ import pytest
 
 from contactloom.llm import packing as pk
 from contactloom.llm.queries import tokenizer_path
+from contactloom.llm.tables import leaving_little
 from contactloom.llm.tokens import WordEncoder
 
 FILE = tokenizer_path("word_bpe_49k.json")
@@ -132,3 +133,22 @@ def test_encoder_forgets_and_relearns(monkeypatch):
     for k in range(0, 40, 4):
         for t, ids in zip(texts[k : k + 4], enc(texts[k : k + 4]), strict=True):
             assert ids == np.array(enc.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_idle_worker_holds_little(monkeypatch):
+    """Half of a bounded table, and nothing that was only met before, stays between tasks."""
+    from contactloom.llm import tokens
+
+    assert 4 * tokens.MOST_WORDS <= 800_000
+    monkeypatch.setattr(tokens, "MOST_WORDS", 50)
+    enc, forgot = WordEncoder(FILE), []
+    run = leaving_little(lambda batches: (enc([t]) for t in batches), enc.rest, lambda: forgot.append(len(enc.strings.old)))
+    texts = [" ".join(f"word{k}x{j}" for j in range(40)) for k in range(5)]
+    want = [[np.array(enc.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()] for t in texts]
+    assert list(run(iter(texts))) == want
+    assert forgot == [0] and not enc.words.old and len(enc.strings.young) <= 50 and len(enc.words.young) <= 50
+    # a task that ends early gives back as well
+    one = run(iter(texts))
+    assert next(one) == want[0]
+    one.close()
+    assert forgot == [0, 0]
