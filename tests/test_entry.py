@@ -58,3 +58,13 @@ def test_summary_reads_all_alignments_once(spark, duck):
     """For their count; the other table with numbers is that of the nodes."""
     plan = entry.queries()["filter_summary"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert sum("FileScan" in line and "ordered-" in line for line in plan.splitlines()) == 2
+
+
+def test_edge_counts_sort_no_alignments(spark, duck, monkeypatch):
+    """Only nodes get numbers; contacts are counted from rows that are compared."""
+    from contactloom.operators import ordinals
+
+    names, stage = [], ordinals.stage
+    monkeypatch.setattr(ordinals, "stage", lambda df, name: names.append(df.columns) or stage(df, name))
+    assert entry.queries()["edge_counts"](spark, SF).count() > 0
+    assert names and not any("read_name" in columns for columns in names)

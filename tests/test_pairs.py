@@ -132,3 +132,24 @@ def test_only_nodes_with_alignments_get_windows(spark, rows):
     # what follows reads these rows only, once for each step, with no join of the sorted ones left in its plan
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "near-" in plan and "Join" not in plan
+
+
+def test_pairs_by_compared_rows_are_those_of_numbers(spark, rows):
+    """Ties, rows that mirror themselves, nulls, and references that occur twice: the same contacts, and nothing is sorted."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    data = [(f"r{rnd.randrange(120)}", rnd.choice([0, 16, 32]), a := rnd.randrange(3), rnd.choice([1, 5, 9]), 60, rnd.choice([a, 0, 1, 2]), rnd.choice([1, 5, 9, None])) for _ in range(900)]
+    mirrored = [(n, flag ^ 16, r2, p2, q, r1, p1) for n, flag, r1, p1, q, r2, p2 in data[:300]]
+    df = spark.createDataFrame(data + data[:200] + mirrored, "read_name string, flag int, ref_id int, pos bigint, mapq int, next_ref_id int, next_pos bigint").repartition(5)
+    refs = spark.createDataFrame([(0, "a", 0), (1, "b", 1), (1, "b", 1), (2, "c", 2)], "ref_id int, ref_name string, node_id bigint")
+
+    def contacts(keyed):
+        pairs_ = pairs.pair_mates(pairs.filter_known_refs(keyed, refs))
+        return rows(pairs.count_edges(pairs_), "src", "dst", "contacts"), pairs_.agg(F.count(F.lit(1))).first()[0]
+
+    keyed = pairs.coordinate_keys(df)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "rangepartitioning" not in plan
+    want = contacts(pairs.coordinate_sort(df))
+    assert want[1] > 20 and contacts(keyed) == want
