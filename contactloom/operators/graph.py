@@ -8,7 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.operators.quadtree import quadtree, repulsion
+from contactloom.operators.quadtree import around_nodes, quadtree, repulsion
 from contactloom.session import stage
 
 log = logging.getLogger(__name__)
@@ -120,22 +120,27 @@ def force_layout(nodes: DataFrame, weighted_edges: DataFrame, seed: int = 806, c
         earlier = start.select("node_id", F.col("x").alias("x0"), F.col("y").alias("y0"))
         state = state.join(earlier, "node_id", "left").withColumns({"x": F.coalesce("x0", "x"), "y": F.coalesce("y0", "y")})
     state = stage(state.select("node_id", (F.coalesce("degree", F.lit(0)) + 1).cast("double").alias("mass"), "x", "y", F.lit(0.0).alias("fx"), F.lit(0.0).alias("fy")), "layout")
-    speed, moved = 1.0, None
+    speed, moved, found = 1.0, None, None
     for k in range(max_iter):
-        tree = quadtree(state)
+        tree = quadtree(state, found)
         if tree is None:
             return state.select("node_id", "x", "y")
         other = state.select(F.col("node_id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
         pull = ends.join(other, "b").groupBy(F.col("a").alias("node_id")).agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("bx")).alias("wx"), F.sum(F.col("weight") * F.col("by")).alias("wy"))
-        pushed = repulsion(state, tree).join(pull, "node_id", "left")
-        force = lambda c: F.coalesce(F.col(f"w{c}") - F.col("w") * F.col(c), F.lit(0.0)) - F.lit(GRAVITY) * F.col("mass") * F.col(c) + F.col(f"r{c}")
-        new = stage(pushed.select("node_id", "mass", "x", "y", force("x").alias("fx"), force("y").alias("fy"), F.col("fx").alias("gx"), F.col("fy").alias("gy")), "layout")
+        # written, so that Spark knows its size: where few nodes have edges, the nodes are not sorted to meet it
+        pulled = state.join(stage(pull, "pull"), "node_id", "left")
+        force = lambda c: F.coalesce(F.col(f"w{c}") - F.col("w") * F.col(c), F.lit(0.0)) - F.lit(GRAVITY) * F.col("mass") * F.col(c)
+        pushed = repulsion(pulled.select("node_id", "mass", "x", "y", F.col("fx").alias("gx"), F.col("fy").alias("gy"), force("x").alias("ax"), force("y").alias("ay")), tree)
+        new = stage(pushed.select("node_id", "mass", "x", "y", (F.col("ax") + F.col("rx")).alias("fx"), (F.col("ay") + F.col("ry")).alias("fy"), "gx", "gy"), "layout")
         swing, traction = F.hypot(F.col("fx") - F.col("gx"), F.col("fy") - F.col("gy")), F.hypot(F.col("fx") + F.col("gx"), F.col("fy") + F.col("gy")) / 2
         total = new.agg(F.sum(F.col("mass") * swing), F.sum(F.col("mass") * traction)).first()
         speed = min(total[1] / max(total[0], 1e-9), 1.5 * speed if k else 1.0)
-        step = F.lit(speed) / (1 + F.sqrt(F.lit(speed) * swing))
+        # taken from an array by a column: a number alone would be compiled into the plans, anew in every round
+        now = F.element_at(F.array(F.lit(float(speed)), F.lit(0.0)), F.when(F.col("mass") > 0, 1).otherwise(2))
+        step = now / (1 + F.sqrt(now * swing))
         state = new.select("node_id", "mass", (F.col("x") + F.col("fx") * step).alias("x"), (F.col("y") + F.col("fy") * step).alias("y"), "fx", "fy", (F.hypot("fx", "fy") * step).alias("moved"))
-        moved = state.agg(F.avg("moved")).first()[0]
+        # one look at the new places tells how far they are, and the square that the next tree is in
+        moved, *found = state.agg(F.avg("moved"), *around_nodes()).first()
         state = state.drop("moved")
         # the first round only has forces, none to compare them with
         if k and moved < change_per_node:

@@ -91,3 +91,12 @@ def test_kmeans_does_not_depend_on_the_order_of_rows(spark, rows):
     few = spark.createDataFrame([(1, 2.0, 2.0), (2, 2.0, 2.0)], "node_id bigint, x double, y double")
     assert rows(graph.kmeans_groups(few, 3)[0], "node_id", "group_id") == [(1, 0), (2, 0)]
     assert rows(graph.kmeans_groups(few.limit(0), 3)[0]) == []
+
+
+def test_graph_is_made_without_sorting_the_alignments(spark, rows, monkeypatch):
+    """Contacts are counts, so no row needs a number; the weights are those of the counted edges."""
+    d = "/root/testdata/sf0.001"
+    counted = rows(graph.weight_edges(catalog.edge_counts(spark, d), catalog._nodes(spark, d)))
+    monkeypatch.setattr(catalog.pairs, "coordinate_sort", lambda *_: 1 / 0)
+    nodes, edges = catalog._graph(spark, d)
+    assert rows(edges) == counted and len(counted) > 0 and nodes.count() == len(rows(catalog._nodes(spark, d)))
